@@ -7,12 +7,13 @@ fragment by itself and summed for each document or pair.  Steps:
 1. Texts with the same n-gram set become one class, which its smallest key stands for.
 2. For each class, the fragments count the n-grams that any other class has.  Linked
    texts share ``percent`` of either one's n-grams at least, so classes with fewer are done.
-3. Those left are linked with the smallest key that has the same MinHash value, under several
-   functions, where the summed overlaps say so.  A group of copies so becomes one component by
+3. Those left are linked with the most central text that has the same MinHash value, under
+   several functions, where the summed overlaps say so.  A group of copies so becomes one component by
    links to a few members, not by all its pairs.
 4. Links may still be missing between components.  Again the fragments count, now n-grams that
-   another component has; n-grams without are put before all others in the order.  What is left pairs up on the
-   prefix of its order, between components only, if sizes and positions allow the overlap.
+   another component has.  They order by rank of frequency, then hash, behind all that none
+   has.  What is left pairs up on the prefix of its order, between components only, if sizes and
+   positions allow the overlap.
 5. The pairs' partial overlaps are summed; the links of 3 and 5 give the components.
 
 No link between texts of different components is lost, and pairs inside a component are never listed.
@@ -34,6 +35,8 @@ from .shared import Words, distinct_sorted, materialize, mix, text_parts
 #: N-grams that a fragment holds on average, and fragments at least.
 FRAGMENT, LEAST = 4_000_000, 16
 FUNCTIONS = 8
+#: Ranks of frequency (by powers of two) in the order of what components share.
+RANKS = 8
 _SALT = np.uint64(0xA0761D6478BD642F)
 
 
@@ -133,7 +136,7 @@ class Join:
         return self.rows.mapInArrow(run, "k long, n long, a long, b long")
 
     def shared_enough(self, classes: DataFrame, fragments: int) -> DataFrame:
-        """Step 2: (a, rep, n) of the classes that share ``percent`` of their n-grams with any others."""
+        """Step 2: (a, rep, n, u: n-grams that no other has) of the classes that share ``percent`` of their n-grams with any others."""
         width = self.size
 
         def cut(batches):
@@ -191,12 +194,13 @@ class Join:
 
         cuts = self.rows.where("k IS NOT NULL AND t IS NOT NULL").mapInArrow(cut, "f long, p binary")
         counts = cuts.repartition(fragments, "f").mapInArrow(count, "o long, s long").groupBy("o").agg(F.sum("s").alias("s"))
-        return classes.join(counts, classes["a"] == counts["o"]).where(F.col("s") * 100 >= F.col("n") * self.percent).select("a", "rep", "n")
+        return classes.join(counts, classes["a"] == counts["o"]).where(F.col("s") * 100 >= F.col("n") * self.percent).select("a", "rep", "n", (F.col("n") - F.col("s")).alias("u"))
 
     def segments(self, left: DataFrame, fragments: int, repeats: bool) -> DataFrame:
-        """The n-grams of the classes left: a row (f, k, n, g, m) for each fragment that has any.
+        """The n-grams of the classes left: a row (f, k, n, g, m, u) for each fragment that has any.
 
-        From here on, k is the class's signature.  m: MinHash values, in the first segment only.
+        From here on, k is the class's signature.  m and u: MinHash values and the number of
+        n-grams of its own, in the first segment only.
         A key that stands for several rows may bring other classes' texts, which are left out,
         and with ``repeats`` the same text twice.
         """
@@ -207,32 +211,36 @@ class Join:
             for part in text_parts(batches, "t"):
                 out = []
                 sets = shingle_sets(part, size)
-                for k, own, s in zip(part.column("a").to_pylist(), signatures(sets)[0].tolist(), sets):
+                for k, u, own, s in zip(part.column("a").to_pylist(), part.column("u").to_pylist(), signatures(sets)[0].tolist(), sets):
                     if own != k:
                         continue
                     f = (_placed(s, fragments) >> np.uint64(32)).astype(np.int64)
                     start = _runs(f)
                     least = [int((s * x).min().view(np.int64)) for x in factors]
                     for x, y in zip(start.tolist(), [*start[1:].tolist(), len(s)]):
-                        out.append((int(f[x]), k, len(s), s[x:y].tobytes(), least))
-                        least = None
-                cols = list(zip(*out)) or [[]] * 5
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["f", "k", "n", "g", "m"])
+                        out.append((int(f[x]), k, len(s), s[x:y].tobytes(), least, u))
+                        least = u = None
+                cols = list(zip(*out)) or [[]] * 6
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.int64()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["f", "k", "n", "g", "m", "u"])
 
-        texts = self.rows.join(left, F.col("k") == F.col("rep")).select("a", "t")
+        texts = self.rows.join(left, F.col("k") == F.col("rep")).select("a", "u", "t")
         if repeats:
             texts = texts.dropDuplicates(["a", "t"])
-        return texts.mapInArrow(run, "f long, k long, n long, g binary, m array<long>")
+        return texts.mapInArrow(run, "f long, k long, n long, g binary, m array<long>, u long")
 
     def stars(self, segments: DataFrame) -> DataFrame:
-        """Step 3: pairs of each text and the smallest key that shares a MinHash value."""
-        values = segments.where("m IS NOT NULL").select("k", "n", F.posexplode("m").alias("i", "v"))
+        """Step 3: pairs of each text and the hub of those that share a MinHash value with it.
+
+        The hub has the fewest n-grams of its own, as the text has that the others were copied from.
+        """
+        central = F.shiftleft(F.least("u", F.lit((1 << 22) - 1)), 40) + F.col("k").bitwiseAND((1 << 40) - 1)
+        values = segments.where("m IS NOT NULL").select("k", central.alias("o"), F.posexplode("m").alias("i", "v"))
         values = materialize(values, "minhash")
-        hubs = values.groupBy("i", "v").agg(F.min("k").alias("a"), F.max("k").alias("z")).where("a <> z").select(F.col("i").alias("j"), F.col("v").alias("u"), "a")
+        hubs = values.groupBy("i", "v").agg(F.min_by("k", "o").alias("a"), F.count(F.lit(1)).alias("z")).where("z > 1").select(F.col("i").alias("j"), F.col("v").alias("w"), "a")
         hubs = materialize(hubs, "hubs")
-        met = values.join(hubs, (F.col("i") == F.col("j")) & (F.col("v") == F.col("u"))).where("k <> a")
-        return materialize(met.select("a", F.col("k").alias("b")).distinct(), "stars")
+        met = values.join(hubs, (F.col("i") == F.col("j")) & (F.col("v") == F.col("w"))).where("k <> a")
+        return materialize(met.select(F.least("a", "k").alias("a"), F.greatest("a", "k").alias("b")).distinct(), "stars")
 
     def linked(self, pairs: DataFrame, segments: DataFrame) -> DataFrame:
         """The pairs (a, b) whose overlaps, summed over the fragments, reach ``percent``."""
@@ -274,37 +282,43 @@ class Join:
             start = _runs(h[order])
             comp = meta["c"][row][order]
             cross = np.minimum.reduceat(comp, start) != np.maximum.reduceat(comp, start)
-            return meta, row[order], h[order], _spread(start, len(h), cross)
+            often = np.log2(np.diff(np.append(start, len(h)))).astype(np.int64).clip(1, RANKS)
+            return meta, row[order], h[order], _spread(start, len(h), np.where(cross, often, 0))
 
         def count(batches):
             held = postings(batches, ("f",))
             if held:
-                meta, row, _, cross = held
-                n = np.bincount(row[cross], minlength=len(meta["k"]))
-                yield pa.RecordBatch.from_arrays([pa.array(meta["f"]), pa.array(meta["k"]), pa.array(meta["n"]), pa.array(n.astype(np.int64))], names=["f2", "k2", "n2", "x"])
+                meta, row, _, rank = held
+                n = np.bincount(row * (RANKS + 1) + rank, minlength=len(meta["k"]) * (RANKS + 1)).reshape(-1, RANKS + 1)
+                yield pa.RecordBatch.from_arrays([pa.array(meta["f"]), pa.array(meta["k"]), *[pa.array(n[:, r].astype(np.int64)) for r in range(RANKS + 1)]], names=["f2", "k2", *[f"x{r}" for r in range(RANKS + 1)]])
 
-        crossed = named.repartition(fragments, "f").mapInArrow(count, "f2 long, k2 long, n2 long, x long")
+        crossed = named.repartition(fragments, "f").mapInArrow(count, "f2 long, k2 long, " + ", ".join(f"x{r} long" for r in range(RANKS + 1)))
         crossed = materialize(crossed, "crossed")
-        own = Window.partitionBy("k2", "n2")
-        crossed = crossed.withColumn("all", F.sum("x").over(own)).withColumn("before", F.sum("x").over(own.orderBy("f2").rowsBetween(Window.unboundedPreceding, -1)))
-        places = crossed.where(F.col("all") * 100 >= F.col("n2") * percent).select("f2", "k2", "n2", (F.col("n2") - F.col("all") + F.coalesce("before", F.lit(0))).alias("at"))
+        own = Window.partitionBy("k2")
+        earlier = own.orderBy("f2").rowsBetween(Window.unboundedPreceding, -1)
+        sums = crossed.select("f2", "k2", *[F.sum(f"x{r}").over(own).alias(f"all{r}") for r in range(RANKS + 1)], *[F.coalesce(F.sum(f"x{r}").over(earlier), F.lit(0)).alias(f"b{r}") for r in range(RANKS + 1)])
+        total = lambda upto: sum((F.col(f"all{r}") for r in range(1, upto)), F.col("all0"))
+        places = sums.where((total(RANKS + 1) - F.col("all0")) * 100 >= total(RANKS + 1) * percent).select("f2", "k2", *[(total(r) + F.col(f"b{r}")).alias(f"at{r}") for r in range(1, RANKS + 1)])
         places = materialize(places, "places")
         # texts that are out keep their segments here: they decide what is shared between components
-        rows = named.join(places, (F.col("f") == F.col("f2")) & (F.col("k") == F.col("k2")) & (F.col("n") == F.col("n2")), "left").select("f", "k", "n", "c", "g", F.coalesce("at", F.lit(-1)).alias("at"))
+        starts = [f"at{r}" for r in range(1, RANKS + 1)]
+        rows = named.join(places, (F.col("f") == F.col("f2")) & (F.col("k") == F.col("k2")), "left").select("f", "k", "n", "c", "g", *[F.coalesce(x, F.lit(-1)).alias(x) for x in starts])
 
         def pairs(batches):
-            held = postings(batches, ("at",))
+            held = postings(batches, starts)
             if not held:
                 return
-            meta, row, h, cross = held
-            use = cross & (meta["at"][row] >= 0)
-            row, h = row[use], h[use]
-            # place of each n-gram in its text: those before this segment, then its rank inside
-            by = np.argsort(row, kind="stable")
-            first = _runs(row[by])
-            rank = np.empty(len(row), np.int64)
-            rank[by] = np.arange(len(row)) - _spread(first, len(row), first)
-            at = meta["at"][row] + rank
+            meta, row, h, rank = held
+            base = np.stack([meta[x] for x in starts])
+            use = (rank > 0) & (base[0][row] >= 0)
+            row, h, rank = row[use], h[use], rank[use]
+            # place of each n-gram in its text: those of its rank before this segment, then inside it
+            group = row * (RANKS + 1) + rank
+            by = np.argsort(group, kind="stable")
+            first = _runs(group[by])
+            at = np.empty(len(row), np.int64)
+            at[by] = np.arange(len(row)) - _spread(first, len(row), first)
+            at += base[rank - 1, row]
             n = meta["n"][row]
             use = at < n - -(-n * percent // 100) + 1
             row, h, at, n = row[use], h[use], at[use], n[use]
