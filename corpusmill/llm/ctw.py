@@ -34,7 +34,9 @@ PAD, STOP = 0xFE, 0xFF
 #: Frequent words whose counts are sent to all tasks, and the share of a batch that makes one.
 HEAVY, HEAVY_SHARE = 16384, 1 / 4096
 #: Words that a fragment holds on average, and fragments at least.
-FRAGMENT, LEAST = 4_000_000, 16
+FRAGMENT, LEAST = 2_000_000, 16
+#: Bytes of text that one step works on.
+PART = 1 << 20
 
 
 # ---------------------------------------------------------------- the model
@@ -366,7 +368,7 @@ class Scoring:
             g, n = np.empty(0, np.int64), np.empty(0, np.int64)
             often: dict[int, int] = {}
             words = 0
-            for part in text_parts(batches, "t"):
+            for part in text_parts(batches, "t", PART):
                 w = Words(part.column("t"))
                 words += len(w.start)
                 ids, times = np.unique(w.hash, return_counts=True)
@@ -411,7 +413,7 @@ class Scoring:
                 packed.append(ids.tobytes())
                 return pa.RecordBatch.from_arrays([pa.array(fs, pa.int64()), pa.array(packed, pa.binary())], names=["f", "p"])
 
-            for part in text_parts(batches, "t"):
+            for part in text_parts(batches, "t", PART):
                 w = Words(part.column("t"))
                 ids = row_ids(part.column("k"), w)
                 train = ~part.column("h").to_numpy(zero_copy_only=False)
@@ -476,7 +478,7 @@ class Scoring:
     def scored(self, sent) -> DataFrame:
         def run(batches):
             model, heavy, value, seen, stop, stop_seen = sent.value
-            for part in text_parts(batches, "t"):
+            for part in text_parts(batches, "t", PART):
                 w = Words(part.column("t"))
                 n = len(w.first) - 1
                 at, often = _in(heavy, w.hash)
