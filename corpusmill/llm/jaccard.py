@@ -30,10 +30,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected
-from .shared import Words, distinct_sorted, materialize, mix, text_parts
+from .shared import Words, broadcast_if_small, distinct_sorted, materialize, mix, text_parts
 
-#: N-grams that a fragment holds on average, and fragments at least.
-FRAGMENT, LEAST = 4_000_000, 16
+#: N-grams that a fragment holds on average, and fragments at least: of all texts, and of those left.
+FRAGMENT, LEAST, LEAST_LEFT = 2_000_000, 64, 16
+#: Bytes of text that one step works on.
+PART = 1 << 20
 FUNCTIONS = 8
 #: Ranks of frequency (by powers of two) in the order of what components share.
 RANKS = 8
@@ -107,7 +109,7 @@ class Join:
         inside = left.agg(F.sum("n")).first()[0] or 0
         if inside:
             repeats = rows.groupBy("k").count().where("k IS NOT NULL AND count > 1").limit(1).count() > 0
-            segments = materialize(self.segments(left, max(LEAST, math.ceil(inside / FRAGMENT)), repeats), "segments")
+            segments = materialize(self.segments(left, max(LEAST_LEFT, math.ceil(inside / FRAGMENT)), repeats), "segments")
             links = materialize(self.linked(self.stars(segments), segments), "star_links")
             parts = connected(links)
             more = self.linked(materialize(self.between(segments, parts), "candidates"), segments)
@@ -128,7 +130,7 @@ class Join:
         size = self.size
 
         def run(batches):
-            for part in text_parts(batches, "t"):
+            for part in text_parts(batches, "t", PART):
                 sets = shingle_sets(part, size)
                 a, b = signatures(sets)
                 yield pa.RecordBatch.from_arrays([part.column("k"), pa.array([len(s) for s in sets], pa.int64()), pa.array(a), pa.array(b)], names=["k", "n", "a", "b"])
@@ -155,7 +157,7 @@ class Join:
                 packed = [_pack(placed[x:y] & np.uint64(0xFFFFFFFF), who[x:y]) for x, y in zip(start, ends)]
                 return pa.RecordBatch.from_arrays([pa.array(f[start]), pa.array(packed, pa.binary())], names=["f", "p"])
 
-            for part in text_parts(batches, "t"):
+            for part in text_parts(batches, "t", PART):
                 new = shingle_sets(part, width)
                 ids, _ = signatures(new)
                 for s, i in zip(new, ids.tolist()):
@@ -163,7 +165,7 @@ class Join:
                         sets.append(s)
                         owners.append(i)
                         size += len(s)
-                if size >= FRAGMENT:
+                if size >= FRAGMENT // 2:
                     yield flush()
                     sets, owners, size = [], [], 0
             if size:
@@ -208,7 +210,7 @@ class Join:
         factors = mix(np.arange(11, 11 + self.functions, dtype=np.uint64)) | np.uint64(1)
 
         def run(batches):
-            for part in text_parts(batches, "t"):
+            for part in text_parts(batches, "t", PART):
                 out = []
                 sets = shingle_sets(part, size)
                 for k, u, own, s in zip(part.column("a").to_pylist(), part.column("u").to_pylist(), signatures(sets)[0].tolist(), sets):
@@ -224,7 +226,7 @@ class Join:
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["f", "k", "n", "g", "m", "u"])
 
-        texts = self.rows.join(left, F.col("k") == F.col("rep")).select("a", "u", "t")
+        texts = self.rows.join(broadcast_if_small(left), F.col("k") == F.col("rep")).select("a", "u", "t")
         if repeats:
             texts = texts.dropDuplicates(["a", "t"])
         return texts.mapInArrow(run, "f long, k long, n long, g binary, m array<long>, u long")
@@ -255,7 +257,7 @@ class Join:
 
         left = segments.select(F.col("k").alias("ka"), F.col("n").alias("na"), F.col("f").alias("fa"), F.col("g").alias("x"))
         right = segments.select(F.col("k").alias("kb"), F.col("n").alias("nb"), F.col("f").alias("fb"), F.col("g").alias("y"))
-        rows = pairs.join(left, F.col("a") == F.col("ka")).join(right, (F.col("b") == F.col("kb")) & (F.col("fa") == F.col("fb")))
+        rows = broadcast_if_small(pairs).join(left, F.col("a") == F.col("ka")).join(right, (F.col("b") == F.col("kb")) & (F.col("fa") == F.col("fb")))
         part = rows.select("a", "b", "na", "nb", "x", "y").mapInArrow(count, "a long, b long, na long, nb long, c long")
         total = part.groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c"))
         return total.where(F.col("c") * 100 >= (F.col("na") + F.col("nb") - F.col("c")) * self.percent).select("a", "b")
@@ -265,7 +267,7 @@ class Join:
         percent = self.percent
         named = segments.join(parts, segments["k"] == parts["id"], "left").select("f", "k", "n", "g", F.coalesce("label", "k").alias("c"))
         named = materialize(named, "named_segments")
-        fragments = max(LEAST, named.select(F.max("f")).first()[0] + 1)
+        fragments = max(LEAST_LEFT, named.select(F.max("f")).first()[0] + 1)
 
         def postings(batches, extra=()):
             cols = {c: [] for c in ("k", "n", "c", "g", *extra)}

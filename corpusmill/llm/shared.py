@@ -12,6 +12,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
 
@@ -40,6 +41,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def broadcast_if_small(df: DataFrame, rows: int = 200_000) -> DataFrame:
+    """``df``, a written table of a few numbers a row, to be broadcast if it has ``rows`` at most."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
