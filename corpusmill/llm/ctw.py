@@ -34,7 +34,7 @@ PAD, STOP = 0xFE, 0xFF
 #: Frequent words whose counts are sent to all tasks, and the share of a batch that makes one.
 HEAVY, HEAVY_SHARE = 16384, 1 / 4096
 #: Words that a fragment holds on average, and fragments at least.
-FRAGMENT, LEAST = 2_000_000, 16
+FRAGMENT, LEAST = 2_000_000, 64
 #: Bytes of text that one step works on.
 PART = 1 << 20
 
