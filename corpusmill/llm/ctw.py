@@ -36,7 +36,7 @@ HEAVY, HEAVY_SHARE = 16384, 1 / 4096
 #: Words that a fragment holds on average, and fragments at least.
 FRAGMENT, LEAST = 2_000_000, 64
 #: Bytes of text that one step works on.
-PART = 1 << 20
+PART = 1 << 19
 
 
 # ---------------------------------------------------------------- the model
@@ -95,12 +95,13 @@ class Model:
         logp, parts = np.zeros(len(grams)), [[] for _ in range(depth)]
         for level in range(BITS if len(grams) else 0):
             self._level(level, by_depth, logp, parts)
+        del by_depth, counts
         self.logp = logp.astype(np.float32)
         self.nodes = []
         for found in parts:
             keys, mixed, rest = (np.concatenate([f[i] for f in found]) if found else np.empty(0, np.int64) for i in range(3))
             order = np.argsort(keys)
-            self.nodes.append((keys[order], mixed[order].astype(np.float32), rest[order].astype(np.float32)))
+            self.nodes.append((keys[order], mixed[order], rest[order]))
         self.slots = self._slots()
 
     def _level(self, level: int, by_depth, logp: np.ndarray, parts: list) -> None:
@@ -131,7 +132,7 @@ class Model:
             up = parent[d] if d else np.zeros(len(q), np.int64)
             mixed, rest = mixed[up] + rest[up] * weight[d] * (ones + 0.5) / (zeros + ones + 1.0), rest[up] * (1 - weight[d])
             if d < self.depth:
-                parts[d].append(((q >> level << BITS) | 1 << level | (q & (1 << level) - 1), mixed, rest))
+                parts[d].append(((q >> level << BITS) | 1 << level | (q & (1 << level) - 1), mixed.astype(np.float32), rest.astype(np.float32)))
         at = np.cumsum(np.concatenate(([0], (self.grams[1:] >> shift != self.grams[:-1] >> shift).astype(np.int64))))
         logp += np.log10(np.where(self.grams >> (shift - 1) & 1, mixed[at], 1 - mixed[at]))
 
@@ -441,12 +442,11 @@ class Scoring:
             return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["kind", "id", "v", "n", "m"])
 
         def count(batches):
-            held = []
+            packed: dict[int, list[bytes]] = {}
             for b in batches:
                 for f, p in zip(b.column("f").to_pylist(), b.column("p").to_pylist()):
                     if f >= 0:
-                        place, ids, times, train = _unpack(p)
-                        held.append((np.full(len(place), f, np.int32), place, ids, times, train))
+                        packed.setdefault(f, []).append(p)
                     elif f >= -fragments:
                         ids = np.frombuffer(p, np.int64)
                         yield batch(0, ids, m=np.ones(len(ids), np.int64))
@@ -456,21 +456,17 @@ class Scoring:
                         yield batch(3, np.zeros(1, np.int64), n=raw[:1])
                         yield batch(4, np.zeros(1, np.int64), n=raw[1:2])
                         yield batch(2, raw[2 : 2 + k], n=raw[2 + k :])
-            if not held:
-                return
-            f, place, ids, times, train = (np.concatenate(x) for x in zip(*held))
-            held.clear()
-            order = np.argsort(place, kind="stable")
-            if (f != f[0]).any():
-                order = order[np.argsort(f[order], kind="stable")]
-            f, place, ids, times, train = f[order], place[order], ids[order], times[order], train[order]
-            start = np.flatnonzero(np.concatenate(([True], (place[1:] != place[:-1]) | (f[1:] != f[:-1]))))
-            c = np.add.reduceat(times * train, start)
-            yield batch(1, np.zeros(1, np.int64), n=np.array([(c > 0).sum()]))
-            per = np.diff(np.append(start, len(place)))
-            v, known = times * np.repeat(np.log10(c + 0.5), per), times * np.repeat(c > 0, per)
-            own, index = np.unique(ids, return_inverse=True)
-            yield batch(0, own, np.bincount(index, weights=v), np.bincount(index, weights=known).astype(np.int64))
+            for f in sorted(packed):  # one at a time: a task may have drawn several
+                place, ids, times, train = (np.concatenate(x) for x in zip(*map(_unpack, packed.pop(f))))
+                order = np.argsort(place, kind="stable")
+                start = _starts(place[order])
+                c = np.add.reduceat((times * train)[order], start)
+                yield batch(1, np.zeros(1, np.int64), n=np.array([(c > 0).sum()]))
+                per = np.diff(np.append(start, len(place)))
+                ids, times = ids[order], times[order]
+                own, index = np.unique(ids, return_inverse=True)
+                v = np.bincount(index, weights=times * np.repeat(np.log10(c + 0.5), per))
+                yield batch(0, own, v, np.bincount(index, weights=times * np.repeat(c > 0, per)).astype(np.int64))
 
         cuts = self.rows.mapInArrow(cut, "f long, p binary")
         return cuts.repartition(fragments, "f").mapInArrow(count, "kind int, id long, v double, n long, m long")
