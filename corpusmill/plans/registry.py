@@ -1,11 +1,10 @@
-"""Name -> query and name -> DuckDB SQL, gathered from the plan modules."""
+"""Name -> query and name -> DuckDB SQL; the plan modules register theirs here."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,6 +22,4 @@ def query(sql: str | None = None):
     return add
 
 
-@query("SELECT lang, count(*) AS n FROM documents GROUP BY lang")
-def quality_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+from corpusmill.plans import cleaning, evaluation, profiling, scoring  # noqa: E402, F401
