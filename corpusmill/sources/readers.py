@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill import domain
+from corpusmill.functions import text as tx
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:
@@ -46,19 +47,12 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str | None
     if strict:
         reader = spark.read.option("mode", "FAILFAST")
         return (reader.schema(schema) if schema else reader).json(path)
-    reader = spark.read.options(mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record", allowSingleQuotes=False)
-    if schema:
-        schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
-        reader = reader.schema(schema.add("_corrupt_record", T.StringType()) if "_corrupt_record" not in schema.names else schema)
-    df = reader.json(path)
-    if "_corrupt_record" in df.columns:
-        others = [c for c in df.columns if c != "_corrupt_record"]
-        if not others:
-            raise ValueError(f"{path}: no valid line")
-        df = df.where("_corrupt_record IS NULL").select(*others)
-    if not df.head(1):  # isEmpty() would read no column, which the reader refuses
+    schema = schema or spark.read.option("mode", "DROPMALFORMED").json(path).schema
+    parsed = tx.strict_json(F.col("value"))
+    lines = spark.read.text(path).where(F.coalesce(F.schema_of_variant(parsed).startswith("OBJECT"), F.lit(False)))
+    if not lines.head(1):
         raise ValueError(f"{path}: no valid line")
-    return normalize_columns(df)
+    return normalize_columns(lines.select(F.from_json("value", schema).alias("r")).select("r.*"))
 
 
 def read_documents(spark: SparkSession, folder: str, schema: T.StructType | None = None) -> tuple[DataFrame, int]:
