@@ -10,9 +10,18 @@ from pyspark.sql import functions as F
 from corpusmill import domain
 
 
+def bound(value: Column, f) -> Column:
+    """``f`` of ``value``, which is evaluated once however often ``f`` refers to it."""
+    return F.transform(F.array(value), f)[0]
+
+
 def any_of(text: Column, words: Iterable[str]) -> Column:
     """Whether lower-cased ``text`` holds any of ``words`` as a substring."""
-    low = F.lower(text)
+    return bound(F.lower(text), lambda low: any_in(low, words))
+
+
+def any_in(low: Column, words: Iterable[str]) -> Column:
+    """The same for text that is in lower case already."""
     out = F.lit(False)
     for w in words:
         out = out | F.contains(low, F.lit(w))
@@ -21,7 +30,10 @@ def any_of(text: Column, words: Iterable[str]) -> Column:
 
 def count_of(text: Column, words: Iterable[str]) -> Column:
     """How many of ``words`` lower-cased ``text`` holds as substrings."""
-    low = F.lower(text)
+    return bound(F.lower(text), lambda low: count_in(low, words))
+
+
+def count_in(low: Column, words: Iterable[str]) -> Column:
     return sum((F.contains(low, F.lit(w)).cast("int") for w in words), F.lit(0))
 
 

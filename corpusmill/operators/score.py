@@ -41,7 +41,11 @@ def policy_reward(text: Column) -> Column:
 def quality_reward(text: Column) -> Column:
     """Concreteness, length, tone and relevance of the answer's response, or else of the whole text."""
     said = F.coalesce(F.nullif(tx.json_field(tx.strict_json(text), "response"), F.lit("")), tx.strip(text))
-    actions, n = tx.count_of(said, domain.ACTION_WORDS), F.length(said)
+    return tx.bound(said, lambda s: tx.bound(F.struct(s.alias("s"), F.lower(s).alias("low")), lambda x: _quality(x["s"], x["low"])))
+
+
+def _quality(said: Column, low: Column) -> Column:
+    actions, n = tx.count_in(low, domain.ACTION_WORDS), F.length(said)
     concrete = F.when(actions >= 3, 0.25).when(actions >= 1, 0.15).otherwise(0.05)
     length = F.when(n < 20, 0.0).when(n < 50, 0.10).when(n > 2000, 0.05).when(n > 1000, 0.15).otherwise(0.25)
     caps = F.filter(F.regexp_extract_all(said, F.lit(r"\b[A-Z]{4,}\b"), 0), lambda w: ~w.isin(*domain.ALLOWED_CAPS))
@@ -49,7 +53,7 @@ def quality_reward(text: Column) -> Column:
         F.lit(0.0),
         F.lit(0.25) - F.when(said.rlike("(?i)" + domain.INFORMAL), 0.15).otherwise(0.0) - F.when(said.rlike("[!?]{3,}"), 0.10).otherwise(0.0) - F.when(F.size(caps) > 2, 0.10).otherwise(0.0),
     )
-    has = lambda words, v: F.when(tx.any_of(said, words), v).otherwise(0.0)
+    has = lambda words, v: F.when(tx.any_in(low, words), v).otherwise(0.0)
     relevant = has(domain.ADDRESS_WORDS, 0.10) + has(domain.EMPATHY_WORDS, 0.10) + has(domain.CONTEXT_WORDS, 0.05)
     return F.when(said == "", 0.0).otherwise(concrete + length + tone + relevant)
 
