@@ -118,7 +118,7 @@ def score_quality(docs: DataFrame, model: Model, *, key: str = "doc_id", text: s
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for part in text_parts(batches, "t", 8 << 20):
+        for part in text_parts(batches, "t"):
             scores = np.array([sent.value.score(t) for t in part.column("t").cast(pa.large_binary()).fill_null(b"").to_pylist()])
             yield pa.RecordBatch.from_arrays([part.column("k"), pa.array(scores, pa.float64()), pa.array((scores >= threshold).astype(np.int32))], names=[key, "score", "predicted"])
 
@@ -132,8 +132,8 @@ def keep_good(docs: DataFrame, model: Model, *, text: str = "text", threshold: f
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for batch in batches:
-            texts = batch.column(at).cast(pa.large_binary()).fill_null(b"").to_pylist()
-            yield batch.filter(pa.array([sent.value.score(t) >= threshold for t in texts], pa.bool_()))
+        for part in text_parts(batches, text):
+            texts = part.column(at).cast(pa.large_binary()).fill_null(b"").to_pylist()
+            yield part.filter(pa.array([sent.value.score(t) >= threshold for t in texts], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

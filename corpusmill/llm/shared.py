@@ -53,7 +53,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ---------------------------------------------------------------- Arrow batches
 
 
-def text_parts(batches, column: str, max_bytes: int = 4 << 20):
+def text_parts(batches, column: str, max_bytes: int = 1 << 20):
     """Slices of the batches with at most ``max_bytes`` of ``column`` each (or one row)."""
     for batch in batches:
         if not batch.num_rows:
