@@ -128,3 +128,34 @@ def enriched(steps: Column, tools: Column, urgency: Column) -> dict[str, Column]
     """Enrichment after its checks: up to six steps, up to four known tools, urgency or medium."""
     known = F.filter(tools, lambda t: t.isin(*domain.TOOL_PARAMETERS))
     return {"steps": F.slice(steps, 1, 6), "tools": F.slice(known, 1, 4), "urgency": F.when(urgency.isin(*domain.URGENCIES), urgency).otherwise("medium")}
+
+
+def apply_enrichment(messages: Column, steps: Column, tools: Column, urgency: Column) -> Column:
+    """Messages whose structured assistant answers get the steps, tools and urgency; others stay."""
+    new = enriched(steps, tools, urgency)
+
+    def one(m: Column) -> Column:
+        parsed = tx.strict_json(m["content"])
+        field = lambda n: tx.json_field(parsed, n).alias(n)
+        body = F.to_json(F.struct(field("intent"), new["urgency"].alias("urgency"), new["steps"].alias("workflow_steps"), new["tools"].alias("tools_required"), field("reasoning"), field("response")))
+        fits = (m["role"] == "assistant") & F.coalesce(F.schema_of_variant(parsed).startswith("OBJECT"), F.lit(False)) & (F.size(steps) > 0)
+        return message(m["role"], F.when(fits, body).otherwise(m["content"]))
+
+    return F.transform(messages, one)
+
+
+def preferred_turns(chosen: Column, rejected: Column) -> Column:
+    """prompt (chosen's turns but the assistant's), chosen and rejected (the assistant's turns); null
+    if either has none or both say the same."""
+    said = lambda c: F.filter(c, lambda m: m["role"] == "assistant")
+    prompt = F.filter(chosen, lambda m: m["role"] != "assistant")
+    pair = F.struct(prompt.alias("prompt"), said(chosen).alias("chosen"), said(rejected).alias("rejected"))
+    return F.when((F.size(said(chosen)) > 0) & (F.size(said(rejected)) > 0) & (said(chosen) != said(rejected)), pair)
+
+
+def tool_calls_answered(messages: Column) -> Column:
+    """Whether a tool's message follows every assistant message that is a call (JSON with a name)."""
+    call = lambda m: (m["role"] == "assistant") & F.coalesce(tx.json_field(tx.strict_json(m["content"]), "name").isNotNull(), F.lit(False))
+    places = F.sequence(F.lit(1), F.greatest(F.size(messages), F.lit(1)))
+    at = lambda i: F.try_element_at(messages, i)
+    return F.forall(places, lambda i: ~F.coalesce(call(at(i)), F.lit(False)) | F.coalesce(at(i + 1)["role"] == "tool", F.lit(False)))

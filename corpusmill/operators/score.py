@@ -174,3 +174,16 @@ def pii_audit(df: DataFrame, column: str) -> DataFrame:
     """(type, n) of all matches of the patterns of personal data."""
     counts = [F.struct(F.lit(k).alias("type"), F.sum(F.regexp_count(column, F.lit(p))).alias("n")) for k, p in domain.PII.items()]
     return df.agg(F.array(*counts).alias("a")).select(F.inline("a"))
+
+
+def cost(tokens_in: Column, tokens_out: Column, model: Column, rates: dict[str, tuple[float, float]], default: tuple[float, float] = (1.0, 3.0)) -> Column:
+    """The price of a call from rates for a million tokens in and out."""
+    rate = lambda i: F.coalesce(F.element_at(F.create_map(*[F.lit(x) for k, v in rates.items() for x in (k, v[i])]), model) if rates else F.lit(None).cast("double"), F.lit(default[i]))
+    return (tokens_in * rate(0) + tokens_out * rate(1)) / 1e6
+
+
+def execute_call(name: Column, given: Column) -> Column:
+    """A mock run of a tool call: status and what is missing."""
+    missing = missing_parameters(name, given)
+    status = F.when(missing.isNull(), "unknown_tool").when(F.size(missing) > 0, "missing_parameters").otherwise("success")
+    return F.struct(name.alias("tool"), status.alias("status"), F.coalesce(missing, F.array().cast("array<string>")).alias("missing"))

@@ -110,3 +110,27 @@ def test_jsonl_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(1, "é"), (2, None)], "a long, b string")
     readers.write_jsonl(df, str(tmp_path / "out"))
     assert sorted(map(tuple, readers.read_jsonl(spark, str(tmp_path / "out"), "a long, b string").collect())) == [(1, "é"), (2, None)]
+
+
+def test_enrichment_pairs_and_calls(spark):
+    kind = "array<struct<role:string,content:string>>"
+    rows = [([("user", "q"), ("assistant", '{"intent":"a","response":"r"}')], [("user", "q"), ("assistant", "other")], ["s"] * 8, ["vision_api", "nothing"], "odd")]
+    df = spark.createDataFrame(rows, f"m {kind}, r {kind}, steps array<string>, tools array<string>, urgency string")
+    out = df.select(convert.apply_enrichment(F.col("m"), F.col("steps"), F.col("tools"), F.col("urgency")).alias("m"), convert.preferred_turns(F.col("m"), F.col("r")).alias("p"), convert.preferred_turns(F.col("m"), F.col("m")).alias("none")).first()
+    import json
+
+    body = json.loads(out["m"][1]["content"])
+    assert (len(body["workflow_steps"]), body["tools_required"], body["urgency"], body["intent"]) == (6, ["vision_api"], "medium", "a")
+    assert out["none"] is None and [m["role"] for m in out["p"]["prompt"]] == ["user"] and out["p"]["rejected"][0]["content"] == "other"
+    calls = [([("assistant", '{"name":"x"}'), ("tool", "1")],), ([("assistant", '{"name":"x"}')],), ([("user", "x")],)]
+    got = [r[0] for r in spark.createDataFrame(calls, f"m {kind}").select(convert.tool_calls_answered(F.col("m"))).collect()]
+    assert got == [True, False, True]
+
+
+def test_costs_and_mock_calls(spark):
+    from corpusmill.operators import score
+
+    df = spark.createDataFrame([("m", 1000, 500, "order_lookup_api", ["order_id"]), ("x", 1000, 500, "none", []), ("x", 0, 0, "policy_engine", ["context"])], "m string, i long, o long, n string, g array<string>")
+    rows = df.select(score.cost(F.col("i"), F.col("o"), F.col("m"), {"m": (2.0, 4.0)}).alias("c"), score.execute_call(F.col("n"), F.col("g")).alias("e")).collect()
+    assert [round(r["c"], 6) for r in rows] == [0.004, 0.0025, 0.0]
+    assert [(r["e"]["status"], r["e"]["missing"]) for r in rows] == [("success", []), ("unknown_tool", []), ("missing_parameters", ["policy_type"])]
