@@ -4,7 +4,7 @@ Pivots are a bounded sample of the vectors.  Each vector is represented by its `
 nearest pivots in order and posted, with its place, in those pivots' inverted files.  A query walks the
 files of its own pivots and ranks vectors by the footrule distance of the two orders (a pivot
 missing in one counts as place ``prefix``); the best ``share`` of each file block is reranked by
-exact distance.  The index is partitioned by vector: every block of it answers every query.
+exact distance, where members with the same two nearest pivots count as one.  The index is partitioned by vector: every block of it answers every query.
 """
 
 from __future__ import annotations
@@ -37,20 +37,35 @@ def orders(vectors: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
     return np.take_along_axis(near, np.argsort(d, axis=1, kind="stable"), axis=1)
 
 
+def spread(points: np.ndarray, n: int) -> np.ndarray:
+    """``n`` of the points, each the farthest from those before it, so that a crowd gives few."""
+    if len(points) <= n:
+        return points
+    chosen, far = [0], ((points - points[0]) ** 2).sum(axis=1)
+    while len(chosen) < n:
+        chosen.append(int(far.argmax()))
+        far = np.minimum(far, ((points - points[chosen[-1]]) ** 2).sum(axis=1))
+    return points[chosen]
+
+
 class Files:
-    """The inverted files of one block of vectors."""
+    """The inverted files of one block of vectors; equal ones are one member with all their ids."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, pivots: np.ndarray, prefix: int):
-        by = np.argsort(ids, kind="stable")
-        self.ids, self.vectors, self.prefix = ids[by], vectors[by], prefix
+        self.vectors, member = np.unique(vectors + 0.0, axis=0, return_inverse=True)
+        by = np.lexsort((ids, member.ravel()))
+        self.ids, self.prefix = ids[by], prefix
+        self.owned = np.searchsorted(member.ravel()[by], np.arange(len(self.vectors) + 1))
         seen = orders(self.vectors, pivots, prefix)
         order = np.argsort(seen.ravel(), kind="stable")
         self.member, self.place = order // prefix, (order % prefix).astype(np.int64)
         self.starts = np.searchsorted(seen.ravel()[order], np.arange(len(pivots) + 1))
+        cell = seen[:, 0].astype(np.int64) * len(pivots) + seen[:, min(1, prefix - 1)]
+        self.cell, self.cells = np.unique(cell, return_inverse=True)[1].ravel(), len(np.unique(cell))
 
     def footrule(self, query: np.ndarray) -> np.ndarray:
         """The footrule distance from the query's pivot order to every member."""
-        total = np.full(len(self.ids), int((self.prefix - np.arange(len(query))).sum()), np.int64)
+        total = np.full(len(self.vectors), int((self.prefix - np.arange(len(query))).sum()), np.int64)
         for at, pivot in enumerate(query.tolist()):
             files = slice(self.starts[pivot], self.starts[pivot + 1])
             total[self.member[files]] += np.abs(self.place[files] - at) - (self.prefix - at)
@@ -58,14 +73,21 @@ class Files:
 
     def search(self, own: int, vector: np.ndarray, query: np.ndarray, k: int, share: float) -> tuple[np.ndarray, np.ndarray]:
         """(ids, distances) of the k nearest among the candidates; not ``own``."""
-        n = len(self.ids)
-        take = min(n, max(8 * k + 1, math.ceil(share * n)))
-        rank = self.footrule(query) * n + np.arange(n)  # ties: the smaller id
-        found = np.argpartition(rank, take - 1)[:take] if take < n else np.arange(n)
-        found = found[self.ids[found] != own]
+        order = np.argsort(self.footrule(query), kind="stable")
+        # members with the same two nearest pivots count as one, so that a crowd takes no others' place
+        met = np.sort(np.unique(self.cell[order], return_index=True)[1])
+        take = max(8 * k + 1, math.ceil(share * self.cells))
+        found = order[: max(met[take], take)] if take < len(met) else order
         d = np.sqrt(((self.vectors[found] - vector) ** 2).sum(axis=1))
-        best = np.lexsort((self.ids[found], d))[:k]
-        return self.ids[found][best], d[best]
+        near = np.argsort(d, kind="stable")[: k + 1]  # the k nearest, and one more if the query is among them
+        near = found[d <= d[near[-1]]]
+        # of equal vectors, the k + 1 smallest ids are all that can be among the k nearest
+        ids = [self.ids[self.owned[m] : min(self.owned[m + 1], self.owned[m] + k + 1)] for m in near]
+        d = np.repeat(np.sqrt(((self.vectors[near] - vector) ** 2).sum(axis=1)), [len(x) for x in ids])
+        ids = np.concatenate(ids)
+        d, ids = d[ids != own], ids[ids != own]
+        best = np.lexsort((ids, d))[:k]
+        return ids[best], d[best]
 
 
 def matrix(array, n: int) -> np.ndarray:
@@ -82,19 +104,21 @@ def nearest(
     Vectors that are null, zero or hold null or non-finite components, rows with null keys, and vectors
     without the length of most pivots take no part.  Of repeated keys, queries take one row (the smallest
     vector) and results one (the nearest).  Empty tables give no rows; other columns are ignored.
-    At most ``pivots`` vectors, and QUERIES queries at a time, are gathered.
+    Of four times ``pivots`` vectors those farthest apart are pivots; these, and QUERIES queries at
+    a time, are all that is gathered.
     """
     spark = vectors.sparkSession
     good = lambda df: df.select(F.col(key).cast("long").alias("k"), F.col(vector).cast("array<double>").alias("v")).where(F.col("k").isNotNull() & usable(F.col("v")))
     rows = good(vectors)
     asked = good(queries) if queries is not None else rows.where(F.pmod("k", F.lit(every)) == 0)
-    sample = rows.orderBy(F.xxhash64("k"), "k", "v").limit(pivots).collect()
+    sample = rows.orderBy(F.xxhash64("k"), "k", "v").limit(4 * pivots).collect()  # copies may be among them
     schema = "query_id long, vec_id long, score double"
     if not sample:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     sizes = [len(r["v"]) for r in sample]
     dim = max(sorted(set(sizes)), key=sizes.count)
-    chosen = spark.sparkContext.broadcast(np.unique(np.array([r["v"] for r in sample if len(r["v"]) == dim]), axis=0))
+    distinct = dict.fromkeys(tuple(r["v"]) for r in sample if len(r["v"]) == dim)
+    chosen = spark.sparkContext.broadcast(spread(np.array(list(distinct)), pivots))
     prefix = min(prefix, len(chosen.value))
     rows, asked = rows.where(F.size("v") == dim), asked.where(F.size("v") == dim)
     blocks = max(1, math.ceil(asked.count() / QUERIES))

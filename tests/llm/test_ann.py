@@ -42,3 +42,15 @@ def test_odd_vectors(spark):
 def test_no_rows(spark):
     assert nearest(spark.createDataFrame([], SCHEMA)).count() == 0
     assert nearest(spark.createDataFrame([(1, [1.0], "x", 0.0)], SCHEMA)).count() == 0
+
+
+def test_recall_with_a_very_common_vector(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3000, 64))
+    x[rng.random(3000) < 0.4] = x[0]
+    x[5::50] = x[0] + 0.3 * rng.normal(size=x[5::50].shape)
+    ids = np.arange(3000)
+    df = spark.createDataFrame([(int(i), [float(v) for v in r]) for i, r in zip(ids, x)], "vec_id long, embedding array<double>")
+    want = brute(ids, x, 25, 10)
+    got = [(r["query_id"], r["vec_id"]) for r in nearest(df, every=25).collect()]
+    assert sum(v in dict(want[q]) for q, v in got) >= 0.9 * len(got) == 0.9 * 1200
