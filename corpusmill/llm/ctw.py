@@ -55,7 +55,11 @@ def lgamma(x: np.ndarray) -> np.ndarray:
 
 def kt_block(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """ln of the KT probability of any sequence with these counts."""
-    return lgamma(zeros + 0.5) + lgamma(ones + 0.5) - math.log(math.pi) - lgamma(zeros + ones + 1.0)
+    out = np.empty(len(zeros))
+    for i in range(0, len(zeros), 1 << 16):  # few temporaries at a time
+        a, b = zeros[i : i + (1 << 16)], ones[i : i + (1 << 16)]
+        out[i : i + (1 << 16)] = lgamma(a + 0.5) + lgamma(b + 0.5) - math.log(math.pi) - lgamma(a + b + 1.0)
+    return out
 
 
 def _starts(values: np.ndarray) -> np.ndarray:
@@ -98,7 +102,8 @@ class Model:
         del by_depth, counts
         self.logp = logp.astype(np.float32)
         self.nodes = []
-        for found in parts:
+        for d in range(depth):
+            found, parts[d] = parts[d], None
             keys, mixed, rest = (np.concatenate([f[i] for f in found]) if found else np.empty(0, np.int64) for i in range(3))
             order = np.argsort(keys)
             self.nodes.append((keys[order], mixed[order], rest[order]))
