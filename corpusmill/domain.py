@@ -36,6 +36,95 @@ QUEUE_INTENT = {
     "Service Outages and Maintenance": "complaint", "Sales and Pre-Sales": "product_inquiry", "General Inquiry": "general_inquiry",
     "Human Resources": "general_inquiry",
 }
+CATEGORY_TOOLS = {
+    "order_status": ("order_lookup_api", "shipment_tracking_api"), "refund_request": ("order_lookup_api", "refund_processing_api"),
+    "billing_inquiry": ("payment_gateway_api", "invoice_verification_api"), "complaint": ("ticket_update_api", "customer_profile_api"),
+    "shipping_issue": ("shipment_tracking_api", "order_lookup_api"), "cancellation": ("order_lookup_api", "customer_profile_api"),
+    "account_management": ("customer_profile_api",), "payment_issue": ("payment_gateway_api", "customer_profile_api"),
+    "general_inquiry": ("ticket_update_api",),
+}
+CATEGORY_STEPS = {
+    "order_status": ("check_order", "track_shipment", "provide_update", "notify_customer"),
+    "refund_request": ("verify_order", "check_refund_eligibility", "process_refund", "send_confirmation"),
+    "billing_inquiry": ("verify_identity", "check_billing_records", "resolve_discrepancy", "notify_customer"),
+    "complaint": ("acknowledge_issue", "investigate_complaint", "propose_resolution", "follow_up"),
+    "shipping_issue": ("check_shipment_status", "investigate_delay", "update_customer", "arrange_reshipment"),
+    "cancellation": ("verify_order", "check_cancellation_policy", "process_cancellation", "confirm_refund"),
+    "account_management": ("verify_identity", "update_account", "confirm_changes", "notify_customer"),
+    "payment_issue": ("verify_identity", "check_payment_status", "resolve_payment", "confirm_resolution"),
+    "general_inquiry": ("assess_request", "provide_information", "offer_assistance"),
+}
+QUEUE_TOOLS = {
+    "technical_support": ("ticket_update_api", "customer_profile_api"), "billing_inquiry": ("payment_gateway_api", "invoice_verification_api"),
+    "return_request": ("order_lookup_api", "refund_processing_api"), "product_inquiry": ("customer_profile_api", "policy_engine"),
+    "general_inquiry": ("ticket_update_api",), "complaint": ("ticket_update_api", "customer_profile_api"),
+}
+QUEUE_STEPS = {
+    "technical_support": ("diagnose_issue", "check_system_status", "apply_fix", "verify_resolution", "notify_customer"),
+    "billing_inquiry": ("verify_identity", "check_billing_records", "resolve_discrepancy", "notify_customer"),
+    "return_request": ("verify_order", "check_return_policy", "process_return", "arrange_pickup", "confirm_refund"),
+    "product_inquiry": ("identify_product", "provide_information", "offer_alternatives"),
+    "general_inquiry": ("assess_request", "provide_information", "offer_assistance"),
+    "complaint": ("acknowledge_issue", "investigate_root_cause", "escalate_if_needed", "propose_resolution"),
+}
+#: Banking labels by intent; atm_support has none and falls to general_inquiry.
+BANKING_LABELS = {
+    "payment_issue": (
+        "card_not_working", "declined_card_payment", "declined_cash_withdrawal", "declined_transfer", "failed_transfer", "pending_card_payment",
+        "pending_cash_withdrawal", "pending_top_up", "pending_transfer", "contactless_not_working", "card_swallowed", "virtual_card_not_working",
+        "top_up_failed",
+    ),
+    "billing_inquiry": (
+        "card_payment_fee_charged", "cash_withdrawal_charge", "exchange_charge", "exchange_rate", "card_payment_wrong_exchange_rate",
+        "extra_charge_on_statement", "top_up_by_bank_transfer_charge", "top_up_by_card_charge", "transfer_fee_charged",
+        "transaction_charged_twice", "wrong_exchange_rate_for_cash_withdrawal", "direct_debit_payment_not_recognised",
+        "card_payment_not_recognised", "cash_withdrawal_not_recognised", "wrong_amount_of_cash_received",
+    ),
+    "refund_request": ("request_refund", "refund_not_showing_up", "reverted_card_payment", "top_up_reverted"),
+    "fraud_report": ("lost_or_stolen_card", "lost_or_stolen_phone", "compromised_card"),
+    "account_management": (
+        "activate_my_card", "change_pin", "pin_blocked", "edit_personal_details", "passcode_forgotten", "unable_to_verify_identity",
+        "verify_my_identity", "verify_source_of_funds", "why_verify_identity", "card_linking", "verify_top_up",
+    ),
+    "cancellation": ("cancel_transfer", "terminate_account"),
+    "product_inquiry": (
+        "get_physical_card", "get_disposable_virtual_card", "getting_virtual_card", "getting_spare_card", "order_physical_card",
+        "supported_cards_and_currencies", "fiat_currency_support", "country_support", "apple_pay_or_google_pay", "visa_or_mastercard",
+        "card_acceptance", "age_limit", "exchange_via_app", "disposable_card_limits", "top_up_limits", "automatic_top_up",
+        "top_up_by_cash_or_cheque", "topping_up_by_card",
+    ),
+    "shipping_issue": ("card_arrival", "card_delivery_estimate", "card_about_to_expire"),
+    "order_status": (
+        "balance_not_updated_after_bank_transfer", "balance_not_updated_after_cheque_or_cash_deposit", "transfer_not_received_by_recipient",
+        "transfer_timing", "receiving_money", "transfer_into_account", "beneficiary_not_allowed",
+    ),
+    "general_inquiry": ("atm_support",),
+}
+BANKING_URGENCY = {
+    "compromised_card": "critical", "lost_or_stolen_card": "critical", "lost_or_stolen_phone": "critical", "pin_blocked": "high",
+    "card_not_working": "high", "declined_card_payment": "high", "failed_transfer": "high", "transaction_charged_twice": "high",
+    "card_swallowed": "high", "pending_transfer": "medium",
+}
+#: Labels of the out-of-scope set by intent; all others are general_inquiry.
+SCOPE_LABELS = {
+    "order_status": ("order_status", "order", "order_checks", "flight_status", "application_status"),
+    "billing_inquiry": (
+        "bill_balance", "bill_due", "pay_bill", "min_payment", "transactions", "spending_history", "balance", "credit_score", "credit_limit",
+        "credit_limit_change", "interest_rate", "apr", "international_fees", "exchange_rate", "redeem_rewards", "rewards_balance", "income",
+        "taxes", "w2", "payday", "rollover_401k",
+    ),
+    "payment_issue": ("card_declined", "transfer", "direct_deposit"),
+    "fraud_report": ("report_fraud", "report_lost_card", "freeze_account"),
+    "account_management": (
+        "account_blocked", "pin_change", "reset_settings", "change_user_name", "change_language", "change_accent", "change_ai_name",
+        "change_speed", "change_volume", "sync_device", "user_name",
+    ),
+    "cancellation": ("cancel", "cancel_reservation"),
+    "product_inquiry": ("new_card", "insurance", "insurance_change", "international_visa", "plug_type", "carry_on", "vaccines", "mpg"),
+    "return_request": ("damaged_card", "lost_luggage"),
+    "shipping_issue": ("replacement_card_duration",),
+}
+SCOPE_URGENCY = {"report_fraud": "critical", "report_lost_card": "critical", "freeze_account": "critical", "account_blocked": "high", "card_declined": "high", "oos": "low"}
 COLUMN_ALIASES = {
     "customer_message": ("body", "text", "message", "input", "instruction", "query", "content"),
     "agent_response": ("response", "answer", "reply", "output", "resolution"),

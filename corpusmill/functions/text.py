@@ -122,15 +122,14 @@ def token_distance_score(pred: Column, gold: Column) -> Column:
     For up to 200 distinct items a row; both empty 1, one empty 0.
     """
     clean = lambda a: F.transform(a, lambda t: F.lower(strip(t)))
-    p, g = clean(pred), clean(gold)
-    names = F.array_distinct(F.concat(p, g))
-    code = lambda a: F.array_join(F.transform(a, lambda t: F.char((F.array_position(names, t) + 32).cast("int"))), "")
-    longest = F.greatest(F.size(p), F.size(g))
-    return (
-        F.when((F.size(p) == 0) & (F.size(g) == 0), 1.0)
-        .when((F.size(p) == 0) | (F.size(g) == 0), 0.0)
-        .otherwise(1.0 - F.levenshtein(code(p), code(g)) / longest)
-    )
+
+    def scored(x: Column) -> Column:
+        p, g, names = x["p"], x["g"], x["names"]
+        code = lambda a: F.array_join(F.transform(a, lambda t: F.char((F.array_position(names, t) + 32).cast("int"))), "")
+        score = 1.0 - F.levenshtein(code(p), code(g)) / F.greatest(F.size(p), F.size(g))
+        return F.when((F.size(p) == 0) & (F.size(g) == 0), 1.0).when((F.size(p) == 0) | (F.size(g) == 0), 0.0).otherwise(score)
+
+    return bound(F.struct(clean(pred).alias("p"), clean(gold).alias("g")), lambda x: bound(F.struct(x["p"].alias("p"), x["g"].alias("g"), F.array_distinct(F.concat(x["p"], x["g"])).alias("names")), scored))
 
 
 def jaccard(a: Column, b: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,8 +20,14 @@ def triple(user: Column, assistant: Column, system: str = domain.SYSTEM_PROMPT)
     return F.array(message("system", F.lit(system)), message("user", user), message("assistant", assistant))
 
 
-def structured_answer(intent: Column, urgency: Column, reasoning: Column, response: Column) -> Column:
-    return F.to_json(F.struct(intent.alias("intent"), urgency.alias("urgency"), reasoning.alias("reasoning"), response.alias("response")))
+def structured_answer(intent: Column, urgency: Column, steps: Column, tools: Column, reasoning: Column, response: Column) -> Column:
+    named = {"intent": intent, "urgency": urgency, "workflow_steps": steps, "tools_required": tools, "reasoning": reasoning, "response": response}
+    return F.to_json(F.struct(*[c.alias(n) for n, c in named.items()]))
+
+
+def _list_of(table: Mapping[str, Sequence[str]], key: Column, default: Sequence[str]) -> Column:
+    words = lambda v: F.array(*map(F.lit, v))
+    return F.coalesce(F.try_element_at(F.create_map(*[x for k, v in table.items() for x in (F.lit(k), words(v))]), key), words(default))
 
 
 def _field(df: DataFrame, *names: str, default: str = "") -> Column:
@@ -31,11 +37,13 @@ def _field(df: DataFrame, *names: str, default: str = "") -> Column:
 
 def from_category(df: DataFrame) -> DataFrame:
     """Category tickets: intent and urgency from the category, raised by the message's words."""
-    user, category = _field(df, "customer_message", "instruction"), F.upper(_field(df, "category", "intent"))
+    user, category, said = _field(df, "customer_message", "instruction"), F.upper(_field(df, "category")), _field(df, "intent")
     intent = tx.lookup(domain.CATEGORY_INTENT, category, "general_inquiry")
     urgency = tx.escalated_urgency(tx.lookup(domain.CATEGORY_URGENCY, category, "medium"), user)
-    reasoning = F.concat(F.lit("Category "), category, F.lit(" means "), intent, F.lit("."))
-    return df.withColumns({"intent_out": intent, "urgency_out": urgency}).withColumn("messages", triple(user, structured_answer(intent, urgency, reasoning, _field(df, "agent_response", "response"))))
+    steps, tools = _list_of(domain.CATEGORY_STEPS, intent, ("assess_request", "resolve_issue")), _list_of(domain.CATEGORY_TOOLS, intent, ("ticket_update_api",))
+    reasoning = F.concat(F.lit("Customer request categorized as "), intent, F.lit(" ("), said, F.lit("). Urgency: "), urgency, F.lit("."))
+    answer = structured_answer(intent, urgency, steps, tools, reasoning, _field(df, "agent_response", "response"))
+    return df.withColumns({"intent_out": intent, "urgency_out": urgency, "messages": triple(user, answer)})
 
 
 def from_queue(df: DataFrame) -> DataFrame:
@@ -43,8 +51,53 @@ def from_queue(df: DataFrame) -> DataFrame:
     user, queue, priority = _field(df, "customer_message", "body"), _field(df, "queue", default="Customer Service"), _field(df, "priority", "urgency", default="medium")
     intent = tx.lookup(domain.QUEUE_INTENT, queue, "general_inquiry")
     urgency = tx.escalated_urgency(F.when(priority.isin("high", "medium", "low"), priority).otherwise("medium"), user)
-    reasoning = F.concat(F.lit("Queue "), queue, F.lit(", priority "), priority, F.lit("."))
-    return df.withColumns({"intent_out": intent, "urgency_out": urgency}).withColumn("messages", triple(user, structured_answer(intent, urgency, reasoning, _field(df, "agent_response", "answer"))))
+    steps, tools = _list_of(domain.QUEUE_STEPS, intent, ("assess_request", "resolve_issue")), _list_of(domain.QUEUE_TOOLS, intent, ("ticket_update_api",))
+    reasoning = F.concat(F.lit("Ticket routed to "), queue, F.lit(" queue with "), priority, F.lit(" priority. Type: "), _field(df, "type"), F.lit(". Classified as "), intent, F.lit("."))
+    answer = structured_answer(intent, urgency, steps, tools, reasoning, _field(df, "agent_response", "response", "answer"))
+    return df.withColumns({"intent_out": intent, "urgency_out": urgency, "messages": triple(user, answer)})
+
+
+def _named_label(df: DataFrame, column: str, names: Sequence[str]) -> Column:
+    """A label by its number among ``names``; else its text in lower case with underscores."""
+    text = F.replace(F.lower(F.col(column).cast("string")), F.lit(" "), F.lit("_"))
+    if not names or df.schema[column].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        return F.coalesce(text, F.lit(""))
+    number = F.col(column)
+    known = F.when(number.between(0, len(names) - 1), F.get(F.array(*map(F.lit, names)), number.cast("int")))
+    return F.coalesce(known, text, F.lit(""))
+
+
+def from_banking(df: DataFrame, column: str = "label") -> DataFrame:
+    """Banking messages: intent and urgency from the label (a name, or its place among all in order)."""
+    by_label = {x: intent for intent, labels in domain.BANKING_LABELS.items() for x in labels}
+    user, label = _field(df, "text", "customer_message"), _named_label(df, column, sorted(by_label))
+    intent = tx.lookup(by_label, label, "general_inquiry")
+    urgency = tx.escalated_urgency(tx.lookup(domain.BANKING_URGENCY, label, "medium"), user)
+    steps, tools = _list_of(domain.CATEGORY_STEPS, intent, ("verify_identity", "resolve_issue")), _list_of(domain.CATEGORY_TOOLS, intent, ("customer_profile_api",))
+    plain = F.replace(label, F.lit("_"), F.lit(" "))
+    reasoning = F.concat(F.lit("Customer is asking about "), plain, F.lit(". Classified as "), intent, F.lit(" with "), urgency, F.lit(" urgency."))
+    response = F.concat(F.lit("I understand that this is about "), plain, F.lit(". Let me look into it right away."))
+    return df.withColumns({"intent_out": intent, "urgency_out": urgency, "messages": triple(user, structured_answer(intent, urgency, steps, tools, reasoning, response))})
+
+
+def from_scope_labels(df: DataFrame, column: str = "intent", names: Sequence[str] = ()) -> DataFrame:
+    """Messages of the out-of-scope set, where ``oos`` goes to a person; ``names``: what label numbers stand for."""
+    by_label = {x: intent for intent, labels in domain.SCOPE_LABELS.items() for x in labels}
+    user, label = _field(df, "text"), _named_label(df, column, names)
+    intent = tx.lookup(by_label, label, "general_inquiry")
+    urgency = tx.escalated_urgency(tx.lookup(domain.SCOPE_URGENCY, label, "medium"), user)
+    steps, tools = _list_of(domain.CATEGORY_STEPS, intent, ("assess_request", "provide_information")), _list_of(domain.CATEGORY_TOOLS, intent, ("ticket_update_api",))
+    plain, out = F.replace(label, F.lit("_"), F.lit(" ")), label == "oos"
+    reasoning = F.concat(F.lit("Customer is asking about "), plain, F.lit(". Classified as "), intent, F.lit(" with "), urgency, F.lit(" urgency."))
+    response = F.concat(F.lit("I am glad to help with "), plain, F.lit(". Let me look it up for you."))
+    reasoning = F.when(out, "Request is outside standard service categories. Escalating to a human agent.").otherwise(reasoning)
+    response = F.when(out, "Thank you for asking. A colleague who knows more about this will help you.").otherwise(response)
+    return df.withColumns({"intent_out": intent, "urgency_out": urgency, "messages": triple(user, structured_answer(intent, urgency, steps, tools, reasoning, response))})
+
+
+def from_preference(df: DataFrame) -> DataFrame:
+    """prompt, chosen and rejected, each an empty list where it is null."""
+    return df.select(*[F.coalesce(F.col(c), F.array().cast(df.schema[c].dataType)).alias(c) for c in ("prompt", "chosen", "rejected")])
 
 
 def from_turns(df: DataFrame, column: str = "conversations") -> DataFrame:
@@ -57,10 +110,10 @@ def from_turns(df: DataFrame, column: str = "conversations") -> DataFrame:
 
 
 def from_marked_text(df: DataFrame, column: str = "chat") -> DataFrame:
-    """Text with SYSTEM:, USER:, ASSISTANT:, FUNCTION CALL: and FUNCTION RESPONSE: marks."""
-    marks = "SYSTEM:|USER:|ASSISTANT:|FUNCTION CALL:|FUNCTION RESPONSE:"
+    """Text with SYSTEM:, USER:, ASSISTANT:, FUNCTION_CALL: and FUNCTION_RESPONSE: marks."""
+    marks = "SYSTEM:|USER:|ASSISTANT:|FUNCTION_CALL:|FUNCTION_RESPONSE:"
     pattern = F.lit(f"(?s)({marks})(.*?)(?={marks}|$)")
-    roles = {"SYSTEM:": "system", "USER:": "user", "ASSISTANT:": "assistant", "FUNCTION CALL:": "assistant", "FUNCTION RESPONSE:": "tool"}
+    roles = {"SYSTEM:": "system", "USER:": "user", "ASSISTANT:": "assistant", "FUNCTION_CALL:": "assistant", "FUNCTION_RESPONSE:": "tool"}
     parts = F.zip_with(F.regexp_extract_all(column, pattern, 1), F.regexp_extract_all(column, pattern, 2), lambda r, b: message(tx.lookup(roles, r, "user"), tx.strip(b)))
     found = F.filter(parts, lambda m: m["content"] != "")
     return df.withColumn("messages", F.when(F.size(found) >= 2, found).otherwise(triple(F.coalesce(column, F.lit("")), F.lit(""))))
@@ -70,18 +123,20 @@ def from_function_calls(df: DataFrame) -> DataFrame:
     """query, tools and answers (JSON text; broken JSON is an empty list)."""
     tools, answers = (F.coalesce(F.try_variant_get(tx.strict_json(F.col(c)), "$", "string"), F.lit("[]")) for c in ("tools", "answers"))
     body = F.when(answers == "[]", F.lit("No tool call needed.")).otherwise(answers)
-    system = F.concat(F.lit(domain.SYSTEM_PROMPT + "\nTools: "), tools)
+    system = F.concat(F.lit(domain.SYSTEM_PROMPT), F.when(tools == "[]", "").otherwise(F.concat(F.lit("\n\nAvailable function schemas:\n"), tools)))
     return df.withColumn("messages", F.array(message("system", system), message("user", F.col("query")), message("assistant", body)))
 
 
 def from_annotated(df: DataFrame) -> DataFrame:
     """Annotated rows: the reasoning joins the steps by arrows."""
-    reasoning = F.concat(F.lit("Steps: "), F.concat_ws(" → ", "workflow_steps"))
-    return df.withColumn("messages", triple(F.col("customer_message"), structured_answer(F.col("intent"), F.col("urgency"), reasoning, F.col("agent_response"))))
+    reasoning = F.concat(F.lit("Customer intent is "), F.col("intent"), F.lit(" with "), F.col("urgency"), F.lit(" urgency. Required workflow: "), F.concat_ws(" → ", "workflow_steps"), F.lit("."))
+    answer = structured_answer(F.col("intent"), F.col("urgency"), F.col("workflow_steps"), F.col("tools_required"), reasoning, F.col("agent_response"))
+    return df.withColumn("messages", triple(F.col("customer_message"), answer))
 
 
 CONVERTERS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "category": from_category, "queue": from_queue, "turns": from_turns, "marked_text": from_marked_text, "function_calls": from_function_calls, "annotated": from_annotated,
+    "banking": from_banking, "scope_labels": from_scope_labels, "preference": from_preference,
 }
 
 
@@ -124,6 +179,12 @@ def last_user(messages: Column) -> Column:
     return F.try_element_at(F.filter(messages, lambda m: m["role"] == "user"), F.lit(-1))["content"]
 
 
+def stated_intent(messages: Column) -> Column:
+    """The intent in the last assistant message that is a JSON object with one, else general_inquiry."""
+    stated = F.transform(F.filter(messages, lambda m: m["role"] == "assistant"), lambda m: tx.json_field(tx.strict_json(m["content"]), "intent"))
+    return F.coalesce(F.try_element_at(F.filter(stated, lambda x: x.isNotNull()), F.lit(-1)), F.lit("general_inquiry"))
+
+
 def enriched(steps: Column, tools: Column, urgency: Column) -> dict[str, Column]:
     """Enrichment after its checks: up to six steps, up to four known tools, urgency or medium."""
     known = F.filter(tools, lambda t: t.isin(*domain.TOOL_PARAMETERS))

@@ -58,17 +58,41 @@ def mismatches(df: DataFrame, pred: str, gold: str, key: str) -> DataFrame:
     return out.where((F.size("missing") > 0) | (F.size("extra") > 0))
 
 
-def latency(df: DataFrame, column: str) -> DataFrame:
+def latency(df: DataFrame, column: str, buckets: int = 4096) -> DataFrame:
     """p50 (interpolated) and p95 (the element at ``int(n * .95)``, from 0) of the values over 0.
 
-    p95 comes from counts of distinct values: those before a value decide whether it is the one.
+    Counts by equal ranges of the values say which range holds a place; only its values are
+    ordered.  Nulls, infinite values and NaN take no part; without values all are null and n is 0.
     """
-    over = df.where(F.col(column) > 0)
-    counts = over.groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    place = over.agg(F.percentile(column, F.lit(0.5)).alias("p50"), F.floor(F.count(F.lit(1)) * F.lit(0.95)).alias("at"), F.count(F.lit(1)).alias("n"))
-    sums = counts.agg(F.array_sort(F.collect_list(F.struct("v", "n"))).alias("a"))
-    reach = F.aggregate("a", F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("double").alias("v")), lambda s, x: F.struct((s["seen"] + x["n"]).alias("seen"), F.when(s["v"].isNull() & (s["seen"] + x["n"] > F.col("at")), x["v"].cast("double")).otherwise(s["v"]).alias("v")))
-    return place.join(F.broadcast(sums)).select("p50", reach["v"].alias("p95"), "n")
+    spark = df.sparkSession
+    over = df.select(F.col(column).cast("double").alias("v")).where(F.col("v") > 0).where(F.col("v") < math.inf)
+
+    def at(places: list[int]) -> dict[int, float]:
+        """The values at these places of the order."""
+        found, todo = {}, [(p, p, None, None) for p in places]
+        while todo:
+            place, rest, low, high = todo.pop()
+            part = over if low is None else over.where(F.col("v").between(low, high))
+            n, least, most = part.agg(F.count(F.lit(1)), F.min("v"), F.max("v")).first()
+            if least == most:
+                found[place] = least
+                continue
+            wide = (most - least) / buckets
+            bucket = F.least(F.floor((F.col("v") - F.lit(least)) / F.lit(wide)), F.lit(buckets - 1)) if wide > 0 else F.when(F.col("v") == least, 0).otherwise(1)
+            rows = part.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).orderBy("b").collect()
+            for r in rows:
+                if rest < r["n"]:
+                    todo.append((place, rest, r["low"], r["high"]))
+                    break
+                rest -= r["n"]
+        return found
+
+    n = over.count()
+    if not n:
+        return spark.createDataFrame([(None, None, 0)], "p50 double, p95 double, n long")
+    places = [(n - 1) // 2, n // 2, math.floor(n * 0.95)]
+    value = at(sorted({*places[:2], min(places[2], n - 1)}))
+    return spark.createDataFrame([((value[places[0]] + value[places[1]]) / 2, value[min(places[2], n - 1)], n)], "p50 double, p95 double, n long")
 
 
 def compare_runs(base: DataFrame, tuned: DataFrame) -> DataFrame:
@@ -78,6 +102,30 @@ def compare_runs(base: DataFrame, tuned: DataFrame) -> DataFrame:
     return a.join(b, "metric").select("metric", "base", "tuned", diff.alias("diff"), F.when(F.abs(diff) < 0.001, "unchanged").when(diff > 0, "improvement").otherwise("regression").alias("change"))
 
 
+def schema_validity(df: DataFrame, column: str) -> DataFrame:
+    """Shares of texts that are JSON, and that are structured answers; 0 without rows."""
+    checked = df.select(tx.strict_json(F.col(column)).alias("j"))
+    rate = lambda c: F.coalesce(F.avg(c.cast("double")), F.lit(0.0))
+    return checked.agg(rate(F.col("j").isNotNull()).alias("json_rate"), rate(F.coalesce(tx.is_valid_output(F.col("j")), F.lit(False))).alias("schema_rate"))
+
+
+def answer_metrics(df: DataFrame, pred: str, gold: str, second: str) -> DataFrame:
+    """Accuracy without regard to case, where a second label counts too, and the share of rows with a prediction."""
+    low = lambda c: F.lower(F.coalesce(F.col(c), F.lit("")))
+    hit = F.col(pred).isNotNull() & ((low(pred) == low(gold)) | ((low(second) != "") & (low(pred) == low(second))))
+    return df.agg(F.avg(hit.cast("double")).alias("accuracy"), F.avg(F.col(pred).isNotNull().cast("double")).alias("parsed"), F.count(F.lit(1)).alias("n"))
+
+
+def significance(df: DataFrame, variant: str, value: str, first: str, second: str) -> DataFrame:
+    """The equal-variance t-test of two variants: one row with t, p and the winner by mean (p < .05),
+    null with fewer than five values in either."""
+    stats = df.where(F.col(variant).isin(first, second)).groupBy(variant).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.var_samp(value).alias("variance"))
+    by = {r[variant]: r.asDict() for r in stats.collect()}
+    got = t_statistic(by[first], by[second]) if first in by and second in by else None
+    winner = None if got is None or got[1] >= 0.05 else first if by[first]["mean"] > by[second]["mean"] else second
+    return df.sparkSession.createDataFrame([(got and got[0], got and got[1], winner)], "t double, p double, winner string")
+
+
 def against_targets(metrics: DataFrame, targets: Mapping[str, float]) -> DataFrame:
     table = F.create_map(*[F.lit(x) for kv in targets.items() for x in kv])
     goal = F.element_at(table, F.col("metric"))

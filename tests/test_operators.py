@@ -60,7 +60,7 @@ def test_stratified_sample_has_every_stratum(spark):
 
 
 def test_converters(spark):
-    marked = spark.createDataFrame([("SYSTEM: s\nUSER: hi\nASSISTANT: yo\nFUNCTION RESPONSE: {}",), ("nothing",)], "chat string")
+    marked = spark.createDataFrame([("SYSTEM: s\nUSER: hi\nASSISTANT: yo\nFUNCTION_RESPONSE: {}",), ("nothing",)], "chat string")
     rows = [[(m["role"], m["content"]) for m in r["messages"]] for r in convert.converter("marked_text")(marked).collect()]
     assert rows[0] == [("system", "s"), ("user", "hi"), ("assistant", "yo"), ("tool", "{}")] and len(rows[1]) == 3
     turns = spark.createDataFrame([([("human", "q"), ("gpt", "a")],), ([],)], "conversations array<struct<from:string,value:string>>")
