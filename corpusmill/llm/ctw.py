@@ -6,8 +6,12 @@ follows.  A symbol is six binary decisions; each has a context tree over the las
 symbols, whose nodes hold Krichevsky-Trofimov (KT) estimates.  A node's weighted probability is
 half its own estimate and half the product of its children's; from that follows the weight of
 every depth, and the prediction mixes the estimates of all of them.  The score of a text is its log10 probability, text end
-included.  The model holds one entry for each context and symbol seen; where these are more than
-MAX_GRAMS, the trees are cut one symbol shorter (at three symbols 64**4 bounds them), over the same counts.
+included.
+
+No machine holds the model, which grows with the corpus.  Contexts that share their last two
+symbols lie in one fragment, whose subtrees need nothing else but the mixture of the depths
+above; that comes from sums over at most 64 * 63 decisions.  Texts ask the fragments for the
+distinct grams of each part of about one MB and add up the answers.
 
 A base line of single words is computed beside it: exact counts over all training tokens.
 """
@@ -20,13 +24,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import Words, materialize, mix, range_hashes, text_buffers, text_parts
 
-DEPTH, SHORTEST, BITS = 5, 3, 6
-MAX_GRAMS = 6_000_000
+DEPTH, BITS = 5, 6
+#: Symbols of context that a fragment's grams share, and grams that a fragment holds on average.
+SPLIT, MODEL_FRAGMENT = 2, 1_000_000
 SYMBOLS = 1 << BITS
 START, END, ESCAPE = 0, 1, 2
 #: Bytes that UTF-8 never has: before the text's first byte and after its last.
@@ -37,6 +43,8 @@ HEAVY, HEAVY_SHARE = 16384, 1 / 4096
 FRAGMENT, LEAST = 2_000_000, 64
 #: Bytes of text that one step works on.
 PART = 1 << 19
+#: Bytes of text that ask for their grams together.
+ASKED = 1 << 20
 
 
 # ---------------------------------------------------------------- the model
@@ -74,70 +82,127 @@ def _in(sorted_values: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return at, sorted_values[at] == x
 
 
+def _levels(by_depth, level: int, low: int):
+    """The decisions of one level in contexts of ``low`` to DEPTH symbols: (node, zeros, ones) by depth,
+    the place of each one's parent, the weight of the own estimate, and ln of the weighted probability at ``low``."""
+    shift, nodes, parent, weight = BITS - level, {}, {}, {}
+    for d in range(low, DEPTH + 1):
+        g, n = by_depth[d]
+        node = g >> shift
+        start = _starts(node)
+        ones = np.add.reduceat(n * (g >> (shift - 1) & 1), start)
+        nodes[d] = node[start], np.add.reduceat(n, start) - ones, ones
+    for d in range(low + 1, DEPTH + 1):  # the same decision, the context without its oldest symbol
+        q = nodes[d][0]
+        parent[d] = np.searchsorted(nodes[d - 1][0], ((q >> level) % SYMBOLS ** (d - 1) << level) | (q & (1 << level) - 1))
+    total = None
+    for d in range(DEPTH, low - 1, -1):
+        own = kt_block(nodes[d][1], nodes[d][2])
+        if d == DEPTH:
+            weight[d], total = np.ones_like(own), own
+        else:
+            under = np.bincount(parent[d + 1], weights=total, minlength=len(own))
+            total = math.log(0.5) + np.logaddexp(own, under)
+            weight[d] = np.exp(math.log(0.5) + own - total)
+    return nodes, parent, weight, total
+
+
+def _key(q: np.ndarray, level: int, depth: int) -> np.ndarray:
+    """``context * 64 + decision`` of a node of this level, its context cut to ``depth`` symbols."""
+    return ((q >> level) % SYMBOLS**depth << BITS) | 1 << level | (q & (1 << level) - 1)
+
+
+def _by_depth(grams: np.ndarray, counts: np.ndarray, low: int) -> dict:
+    """(grams, counts) of contexts of each depth; ``grams`` ascend."""
+    out = {DEPTH: (grams, counts)}
+    for d in range(DEPTH - 1, low - 1, -1):
+        g = out[d + 1][0] % SYMBOLS ** (d + 1)
+        order = np.argsort(g, kind="stable")
+        start = _starts(g[order])
+        out[d] = (g[order][start], np.add.reduceat(out[d + 1][1][order], start) if len(g) else counts)
+    return out
+
+
+def top_sums(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(key, zeros, ones, under) of the decisions above one fragment's subtrees, in contexts of
+    SPLIT - 1 symbols; under: the summed ln of the subtrees' weighted probabilities."""
+    order = np.argsort(grams)
+    by_depth = _by_depth(grams[order], counts[order].astype(np.float64), SPLIT)
+    found = []
+    for level in range(BITS if len(grams) else 0):
+        nodes, _, _, total = _levels(by_depth, level, SPLIT)
+        keys, index = np.unique(_key(nodes[SPLIT][0], level, SPLIT - 1), return_inverse=True)
+        found.append((keys, *(np.bincount(index, weights=x) for x in (nodes[SPLIT][1], nodes[SPLIT][2], total))))
+    return tuple(np.concatenate([f[i] for f in found]) if found else np.empty(0, np.int64 if not i else float) for i in range(4))
+
+
+def top_nodes(keys: np.ndarray, zeros: np.ndarray, ones: np.ndarray, under: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(keys, mixed, rest) by depth, of contexts with fewer than SPLIT symbols, from all fragments' sums."""
+    order = np.argsort(keys)
+    levels = [(keys[order], zeros[order], ones[order], under[order])]
+    weights, ups = [], []
+    for d in range(SPLIT - 1, -1, -1):
+        k, z, o, u = levels[-1]
+        own = kt_block(z, o)
+        total = math.log(0.5) + np.logaddexp(own, u)
+        weights.append(np.exp(math.log(0.5) + own - total))
+        if d:
+            above, index = np.unique(((k >> BITS) % SYMBOLS ** (d - 1) << BITS) | k & (SYMBOLS - 1), return_inverse=True)
+            ups.append(index)
+            levels.append((above, *(np.bincount(index, weights=x, minlength=len(above)) for x in (z, o, total))))
+    out, mixed, rest = [], None, None
+    for i in range(SPLIT - 1, -1, -1):
+        k, z, o, _ = levels[i]
+        mixed, rest = (np.zeros(len(k)), np.ones(len(k))) if mixed is None else (mixed[ups[i]], rest[ups[i]])
+        mixed, rest = mixed + rest * weights[i] * (o + 0.5) / (z + o + 1.0), rest * (1 - weights[i])
+        out.append((k, mixed, rest))
+    return out
+
+
 class Model:
-    """Predicts a symbol from the ``depth`` before it.
+    """Predicts a symbol from the DEPTH before it.
 
     A gram is ``context * 64 + symbol``; a context's last symbol is its lowest digit to base 64.
     ``logp``: log10 probability of each gram seen.  ``nodes[d]``: the decisions seen in contexts
-    of d < depth symbols, as (keys, mixed, rest): the weighted sum of the estimates of depths
-    0 to d, and the weight left to deeper ones.
+    of d < DEPTH symbols, as (keys, mixed, rest): the weighted sum of the estimates of depths
+    0 to d, and the weight left to deeper ones.  With ``top`` from ``top_nodes`` the grams are
+    those of one fragment, else all.
     """
 
-    def __init__(self, grams: np.ndarray, counts: np.ndarray, depth: int, symbol_of: np.ndarray, escaped: np.ndarray):
-        """grams: distinct; symbol_of: of each byte; escaped: counts of the bytes that the escape stands for."""
-        self.depth, self.symbol_of = depth, symbol_of
-        self.escape = np.where(symbol_of == ESCAPE, np.log10((escaped + 0.5) / (escaped.sum() + 128.0)), 0.0)
+    def __init__(self, grams: np.ndarray, counts: np.ndarray, top=None):
+        low = 0 if top is None else SPLIT
         order = np.argsort(grams)
         self.grams, counts = grams[order], counts[order].astype(np.float64)
         self.before = np.concatenate(([0.0], np.cumsum(counts)))
-        by_depth = {depth: (self.grams, counts)}
-        for d in range(depth - 1, -1, -1):
-            g = by_depth[d + 1][0] % SYMBOLS ** (d + 1)
-            order = np.argsort(g, kind="stable")
-            start = _starts(g[order])
-            by_depth[d] = (g[order][start], np.add.reduceat(by_depth[d + 1][1][order], start) if len(g) else counts)
-        logp, parts = np.zeros(len(grams)), [[] for _ in range(depth)]
+        by_depth = _by_depth(self.grams, counts, low)
+        logp, parts = np.zeros(len(grams)), {d: [] for d in range(low, DEPTH)}
         for level in range(BITS if len(grams) else 0):
-            self._level(level, by_depth, logp, parts)
-        del by_depth, counts
+            self._level(level, by_depth, logp, parts, low, top)
         self.logp = logp.astype(np.float32)
-        self.nodes = []
-        for d in range(depth):
-            found, parts[d] = parts[d], None
-            keys, mixed, rest = (np.concatenate([f[i] for f in found]) if found else np.empty(0, np.int64) for i in range(3))
+        self.nodes = list(top or ())
+        for d in range(low, DEPTH):
+            keys, mixed, rest = (np.concatenate([f[i] for f in parts[d]]) if parts[d] else np.empty(0, np.int64) for i in range(3))
             order = np.argsort(keys)
             self.nodes.append((keys[order], mixed[order], rest[order]))
         self.slots = self._slots()
 
-    def _level(self, level: int, by_depth, logp: np.ndarray, parts: list) -> None:
+    def _level(self, level: int, by_depth, logp: np.ndarray, parts: dict, low: int, top) -> None:
         """Mixes the trees of the decisions of one level; adds to logp and parts."""
-        shift, nodes = BITS - level, []
-        for d in range(self.depth + 1):
-            g, n = by_depth[d]
-            node = g >> shift
-            start = _starts(node)
-            ones = np.add.reduceat(n * (g >> (shift - 1) & 1), start)
-            nodes.append((node[start], np.add.reduceat(n, start) - ones, ones))
-        parent = [None]
-        for d in range(1, self.depth + 1):  # the same decision, the context without its oldest symbol
-            q = nodes[d][0]
-            parent.append(np.searchsorted(nodes[d - 1][0], ((q >> level) % SYMBOLS ** (d - 1) << level) | (q & (1 << level) - 1)))
-        weight, total = [None] * (self.depth + 1), None
-        for d in range(self.depth, -1, -1):
-            own = kt_block(nodes[d][1], nodes[d][2])
-            if d == self.depth:
-                weight[d], total = np.ones_like(own), own
-            else:
-                under = np.bincount(parent[d + 1], weights=total, minlength=len(own))
-                total = math.log(0.5) + np.logaddexp(own, under)
-                weight[d] = np.exp(math.log(0.5) + own - total)
-        mixed, rest = np.zeros(1), np.ones(1)
-        for d in range(self.depth + 1):
+        shift = BITS - level
+        nodes, parent, weight, _ = _levels(by_depth, level, low)
+        if top is None:
+            mixed, rest = np.zeros(len(nodes[0][0])), np.ones(len(nodes[0][0]))
+        else:
+            keys, mixed, rest = top[-1]
+            at = np.searchsorted(keys, _key(nodes[low][0], level, low - 1))
+            mixed, rest = mixed[at], rest[at]
+        for d in range(low, DEPTH + 1):
             q, zeros, ones = nodes[d]
-            up = parent[d] if d else np.zeros(len(q), np.int64)
-            mixed, rest = mixed[up] + rest[up] * weight[d] * (ones + 0.5) / (zeros + ones + 1.0), rest[up] * (1 - weight[d])
-            if d < self.depth:
-                parts[d].append(((q >> level << BITS) | 1 << level | (q & (1 << level) - 1), mixed.astype(np.float32), rest.astype(np.float32)))
+            if d > low:
+                mixed, rest = mixed[parent[d]], rest[parent[d]]
+            mixed, rest = mixed + rest * weight[d] * (ones + 0.5) / (zeros + ones + 1.0), rest * (1 - weight[d])
+            if d < DEPTH:
+                parts[d].append((_key(q, level, d), mixed.astype(np.float32), rest.astype(np.float32)))
         at = np.cumsum(np.concatenate(([0], (self.grams[1:] >> shift != self.grams[:-1] >> shift).astype(np.int64))))
         logp += np.log10(np.where(self.grams >> (shift - 1) & 1, mixed[at], 1 - mixed[at]))
 
@@ -185,12 +250,12 @@ class Model:
             bit = symbol >> (shift - 1) & 1
             p = np.full(len(grams), 0.5)
             left = np.arange(len(grams))
-            for d in range(self.depth - 1, -1, -1):
+            for d in range(DEPTH - 1, -1, -1):
                 keys, mixed, rest = self.nodes[d]
                 at, there = _in(keys, (context[left] % SYMBOLS**d << BITS) | decision[left])
                 hit, at = left[there], at[there]
                 deeper = np.full(len(hit), 0.5)
-                if d == self.depth - 1:
+                if d == DEPTH - 1:
                     use = np.flatnonzero(known[hit])
                     low = (grams[hit[use]] >> shift) << shift
                     ends = [self.before[np.searchsorted(self.grams, low + x)] for x in (0, 1 << (shift - 1), 1 << shift)]
@@ -202,26 +267,63 @@ class Model:
             out += np.log10(np.where(bit == 1, p, 1 - p))
         return out
 
-    def score(self, array) -> np.ndarray:
-        """The log10 probability of each text."""
-        first, data = padded(array)
-        if not len(first) - 1:
-            return np.empty(0)
-        s = self.symbol_of[data]
+    def ask(self, grams: np.ndarray) -> np.ndarray:
+        """The log10 probability of each gram, seen or not; ``grams`` are distinct."""
+        at = self.places(grams)
+        out = self.logp[at] if len(self.logp) else np.zeros(len(grams), np.float32)
+        new = np.flatnonzero(at < 0)
+        out[new] = self.unseen(grams[new])
+        return out
+
+
+class Alphabet:
+    """The symbol of each byte, and the cost of naming a byte that the escape stands for."""
+
+    def __init__(self, by_byte: dict[int, int]):
+        """by_byte: training counts."""
+        seen = sorted((b for b in by_byte if b != STOP), key=lambda b: (-by_byte[b], b))
+        self.symbol_of = np.full(256, ESCAPE, np.int64)
+        self.symbol_of[seen[: SYMBOLS - 3]] = 3 + np.arange(min(len(seen), SYMBOLS - 3))
+        self.symbol_of[PAD], self.symbol_of[STOP] = START, END
+        escaped = np.zeros(256)
+        for b in seen[SYMBOLS - 3 :]:
+            escaped[b] = by_byte[b]
+        self.escape = np.where(self.symbol_of == ESCAPE, np.log10((escaped + 0.5) / (escaped.sum() + 128.0)), 0.0)
+
+
+class Part:
+    """The grams of some texts: ``distinct`` ones by fragment, ``ends`` of each fragment's."""
+
+    def __init__(self, array, alphabet: Alphabet, fragments: int):
+        self.first, self.data = padded(array)
+        if len(self.first) < 2:
+            self.distinct, self.ends = np.empty(0, np.int64), np.zeros(fragments, np.int64)
+            return
+        s = alphabet.symbol_of[self.data]
         g = s[DEPTH:].copy()
-        for d in range(1, self.depth + 1):
+        for d in range(1, DEPTH + 1):
             g |= s[DEPTH - d : len(s) - d] << (BITS * d)
-        coded = data[DEPTH:] != PAD
-        at = self.places(g)
-        value = np.zeros(len(data))
-        value[DEPTH:] = self.logp[at] if len(self.logp) else 0.0
-        new = np.flatnonzero((at < 0) & coded)
-        if len(new):
-            distinct, index = np.unique(g[new], return_inverse=True)
-            value[DEPTH + new] = self.unseen(distinct)[index]
-        value += self.escape[data]
-        value[data == PAD] = 0.0
-        return np.add.reduceat(value, first[:-1])
+        self.coded = np.flatnonzero(self.data[DEPTH:] != PAD)
+        distinct, self.index = np.unique(g[self.coded], return_inverse=True)
+        f = fragment_of(distinct, fragments)
+        self.order = np.argsort(f, kind="stable")
+        self.distinct, self.ends = distinct[self.order], np.cumsum(np.bincount(f, minlength=fragments))
+        self.escape = alphabet.escape
+
+    def scores(self, answers: np.ndarray) -> np.ndarray:
+        """The log10 probability of each text; ``answers`` are those to ``distinct``."""
+        if len(self.first) < 2:
+            return np.empty(0)
+        each = np.empty(len(answers))
+        each[self.order] = answers
+        value = np.where(self.data == PAD, 0.0, self.escape[self.data])
+        value[DEPTH + self.coded] += each[self.index]
+        return np.add.reduceat(value, self.first[:-1])
+
+
+def fragment_of(grams: np.ndarray, fragments: int) -> np.ndarray:
+    """The fragment of each gram, by the last SPLIT symbols of its context."""
+    return (mix((grams >> BITS) % SYMBOLS**SPLIT + 1) % np.uint64(fragments)).astype(np.int64)
 
 
 def padded(array) -> tuple[np.ndarray, np.ndarray]:
@@ -247,28 +349,95 @@ def grams(array) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(g[b[DEPTH:] != PAD], return_counts=True)
 
 
-def build_model(counts: DataFrame) -> Model:
-    """The model of a table (g, n) of byte grams."""
-    by_byte = {r["b"]: r["n"] for r in counts.groupBy(F.col("g").bitwiseAND(255).alias("b")).agg(F.sum("n").alias("n")).collect()}
-    seen = sorted((b for b in by_byte if b != STOP), key=lambda b: (-by_byte[b], b))
-    symbol_of = np.full(256, ESCAPE, np.int64)
-    for i, b in enumerate(seen[: SYMBOLS - 3]):
-        symbol_of[b] = 3 + i
-    symbol_of[PAD], symbol_of[STOP] = START, END
-    lookup = F.array(*[F.lit(int(x)) for x in symbol_of])
-    whole = F.lit(0).cast("long")
-    for d in range(DEPTH, -1, -1):
-        whole = whole * SYMBOLS + F.get(lookup, F.shiftright("g", 8 * d).bitwiseAND(255).cast("int"))
-    coded = materialize(counts.select(whole.alias("g"), "n").groupBy("g").agg(F.sum("n").alias("n")), "grams")
-    for depth in range(DEPTH, SHORTEST - 1, -1):
-        cut = coded if depth == DEPTH else coded.select((F.col("g") % SYMBOLS ** (depth + 1)).alias("g"), "n").groupBy("g").agg(F.sum("n").alias("n"))
-        if depth == SHORTEST or cut.count() <= MAX_GRAMS:
-            break
-    got = cut.toArrow()
-    escaped = np.zeros(256)
-    for b in seen[SYMBOLS - 3 :]:
-        escaped[b] = by_byte[b]
-    return Model(got.column("g").to_numpy(), got.column("n").to_numpy(), depth, symbol_of, escaped)
+def packed_numbers(ascending: np.ndarray, counts: np.ndarray | None = None) -> bytes:
+    """Ascending numbers as byte planes of their steps, with a count each."""
+    planes = lambda x: x.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    raw = planes(np.diff(ascending, prepend=0)) + (b"" if counts is None else planes(counts))
+    return zstandard.ZstdCompressor(level=1).compress(raw)
+
+
+def unpacked_numbers(raw: bytes, counted: bool = False):
+    data = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    number = lambda x: x.reshape(8, -1).T.copy().view("<i8").ravel()
+    if not counted:
+        return np.cumsum(number(data))
+    return np.cumsum(number(data[: len(data) // 2])), number(data[len(data) // 2 :])
+
+
+class Trees:
+    """The model of a table (g, n) of byte grams, by fragments in a written table."""
+
+    def __init__(self, counts: DataFrame):
+        by_byte = {r["b"]: r["n"] for r in counts.groupBy(F.col("g").bitwiseAND(255).alias("b")).agg(F.sum("n").alias("n")).collect()}
+        self.alphabet = Alphabet(by_byte)
+        lookup = F.array(*[F.lit(int(x)) for x in self.alphabet.symbol_of])
+        whole = F.lit(0).cast("long")
+        for d in range(DEPTH, -1, -1):
+            whole = whole * SYMBOLS + F.get(lookup, F.shiftright("g", 8 * d).bitwiseAND(255).cast("int"))
+        coded = materialize(counts.select(whole.alias("g"), "n").groupBy("g").agg(F.sum("n").alias("n")), "grams")
+        self.fragments = fragments = max(LEAST, math.ceil(coded.count() / MODEL_FRAGMENT))
+
+        def pack(batches):
+            for b in batches:
+                g, n = b.column("g").to_numpy(), b.column("n").to_numpy()
+                f = fragment_of(g, fragments)
+                order = np.lexsort((g, f))
+                ends = np.cumsum(np.bincount(f, minlength=fragments))
+                for x in np.flatnonzero(np.diff(ends, prepend=0)).tolist():
+                    at = order[ends[x - 1] if x else 0 : ends[x]]
+                    yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()), pa.array([packed_numbers(g[at], n[at])], pa.binary())], names=["f", "v"])
+
+        def sums(batches):
+            for _, pieces in by_fragment(batches):
+                columns = top_sums(*merged(pieces))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "zeros", "ones", "under"])
+
+        self.pieces = materialize(coded.mapInArrow(pack, "f long, v binary").repartition(fragments, "f").sortWithinPartitions("f"), "fragments")
+        shared = self.pieces.repartition(fragments, "f").sortWithinPartitions("f").mapInArrow(sums, "key long, zeros double, ones double, under double")
+        got = shared.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "under")]).toArrow()  # 64 * 63 rows at most
+        self.top = top_nodes(*(got.column(c).to_numpy() for c in ("key", "zeros", "ones", "under")))
+
+    def answered(self, asked: DataFrame) -> DataFrame:
+        """(p, f, v): the answers to rows (p, f, v) of packed grams."""
+        fragments, top = self.fragments, self.top
+
+        def run(batches):
+            now, pieces, model = None, [], None
+            for b in batches:
+                for f, p, v in zip(b.column("f").to_pylist(), b.column("p").to_pylist(), b.column("v")):
+                    if f != now:
+                        now, pieces, model = f, [], None
+                    if p < 0:
+                        pieces.append(v.as_py())
+                        continue
+                    if model is None:
+                        model, pieces = Model(*merged(pieces), top), []
+                    found = zstandard.ZstdCompressor(level=1).compress(model.ask(unpacked_numbers(v.as_py())).astype("<f4").tobytes())
+                    yield pa.RecordBatch.from_arrays([pa.array([p], pa.int64()), pa.array([f], pa.int64()), pa.array([found], pa.binary())], names=["p", "f", "v"])
+
+        both = self.pieces.select(F.lit(-1).cast("long").alias("p"), "f", "v").unionByName(asked)
+        return both.repartition(fragments, "f").sortWithinPartitions("f", "p").mapInArrow(run, "p long, f long, v binary")
+
+
+def merged(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(grams, counts) of packed pieces, which share none."""
+    if not pieces:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    return tuple(np.concatenate(x) for x in zip(*(unpacked_numbers(v, True) for v in pieces)))
+
+
+def by_fragment(batches):
+    """(f, pieces) of rows (f, v) in order of f."""
+    now, pieces = None, []
+    for b in batches:
+        for f, v in zip(b.column("f").to_pylist(), b.column("v").to_pylist()):
+            if f != now and pieces:
+                yield now, pieces
+                pieces = []
+            now = f
+            pieces.append(v)
+    if pieces:
+        yield now, pieces
 
 
 # ---------------------------------------------------------------- the base line's words
@@ -341,7 +510,7 @@ class Scoring:
     def run(self) -> DataFrame:
         spark = self.rows.sparkSession
         first = materialize(self.counted(), "counts")
-        model = build_model(first.where("kind = 0").groupBy(F.col("id").alias("g")).agg(F.sum("n").alias("n")))
+        trees = Trees(first.where("kind = 0").groupBy(F.col("id").alias("g")).agg(F.sum("n").alias("n")))
         words = first.where("kind = 2").agg(F.sum("n")).first()[0] or 0
         frequent = first.where("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "id").limit(HEAVY).select("id").collect()
         heavy = np.sort(np.array([r["id"] for r in frequent], np.int64).view(np.uint64))
@@ -352,7 +521,9 @@ class Scoring:
         distinct = (sums.where("kind = 1").agg(F.sum("n")).first()[0] or 0) + int((c > 0).sum()) + (texts > 0)
         total = tokens + texts
         unit = math.log10(total + 0.5 * (distinct + 1))
-        scored = self.scored(spark.sparkContext.broadcast((model, heavy, np.log10(c + 0.5), c > 0, math.log10(texts + 0.5), texts > 0)))
+        parts = materialize(self.parted(), "parts")
+        answers = materialize(trees.answered(self.asked(parts, trees)), "answers")
+        scored = self.scored(parts, answers, trees, spark.sparkContext.broadcast((heavy, np.log10(c + 0.5), c > 0, math.log10(texts + 0.5), texts > 0)))
         rare = materialize(sums.where("kind = 0").groupBy(F.col("id").alias("u2")).agg(F.sum("v").alias("v2"), F.sum("n").alias("n2"), F.sum("m").alias("m2")), "rare_words")
         rows = scored.join(rare, scored["u"] == rare["u2"], "left")
         share = lambda c: F.coalesce(F.col(c) / F.col("m2"), F.lit(0.0))  # noqa: E731  rows alike have summed alike
@@ -476,25 +647,68 @@ class Scoring:
         cuts = self.rows.mapInArrow(cut, "f long, p binary")
         return cuts.repartition(fragments, "f").mapInArrow(count, "kind int, id long, v double, n long, m long")
 
-    def scored(self, sent) -> DataFrame:
+    def parted(self) -> DataFrame:
+        """One row for some rows with about ASKED bytes of text: a number p and lists of their keys, folds and texts."""
+
         def run(batches):
-            model, heavy, value, seen, stop, stop_seen = sent.value
-            for part in text_parts(batches, "t", PART):
-                w = Words(part.column("t"))
-                n = len(w.first) - 1
-                at, often = _in(heavy, w.hash)
-                text = np.repeat(np.arange(n), np.diff(w.first))[often]
-                base = np.bincount(text, weights=value[at[often]], minlength=n) if len(heavy) else np.zeros(n)
-                known = np.bincount(text, weights=seen[at[often]], minlength=n).astype(np.int64) if len(heavy) else np.zeros(n, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(row_ids(part.column("k"), w)), part.column("k"), part.column("h"), pa.array(np.diff(w.first) + 1, pa.int64()), pa.array(known + stop_seen, pa.int64()),
-                        pa.array(base + stop), pa.array(model.score(part.column("t"))), pa.array(np.diff(w.offsets), pa.int64()),
-                    ],
-                    names=["u", "k", "h", "tokens", "known", "base", "score", "bytes"],
-                )
-
-        return self.rows.mapInArrow(run, "u long, k long, h boolean, tokens long, known long, base double, score double, bytes long")
+            p = TaskContext.get().partitionId() << 32
+            for part in text_parts(batches, "t", ASKED):
+                ends = pa.array([0, part.num_rows], pa.int32())
+                lists = [pa.ListArray.from_arrays(ends, part.column(c)) for c in ("k", "h", "t")]
+                yield pa.RecordBatch.from_arrays([pa.array([p], pa.int64()), *lists], names=["p", "k", "h", "t"])
+                p += 1
+
+        return self.rows.mapInArrow(run, "p long, k array<long>, h array<boolean>, t array<string>")
+
+    def asked(self, parts: DataFrame, trees: Trees) -> DataFrame:
+        alphabet, fragments = trees.alphabet, trees.fragments
+
+        def run(batches):
+            for b in batches:
+                for i, p in enumerate(b.column("p").to_pylist()):
+                    part = Part(b.column("t")[i].values, alphabet, fragments)
+                    start = np.concatenate(([0], part.ends[:-1]))
+                    some = np.flatnonzero(part.ends > start)
+                    v = [packed_numbers(part.distinct[start[f] : part.ends[f]]) for f in some.tolist()]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), p, np.int64)), pa.array(some), pa.array(v, pa.binary())], names=["p", "f", "v"])
+
+        return parts.select("p", "t").mapInArrow(run, "p long, f long, v binary")
+
+    def scored(self, parts: DataFrame, answers: DataFrame, trees: Trees, sent) -> DataFrame:
+        """The rows of the parts with their scores; the answers to a part come before it, by fragment."""
+        alphabet, fragments = trees.alphabet, trees.fragments
+
+        def run(batches):
+            held = []
+            for b in batches:
+                for i, f in enumerate(b.column("f").to_pylist()):
+                    if f < fragments:
+                        held.append(np.frombuffer(zstandard.ZstdDecompressor().decompress(b.column("v")[i].as_py()), "<f4"))
+                        continue
+                    texts = b.column("t")[i].values
+                    log = Part(texts, alphabet, fragments).scores(np.concatenate(held) if held else np.empty(0))
+                    held = []
+                    yield rows(b.column("k")[i].values, b.column("h")[i].values, texts, log)
+
+        def rows(keys, folds, texts, log):
+            heavy, value, seen, stop, stop_seen = sent.value
+            w = Words(texts)
+            n = len(w.first) - 1
+            at, often = _in(heavy, w.hash)
+            text = np.repeat(np.arange(n), np.diff(w.first))[often]
+            base = np.bincount(text, weights=value[at[often]], minlength=n) if len(heavy) else np.zeros(n)
+            known = np.bincount(text, weights=seen[at[often]], minlength=n).astype(np.int64) if len(heavy) else np.zeros(n, np.int64)
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(row_ids(keys, w)), keys, folds, pa.array(np.diff(w.first) + 1, pa.int64()), pa.array(known + stop_seen, pa.int64()),
+                    pa.array(base + stop), pa.array(log), pa.array(np.diff(w.offsets), pa.int64()),
+                ],
+                names=["u", "k", "h", "tokens", "known", "base", "score", "bytes"],
+            )
+
+        both = answers.unionByName(parts.withColumn("f", F.lit(fragments).cast("long")), allowMissingColumns=True)
+        ordered = both.repartition("p").sortWithinPartitions("p", "f")
+        return ordered.mapInArrow(run, "u long, k long, h boolean, tokens long, known long, base double, score double, bytes long")
 
 
 def score_documents(docs: DataFrame, *, key: str = "doc_id", text: str = "text", held_out: str = "crc32(CAST({key} AS BINARY)) % 5 = 1") -> DataFrame:

@@ -23,7 +23,7 @@ def model_of(texts):
         for d in range(ctw.DEPTH, -1, -1):
             w = w * 64 + int(symbol_of[x >> 8 * d & 255])
         out[w] = out.get(w, 0) + c
-    return out, ctw.Model(np.array(list(out)), np.array(list(out.values())), ctw.DEPTH, symbol_of, np.zeros(256))
+    return out, ctw.Model(np.array(list(out)), np.array(list(out.values())))
 
 
 def predicted(grams, context, level, prefix, d=0):
@@ -71,6 +71,27 @@ def test_model_is_the_textbook_mixture_and_adds_up_to_one():
             assert logp[s] == pytest.approx(want, abs=1e-5)
 
 
+def test_fragments_predict_as_the_whole_model():
+    grams, model = model_of(["abra cadabra", "abrab", "", "a cab in a barrel"])
+    g, n = np.array(list(grams)), np.array(list(grams.values()))
+    f = ctw.fragment_of(g, 5)
+    sums = [ctw.top_sums(g[f == x], n[f == x]) for x in range(5)]
+    key, zeros, ones, under = (np.concatenate(x) for x in zip(*sums))
+    keys, at = np.unique(key, return_inverse=True)
+    top = ctw.top_nodes(keys, *(np.bincount(at, weights=x) for x in (zeros, ones, under)))
+    ask = np.unique(np.concatenate((g, g ^ 1, g ^ (3 << 30), g ^ (5 << 12), np.arange(200) * 7919 * 64 % 64**6)))
+    for x in range(5):
+        own = np.sort(ask[ctw.fragment_of(ask, 5) == x])
+        assert ctw.Model(g[f == x], n[f == x], top).ask(own) == pytest.approx(model.ask(own), abs=1e-5)
+
+
+def test_packed_numbers_round_trip():
+    g, n = np.array([0, 5, 64**6 - 1]), np.array([1, 2, 2**40])
+    assert (ctw.unpacked_numbers(ctw.packed_numbers(g)) == g).all()
+    assert [x.tolist() for x in ctw.unpacked_numbers(ctw.packed_numbers(g, n), True)] == [g.tolist(), n.tolist()]
+    assert not len(ctw.unpacked_numbers(ctw.packed_numbers(g[:0])))
+
+
 def test_base_line_against_brute_force(spark):
     rows = [tuple(r) for r in sample(spark).select("doc_id", "text").collect()]
     count, n_docs = collections.Counter(), 0
