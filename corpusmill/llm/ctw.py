@@ -11,7 +11,7 @@ included.
 No machine holds the model, which grows with the corpus.  Contexts that share their last two
 symbols lie in one fragment, whose subtrees need nothing else but the mixture of the depths
 above; that comes from sums over at most 64 * 63 decisions.  Texts ask the fragments for the
-distinct grams of each part of about one MB and add up the answers.
+distinct grams of each part of about two MB and add up the answers.
 
 A base line of single words is computed beside it: exact counts over all training tokens.
 """
@@ -44,7 +44,7 @@ FRAGMENT, LEAST = 2_000_000, 64
 #: Bytes of text that one step works on.
 PART = 1 << 19
 #: Bytes of text that ask for their grams together.
-ASKED = 1 << 20
+ASKED = 1 << 21
 
 
 # ---------------------------------------------------------------- the model
@@ -303,8 +303,10 @@ class Part:
         g = s[DEPTH:].copy()
         for d in range(1, DEPTH + 1):
             g |= s[DEPTH - d : len(s) - d] << (BITS * d)
-        self.coded = np.flatnonzero(self.data[DEPTH:] != PAD)
-        distinct, self.index = np.unique(g[self.coded], return_inverse=True)
+        self.coded = self.data != PAD
+        self.coded[:DEPTH] = False
+        distinct, index = np.unique(g[self.coded[DEPTH:]], return_inverse=True)
+        self.index = index.astype(np.int32)
         f = fragment_of(distinct, fragments)
         self.order = np.argsort(f, kind="stable")
         self.distinct, self.ends = distinct[self.order], np.cumsum(np.bincount(f, minlength=fragments))
@@ -317,7 +319,7 @@ class Part:
         each = np.empty(len(answers))
         each[self.order] = answers
         value = np.where(self.data == PAD, 0.0, self.escape[self.data])
-        value[DEPTH + self.coded] += each[self.index]
+        value[self.coded] += each[self.index]
         return np.add.reduceat(value, self.first[:-1])
 
 
@@ -349,6 +351,27 @@ def grams(array) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(g[b[DEPTH:] != PAD], return_counts=True)
 
 
+def packed_texts(array) -> tuple[bytes, pa.Array]:
+    """The texts' bytes together, compressed, and the length of each."""
+    offsets, data = text_buffers(array)
+    return zstandard.ZstdCompressor(level=3).compress(data.tobytes()), pa.array(np.diff(offsets), pa.int64())
+
+
+def unpacked_texts(raw: bytes, lengths: pa.Array) -> pa.Array:
+    offsets = np.concatenate(([0], np.cumsum(lengths.to_numpy(zero_copy_only=False)))).astype(np.int64)
+    data = zstandard.ZstdDecompressor().decompress(raw)
+    return pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
+
+
+def packed_floats(values: np.ndarray) -> bytes:
+    """Single floats as compressed byte planes."""
+    return zstandard.ZstdCompressor(level=1).compress(values.astype("<f4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def unpacked_floats(raw: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(4, -1).T.copy().view("<f4").ravel()
+
+
 def packed_numbers(ascending: np.ndarray, counts: np.ndarray | None = None) -> bytes:
     """Ascending numbers as byte planes of their steps, with a count each."""
     planes = lambda x: x.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
@@ -412,7 +435,7 @@ class Trees:
                         continue
                     if model is None:
                         model, pieces = Model(*merged(pieces), top), []
-                    found = zstandard.ZstdCompressor(level=1).compress(model.ask(unpacked_numbers(v.as_py())).astype("<f4").tobytes())
+                    found = packed_floats(model.ask(unpacked_numbers(v.as_py())))
                     yield pa.RecordBatch.from_arrays([pa.array([p], pa.int64()), pa.array([f], pa.int64()), pa.array([found], pa.binary())], names=["p", "f", "v"])
 
         both = self.pieces.select(F.lit(-1).cast("long").alias("p"), "f", "v").unionByName(asked)
@@ -522,7 +545,7 @@ class Scoring:
         total = tokens + texts
         unit = math.log10(total + 0.5 * (distinct + 1))
         parts = materialize(self.parted(), "parts")
-        answers = materialize(trees.answered(self.asked(parts, trees)), "answers")
+        answers = trees.answered(self.asked(parts, trees))
         scored = self.scored(parts, answers, trees, spark.sparkContext.broadcast((heavy, np.log10(c + 0.5), c > 0, math.log10(texts + 0.5), texts > 0)))
         rare = materialize(sums.where("kind = 0").groupBy(F.col("id").alias("u2")).agg(F.sum("v").alias("v2"), F.sum("n").alias("n2"), F.sum("m").alias("m2")), "rare_words")
         rows = scored.join(rare, scored["u"] == rare["u2"], "left")
@@ -648,17 +671,18 @@ class Scoring:
         return cuts.repartition(fragments, "f").mapInArrow(count, "kind int, id long, v double, n long, m long")
 
     def parted(self) -> DataFrame:
-        """One row for some rows with about ASKED bytes of text: a number p and lists of their keys, folds and texts."""
+        """One row for some rows with about ASKED bytes of text: a number p and lists of their keys, folds and text lengths, and the texts compressed."""
 
         def run(batches):
             p = TaskContext.get().partitionId() << 32
             for part in text_parts(batches, "t", ASKED):
                 ends = pa.array([0, part.num_rows], pa.int32())
-                lists = [pa.ListArray.from_arrays(ends, part.column(c)) for c in ("k", "h", "t")]
-                yield pa.RecordBatch.from_arrays([pa.array([p], pa.int64()), *lists], names=["p", "k", "h", "t"])
+                t, lengths = packed_texts(part.column("t"))
+                lists = [pa.ListArray.from_arrays(ends, x) for x in (part.column("k"), part.column("h"), lengths)]
+                yield pa.RecordBatch.from_arrays([pa.array([p], pa.int64()), *lists, pa.array([t], pa.binary())], names=["p", "k", "h", "o", "t"])
                 p += 1
 
-        return self.rows.mapInArrow(run, "p long, k array<long>, h array<boolean>, t array<string>")
+        return self.rows.mapInArrow(run, "p long, k array<long>, h array<boolean>, o array<long>, t binary")
 
     def asked(self, parts: DataFrame, trees: Trees) -> DataFrame:
         alphabet, fragments = trees.alphabet, trees.fragments
@@ -666,13 +690,13 @@ class Scoring:
         def run(batches):
             for b in batches:
                 for i, p in enumerate(b.column("p").to_pylist()):
-                    part = Part(b.column("t")[i].values, alphabet, fragments)
+                    part = Part(unpacked_texts(b.column("t")[i].as_py(), b.column("o")[i].values), alphabet, fragments)
                     start = np.concatenate(([0], part.ends[:-1]))
                     some = np.flatnonzero(part.ends > start)
                     v = [packed_numbers(part.distinct[start[f] : part.ends[f]]) for f in some.tolist()]
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), p, np.int64)), pa.array(some), pa.array(v, pa.binary())], names=["p", "f", "v"])
 
-        return parts.select("p", "t").mapInArrow(run, "p long, f long, v binary")
+        return parts.select("p", "o", "t").mapInArrow(run, "p long, f long, v binary")
 
     def scored(self, parts: DataFrame, answers: DataFrame, trees: Trees, sent) -> DataFrame:
         """The rows of the parts with their scores; the answers to a part come before it, by fragment."""
@@ -683,9 +707,9 @@ class Scoring:
             for b in batches:
                 for i, f in enumerate(b.column("f").to_pylist()):
                     if f < fragments:
-                        held.append(np.frombuffer(zstandard.ZstdDecompressor().decompress(b.column("v")[i].as_py()), "<f4"))
+                        held.append(unpacked_floats(b.column("v")[i].as_py()))
                         continue
-                    texts = b.column("t")[i].values
+                    texts = unpacked_texts(b.column("t")[i].as_py(), b.column("o")[i].values)
                     log = Part(texts, alphabet, fragments).scores(np.concatenate(held) if held else np.empty(0))
                     held = []
                     yield rows(b.column("k")[i].values, b.column("h")[i].values, texts, log)
