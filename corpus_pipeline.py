@@ -28,8 +28,9 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are drawn so that sources, languages and topics meet their target weights."""
-    return mixing.mix_sources(docs).select(*docs.columns)
+    """As many tokens as come in, drawn so that sources, languages and topics meet their target
+    weights; documents of rare cells may come several times."""
+    return mixing.mix_sources(docs, budget=1.0).select(*docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

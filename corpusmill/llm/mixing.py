@@ -1,7 +1,8 @@
 """Mixing sources to target weights by iterative proportional fitting (native).
 
 Token counts by (source, language, topic) cell are raked until the source, language and topic
-margins meet their targets; each document is then drawn with its cell's calibrated probability.
+margins meet their targets; each document is then drawn with its cell's calibrated probability,
+or, with a token budget, taken in whole copies and a drawn one for the fraction.
 """
 
 from __future__ import annotations
@@ -74,23 +75,31 @@ def rake(cells: DataFrame, targets: Mapping[str, Mapping[str, float] | None], *,
     return cells.select(*DIMENSIONS, "tokens", F.when(F.col("tokens") > 0, F.col("w") / F.col("tokens")).otherwise(F.lit(0.0)).alias("factor"))
 
 
-def calibrated(docs: DataFrame, targets: Mapping[str, Mapping[str, float] | None] | None = None, *, alpha: float = 0.9, rounds: int = 8, text: str = "text") -> DataFrame:
+def calibrated(docs: DataFrame, targets: Mapping[str, Mapping[str, float] | None] | None = None, *, alpha: float = 0.9, rounds: int = 8, text: str = "text", budget: float | None = None) -> DataFrame:
     """Cells with ``probability``: the factor over the largest, so that nothing is drawn twice.
 
     The share of tokens drawn from each source, language and topic then meets its target, and
-    the sample is the largest that can do so without repeats.
+    the sample is the largest that can do so without repeats: its size hangs on the cell with
+    the largest factor alone.  With ``budget`` the factors are scaled so that the tokens expected
+    are ``budget`` times those of ``docs``; a probability over 1 then stands for copies.
     """
+    if budget is not None and not budget > 0:
+        raise ValueError("budget: over 0")
     found = materialize(_cells(docs, text).groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "cells")
     n = found.count()
     if n > MAX_CELLS:
         raise ValueError(f"{n} cells of source, language and topic; {MAX_CELLS} at most")
     raked = rake(found, targets or {}, alpha=alpha, rounds=rounds)
-    top = F.max("factor").over(Window.partitionBy(F.lit(0)))
+    whole = Window.partitionBy(F.lit(0))
+    if budget is None:
+        top = F.max("factor").over(whole)
+    else:
+        top = F.sum(F.col("tokens") * F.col("factor")).over(whole) / (F.lit(float(budget)) * F.sum("tokens").over(whole))
     return raked.select(*DIMENSIONS, F.when(top > 0, F.col("factor") / top).otherwise(F.lit(0.0)).alias("probability"))
 
 
 def mix_sources(
-    docs: DataFrame, targets: Mapping[str, Mapping[str, float] | None] | None = None, *, alpha: float = 0.9, rounds: int = 8, seed: int = 7, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, targets: Mapping[str, Mapping[str, float] | None] | None = None, *, alpha: float = 0.9, rounds: int = 8, seed: int = 7, key: str = "doc_id", text: str = "text", budget: float | None = None
 ) -> DataFrame:
     """The sampled rows of ``docs``, all its columns, and mix_topic, mix_tokens, mix_probability.
 
@@ -99,14 +108,23 @@ def mix_sources(
     their cell, or left out where the cell holds no token at all; repeated rows are drawn or
     left together; an empty table stays empty.  Columns of docs that are called mix_* are replaced.
     The table joined is bounded by MAX_CELLS, so it is broadcast.
+    With ``budget`` (see ``calibrated``) a row whose probability is over 1 comes as often as its
+    whole part says, once more if drawn for the rest; a text without tokens comes once at most.
     """
     docs = docs.drop("mix_topic", "mix_tokens", "mix_probability")
-    cells = materialize(calibrated(docs, targets, alpha=alpha, rounds=rounds, text=text), "raked")
+    cells = materialize(calibrated(docs, targets, alpha=alpha, rounds=rounds, text=text, budget=budget), "raked")
     cells = cells.select(*[F.col(d).alias(f"mix_c_{d}") for d in DIMENSIONS], F.col("probability").alias("mix_probability"))
     name = lambda c: F.coalesce(docs[c].cast("string"), F.lit(NONE))
     rows = docs.withColumns({"mix_topic": coarse_topic(docs[text]), "mix_tokens": token_estimate(docs[text]), "mix_k_source": name("source"), "mix_k_lang": name("lang")})
     on = (F.col("mix_k_source") == F.col("mix_c_source")) & (F.col("mix_k_lang") == F.col("mix_c_lang")) & (F.col("mix_topic") == F.col("mix_c_topic"))
-    return rows.join(F.broadcast(cells), on).where(draw(F.col(key), seed) < F.col("mix_probability")).select(*docs.columns, "mix_topic", "mix_tokens", "mix_probability")
+    rows = rows.join(F.broadcast(cells), on)
+    if budget is None:
+        rows = rows.where(draw(F.col(key), seed) < F.col("mix_probability"))
+    else:
+        whole = F.floor("mix_probability")
+        copies = (whole + (draw(F.col(key), seed) < F.col("mix_probability") - whole).cast("long")).cast("int")
+        rows = rows.withColumn("mix_copy", F.explode(F.array_repeat(F.lit(1), F.when(F.col("mix_tokens") > 0, copies).otherwise(F.least(copies, F.lit(1))))))
+    return rows.select(*docs.columns, "mix_topic", "mix_tokens", "mix_probability")
 
 
 def mixing_sql(alpha: float = 0.9, rounds: int = 8, seed: int = 7) -> str:

@@ -5,6 +5,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from corpusmill.llm import mixing
 from corpusmill.llm.sharding import assign_shards, rendezvous, shard_manifest
 
@@ -62,6 +63,27 @@ def test_margins_meet_their_targets(spark):
     assert n["de"] / sum(n.values()) == pytest.approx(0.7, abs=0.05)
 
 
+def test_a_budget_is_met_with_copies_of_rare_rows(spark):
+    rows = [(i, "x" * 4 * (1 + i % 7), "en" if i % 3 else "de", "a" if i % 10 else "b") for i in range(3000)]
+    df = spark.createDataFrame([*rows, (3000, "", "en", "b")], "doc_id long, text string, lang string, source string")
+    got = mixing.mix_sources(df, {"source": {"a": 0.5, "b": 0.5}}, budget=1.0, rounds=25)
+    n = {r["source"]: r["n"] for r in got.groupBy("source").agg(F.sum("mix_tokens").alias("n")).collect()}
+    assert n["b"] / sum(n.values()) == pytest.approx(0.5, abs=0.03)
+    assert sum(n.values()) == pytest.approx(sum(1 + i % 7 for i in range(3000)), rel=0.03)
+    times = {r["doc_id"]: (r["c"], r["p"]) for r in got.groupBy("doc_id").agg(F.count("*").alias("c"), F.first("mix_probability").alias("p")).collect()}
+    assert all(c in (int(p), int(p) + 1) for i, (c, p) in times.items() if i < 3000) and max(c for c, _ in times.values()) > 3
+    assert times[3000][0] == 1
+
+
+def test_one_rare_document_leaves_the_rest_in_the_pipeline(spark):
+    rows = [(i, "some words " * (5 + i % 9), "en" if i % 3 else "de", "a" if i % 5 else "b") for i in range(3000)]
+    kept = []
+    for extra in ([], [(9999, "four words stand here", "xx", "b")]):
+        df = spark.createDataFrame(rows + extra, "doc_id long, text string, lang string, source string")
+        kept.append(corpus_pipeline.mix_to_weights(spark, df, "").where("doc_id < 3000").select("doc_id").distinct().count())
+    assert kept[0] > 2700 and kept[1] > 0.98 * kept[0]
+
+
 def test_mix_odd_rows(spark):
     df = docs(spark, [(1, None), (2, ""), (3, "some text"), (3, "some text"), (None, "more")])
     nulls = df.withColumn("lang", F.lit(None).cast("string")).withColumn("source", F.lit(None).cast("string"))
