@@ -17,6 +17,8 @@ fragment by itself and summed for each document or pair.  Steps:
 5. The pairs' partial overlaps are summed; the links of 3 and 5 give the components.
 
 No link between texts of different components is lost, and pairs inside a component are never listed.
+``similar_links`` counts them: each component's classes, in order of size, are cut into blocks, and
+every two blocks whose sizes allow a link are compared in whole.
 """
 
 from __future__ import annotations
@@ -39,6 +41,8 @@ PART = 1 << 20
 FUNCTIONS = 8
 #: Ranks of frequency (by powers of two) in the order of what components share.
 RANKS = 8
+#: Texts and n-grams of a block whose links are counted, and n-grams compared at a time.
+ROWS, GRAMS, COLUMNS = 1024, 1_000_000, 2048
 _SALT = np.uint64(0xA0761D6478BD642F)
 
 
@@ -92,7 +96,7 @@ def shingle_sets(part: pa.RecordBatch, k: int) -> list[np.ndarray]:
 
 
 class Join:
-    """The steps over one table; ``run`` gives (key, n_shingles, component_id)."""
+    """The steps over one table; ``run`` gives (key, n_shingles, component_id), ``counted`` the links too."""
 
     def __init__(self, docs: DataFrame, *, key: str, text: str, k: int, percent: int):
         if not 0 < percent <= 100:
@@ -101,6 +105,11 @@ class Join:
         self.key, self.size, self.percent, self.functions = key, k, percent, FUNCTIONS
 
     def run(self) -> DataFrame:
+        return self.placed().select(F.col("k").alias(self.key), F.col("n").alias("n_shingles"), "component_id")
+
+    def placed(self) -> DataFrame:
+        """(k, n, a, b, component_id) of each row; leaves the segments and the linked classes' components, if any."""
+        self.left = self.parts = None
         rows = materialize(self.signed(), "signatures")
         classes = rows.where("n > 0 AND k IS NOT NULL").groupBy("a", "b", "n").agg(F.min("k").alias("rep"))
         classes = materialize(classes, "classes")
@@ -114,6 +123,7 @@ class Join:
             parts = connected(links)
             more = self.linked(materialize(self.between(segments, parts), "candidates"), segments)
             found = connected(links.union(materialize(more, "links")))
+            self.left, self.parts = segments, found
             classes = materialize(classes.join(found, classes["a"] == found["id"], "left").select("a", "b", "n", "rep", "label"), "labelled")
             least = materialize(classes.where("label IS NOT NULL").groupBy("label").agg(F.min("rep").alias("least")).withColumnRenamed("label", "l"), "least")
             classes = classes.join(least, F.col("label") == F.col("l"), "left").select("a", "b", "n", F.coalesce("least", "rep").alias("c"))
@@ -123,9 +133,58 @@ class Join:
         named = classes.select(F.col("a").alias("x"), F.col("b").alias("y"), F.col("n").alias("z"), "c")
         own = F.when(F.col("k").isNotNull(), F.coalesce("c", "k"))
         return rows.join(named, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")) & (F.col("n") == F.col("z")), "left").select(
-            F.col("k").alias(self.key), F.col("n").alias("n_shingles"), own.alias("component_id")
+            "k", "n", "a", "b", own.alias("component_id")
+        )
+
+    def counted(self) -> DataFrame:
+        """(key, n_shingles, component_id, class_id, n_links)."""
+        rows = materialize(self.placed(), "placed")
+        sizes = rows.where("n > 0 AND k IS NOT NULL").groupBy("a", "b", "n").agg(F.min("k").alias("class_id"), F.count(F.lit(1)).alias("copies"))
+        sizes = materialize(sizes.select(F.col("a").alias("x"), F.col("b").alias("y"), F.col("n").alias("z"), "class_id", "copies"), "sizes")
+        if self.parts is None:
+            sizes = sizes.withColumn("others", F.lit(0).cast("long"))
+        else:
+            sizes = sizes.join(materialize(self.inside(sizes), "inside"), F.col("x") == F.col("o"), "left").drop("o")
+        on = (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")) & (F.col("n") == F.col("z")) & F.col("k").isNotNull()
+        links = F.coalesce(F.col("copies") - 1 + F.coalesce("others", F.lit(0)), F.lit(0))
+        return rows.join(sizes, on, "left").select(
+            F.col("k").alias(self.key), F.col("n").alias("n_shingles"), "component_id", F.coalesce("class_id", "k").alias("class_id"), links.alias("n_links")
         )
 
+    def inside(self, sizes: DataFrame) -> DataFrame:
+        """(o, others): for each class of a component the rows of the other classes that link with it."""
+        percent = self.percent
+        own = Window.partitionBy("label").orderBy("z", "id")
+        upto = F.sum("z").over(own.rowsBetween(Window.unboundedPreceding, 0))
+        block = F.floor((F.row_number().over(own) - 1) / F.lit(ROWS)) + F.floor((upto - 1) / F.lit(GRAMS))
+        members = self.parts.join(sizes, self.parts["id"] == sizes["x"]).select("id", "label", "z", "copies", block.alias("block"))
+        members = materialize(members, "members")
+        blocks = members.groupBy("label", "block").agg(F.min("z").alias("lo"), F.max("z").alias("hi"), F.sum("z").alias("size"))
+        small = blocks.select("label", F.col("block").alias("i"), "hi", F.col("size").alias("s"))
+        large = blocks.select(F.col("label").alias("l"), F.col("block").alias("j"), "lo", F.col("size").alias("t"))
+        fit = (F.col("label") == F.col("l")) & (F.col("i") <= F.col("j")) & (F.col("hi") * 100 >= F.col("lo") * percent)
+        tasks = materialize(small.join(large, fit).select(F.col("label").alias("l"), "i", "j", (F.col("s") + F.col("t")).alias("size")), "tasks")
+        total = tasks.agg(F.sum("size")).first()[0] or 0
+        sides = tasks.select("l", "i", "j", F.col("i").alias("at"), F.lit(0).alias("side")).union(tasks.where("i < j").select("l", "i", "j", "j", F.lit(1)))
+        held = self.left.join(members, F.col("k") == F.col("id")).select("label", "block", "k", "n", "copies", "g")
+        rows = held.join(sides, (F.col("label") == F.col("l")) & (F.col("block") == F.col("at"))).select("l", "i", "j", "side", "k", "n", "copies", "g")
+
+        def count(batches):
+            now, pieces = None, []
+            for batch in batches:
+                cols = [batch.column(c).to_pylist() for c in ("l", "i", "j", "side", "k", "n", "copies", "g")]
+                for l, i, j, *piece in zip(*cols):
+                    if (l, i, j) != now:
+                        if pieces:
+                            yield _linked_rows(pieces, percent)
+                        now, pieces = (l, i, j), []
+                    pieces.append(piece)
+            if pieces:
+                yield _linked_rows(pieces, percent)
+
+        parted = rows.repartition(max(LEAST_LEFT, math.ceil(total / FRAGMENT)), "l", "i", "j").sortWithinPartitions("l", "i", "j")
+        return parted.mapInArrow(count, "o long, others long").groupBy("o").agg(F.sum("others").alias("others"))
+
     def signed(self) -> DataFrame:
         size = self.size
 
@@ -353,6 +412,42 @@ def _pair_batch(pairs: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(ab[:, 0]), pa.array(ab[:, 1])], names=["a", "b"])
 
 
+def _linked_rows(pieces: list, percent: int) -> pa.RecordBatch:
+    """(o, others) from segments (side, k, n, copies, g) of two blocks, or of one with side 0 only."""
+    side, k, n, copies = (np.array(c, np.int64) for c in list(zip(*pieces))[:4])
+    h = np.frombuffer(b"".join(p[4] for p in pieces), np.uint64)
+    row = np.repeat(np.arange(len(pieces)), [len(p[4]) // 8 for p in pieces])
+    texts, first, at = np.unique(k, return_index=True, return_inverse=True)
+    n, copies, side = n[first], copies[first], side[first]
+    order = np.argsort(h, kind="stable")
+    h, text = h[order], at[row[order]]
+    start = _runs(h)
+    many = np.diff(np.append(start, len(h))) > 1
+    use = _spread(start, len(h), many)
+    gram, text = _spread(start, len(h), np.cumsum(many) - 1)[use], text[use]
+    place = np.empty(len(texts), np.int64)  # of each text in its block
+    for x in (0, 1):
+        place[side == x] = np.arange((side == x).sum())
+    one = not side.any()
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == (0 if one else 1))
+    both = np.zeros((len(left), len(right)))
+    for base in range(0, int(many.sum()), COLUMNS):
+        x, y = np.searchsorted(gram, (base, base + COLUMNS))
+        has = [np.zeros((len(b), COLUMNS), np.float32) for b in ((left,) if one else (left, right))]
+        for s, dense in enumerate(has):
+            mine = side[text[x:y]] == s
+            dense[place[text[x:y][mine]], gram[x:y][mine] - base] = 1
+        both += has[0] @ has[-1].T
+    both = both.astype(np.int64)
+    link = both * 100 >= (n[left][:, None] + n[right][None, :] - both) * percent
+    if one:
+        np.fill_diagonal(link, False)
+        found = link @ copies[right]
+        return pa.RecordBatch.from_arrays([pa.array(texts[left]), pa.array(found)], names=["o", "others"])
+    found = np.concatenate((link @ copies[right], copies[left] @ link))
+    return pa.RecordBatch.from_arrays([pa.array(texts[np.concatenate((left, right))]), pa.array(found)], names=["o", "others"])
+
+
 def similar_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of ``docs``: key (an integer), n_shingles, component_id.
 
@@ -365,6 +460,16 @@ def similar_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
     return Join(docs, key=key, text=text, k=k, percent=percent).run()
 
 
+def similar_links(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``similar_components`` with class_id and n_links.
+
+    class_id: the smallest key with the same n-gram set.  n_links: the exact number of other rows whose
+    texts link with the row's, rows with an equal set and rows of the same key among them.  Rows
+    without n-grams are a class of their own; they and rows with a null key have no links.
+    """
+    return Join(docs, key=key, text=text, k=k, percent=percent).counted()
+
+
 def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
     """The rows of ``docs`` whose key is their component's id, with all their columns.
 

@@ -71,3 +71,40 @@ def test_odd_rows(spark):
     kept = jaccard.one_of_each(docs(spark, rows))
     assert sorted((r["doc_id"] or -1) for r in kept.collect()) == [-1, 1, 2, 3, 4, 8, 8, 9] and kept.columns == docs(spark, rows).columns
     assert jaccard.similar_components(docs(spark, [])).count() == 0
+
+
+def brute_links(rows, percent=80):
+    sets = [(i, shingles(t)) for i, t in rows]
+    out = []
+    for x, (i, a) in enumerate(sets):
+        n, same = 0, [i]
+        for y, (j, b) in enumerate(sets):
+            if x != y and a and b and i is not None and j is not None:
+                both = len(a & b)
+                n += 100 * both >= percent * (len(a) + len(b) - both)
+                same += [j] * (a == b)
+        out.append((i, None if i is None else min(same), n))
+    return sorted(out, key=str)
+
+
+def counted(spark, rows):
+    return sorted(((r["doc_id"], r["class_id"], r["n_links"]) for r in jaccard.similar_links(docs(spark, rows)).collect()), key=str)
+
+
+def test_links_inside_components_are_counted(spark, monkeypatch):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = near_copies(60, 1, [0, 1, 2, 3, 4, 5]) + near_copies(40, 2, [0, 2, 3]) + [(9300, text), (9300, text), (9200, text + " end"), (None, text), (9401, None), (9402, "")]
+    chain = [f"c{i}" for i in range(200)]
+    rows += [(9000 + i, " ".join(chain[i * 8 : i * 8 + 80])) for i in range(15)]
+    want = brute_links(rows)
+    assert counted(spark, rows) == want and max(x[2] for x in want) > 20
+    monkeypatch.setattr(jaccard, "ROWS", 7)
+    monkeypatch.setattr(jaccard, "GRAMS", 600)
+    assert counted(spark, rows) == want
+    found = jaccard.similar_links(docs(spark, rows))
+    assert {(r["doc_id"], r["component_id"]) for r in found.collect()} == {(r["doc_id"], r["component_id"]) for r in jaccard.similar_components(docs(spark, rows)).collect()}
+
+
+def test_no_links_to_count(spark):
+    assert counted(spark, [(1, "a b c"), (2, "d e"), (2, "d e"), (3, None)]) == [(1, 1, 0), (2, 2, 1), (2, 2, 1), (3, 3, 0)]
+    assert jaccard.similar_links(docs(spark, [])).count() == 0
