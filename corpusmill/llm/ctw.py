@@ -1,16 +1,15 @@
 """Language-model scoring by context-tree weighting over binary-decomposed byte contexts.
 
-Training counts every byte with the five before it.  Bytes become 64 symbols: the
-most frequent 61 bytes, text start, text end, and an escape that a further code for the byte
-follows.  A symbol is six binary decisions; each has a context tree over the last 0 to 5
-symbols, whose nodes hold Krichevsky-Trofimov (KT) estimates.  A node's weighted probability is
+Training counts every byte with the five before it.  All 256 bytes are symbols; text start and
+text end are two that UTF-8 never has.  A byte is eight binary decisions; each has a context tree over the last 0 to 5
+bytes, whose nodes hold Krichevsky-Trofimov (KT) estimates.  A node's weighted probability is
 half its own estimate and half the product of its children's; from that follows the weight of
 every depth, and the prediction mixes the estimates of all of them.  The score of a text is its log10 probability, text end
 included.
 
 No machine holds the model, which grows with the corpus.  Contexts that share their last two
 symbols lie in one fragment, whose subtrees need nothing else but the mixture of the depths
-above; that comes from sums over at most 64 * 63 decisions.  Texts ask the fragments for the
+above; that comes from sums over at most 256 * 255 decisions.  Texts ask the fragments for the
 distinct grams of each part of about two MB and add up the answers.
 
 A base line of single words is computed beside it: exact counts over all training tokens.
@@ -31,9 +30,11 @@ from pyspark.sql import functions as F
 from .shared import Words, materialize, mix, range_hashes, text_buffers, text_parts
 
 DEPTH, BITS = 5, 6
+#: Binary decisions of a byte, as the operator codes it; models of BITS decisions serve smaller alphabets.
+BYTE = 8
 #: Symbols of context that a fragment's grams share, and grams that a fragment holds on average.
 SPLIT, MODEL_FRAGMENT = 2, 1_000_000
-SYMBOLS = 1 << BITS
+#: Text start, text end and any other byte in a smaller alphabet.
 START, END, ESCAPE = 0, 1, 2
 #: Bytes that UTF-8 never has: before the text's first byte and after its last.
 PAD, STOP = 0xFE, 0xFF
@@ -82,10 +83,10 @@ def _in(sorted_values: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return at, sorted_values[at] == x
 
 
-def _levels(by_depth, level: int, low: int):
+def _levels(by_depth, level: int, low: int, bits: int):
     """The decisions of one level in contexts of ``low`` to DEPTH symbols: (node, zeros, ones) by depth,
     the place of each one's parent, the weight of the own estimate, and ln of the weighted probability at ``low``."""
-    shift, nodes, parent, weight = BITS - level, {}, {}, {}
+    shift, symbols, nodes, parent, weight = bits - level, 1 << bits, {}, {}, {}
     for d in range(low, DEPTH + 1):
         g, n = by_depth[d]
         node = g >> shift
@@ -94,7 +95,7 @@ def _levels(by_depth, level: int, low: int):
         nodes[d] = node[start], np.add.reduceat(n, start) - ones, ones
     for d in range(low + 1, DEPTH + 1):  # the same decision, the context without its oldest symbol
         q = nodes[d][0]
-        parent[d] = np.searchsorted(nodes[d - 1][0], ((q >> level) % SYMBOLS ** (d - 1) << level) | (q & (1 << level) - 1))
+        parent[d] = np.searchsorted(nodes[d - 1][0], ((q >> level) % symbols ** (d - 1) << level) | (q & (1 << level) - 1))
     total = None
     for d in range(DEPTH, low - 1, -1):
         own = kt_block(nodes[d][1], nodes[d][2])
@@ -107,36 +108,36 @@ def _levels(by_depth, level: int, low: int):
     return nodes, parent, weight, total
 
 
-def _key(q: np.ndarray, level: int, depth: int) -> np.ndarray:
-    """``context * 64 + decision`` of a node of this level, its context cut to ``depth`` symbols."""
-    return ((q >> level) % SYMBOLS**depth << BITS) | 1 << level | (q & (1 << level) - 1)
+def _key(q: np.ndarray, level: int, depth: int, bits: int) -> np.ndarray:
+    """``context * 2**bits + decision`` of a node of this level, its context cut to ``depth`` symbols."""
+    return ((q >> level) % (1 << bits * depth) << bits) | 1 << level | (q & (1 << level) - 1)
 
 
-def _by_depth(grams: np.ndarray, counts: np.ndarray, low: int) -> dict:
+def _by_depth(grams: np.ndarray, counts: np.ndarray, low: int, bits: int) -> dict:
     """(grams, counts) of contexts of each depth; ``grams`` ascend."""
     out = {DEPTH: (grams, counts)}
     for d in range(DEPTH - 1, low - 1, -1):
-        g = out[d + 1][0] % SYMBOLS ** (d + 1)
+        g = out[d + 1][0] % (1 << bits * (d + 1))
         order = np.argsort(g, kind="stable")
         start = _starts(g[order])
         out[d] = (g[order][start], np.add.reduceat(out[d + 1][1][order], start) if len(g) else counts)
     return out
 
 
-def top_sums(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def top_sums(grams: np.ndarray, counts: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(key, zeros, ones, under) of the decisions above one fragment's subtrees, in contexts of
     SPLIT - 1 symbols; under: the summed ln of the subtrees' weighted probabilities."""
     order = np.argsort(grams)
-    by_depth = _by_depth(grams[order], counts[order].astype(np.float64), SPLIT)
+    by_depth = _by_depth(grams[order], counts[order].astype(np.float64), SPLIT, bits)
     found = []
-    for level in range(BITS if len(grams) else 0):
-        nodes, _, _, total = _levels(by_depth, level, SPLIT)
-        keys, index = np.unique(_key(nodes[SPLIT][0], level, SPLIT - 1), return_inverse=True)
+    for level in range(bits if len(grams) else 0):
+        nodes, _, _, total = _levels(by_depth, level, SPLIT, bits)
+        keys, index = np.unique(_key(nodes[SPLIT][0], level, SPLIT - 1, bits), return_inverse=True)
         found.append((keys, *(np.bincount(index, weights=x) for x in (nodes[SPLIT][1], nodes[SPLIT][2], total))))
     return tuple(np.concatenate([f[i] for f in found]) if found else np.empty(0, np.int64 if not i else float) for i in range(4))
 
 
-def top_nodes(keys: np.ndarray, zeros: np.ndarray, ones: np.ndarray, under: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def top_nodes(keys: np.ndarray, zeros: np.ndarray, ones: np.ndarray, under: np.ndarray, bits: int = BITS) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(keys, mixed, rest) by depth, of contexts with fewer than SPLIT symbols, from all fragments' sums."""
     order = np.argsort(keys)
     levels = [(keys[order], zeros[order], ones[order], under[order])]
@@ -147,7 +148,7 @@ def top_nodes(keys: np.ndarray, zeros: np.ndarray, ones: np.ndarray, under: np.n
         total = math.log(0.5) + np.logaddexp(own, u)
         weights.append(np.exp(math.log(0.5) + own - total))
         if d:
-            above, index = np.unique(((k >> BITS) % SYMBOLS ** (d - 1) << BITS) | k & (SYMBOLS - 1), return_inverse=True)
+            above, index = np.unique(((k >> bits) % (1 << bits * (d - 1)) << bits) | k & ((1 << bits) - 1), return_inverse=True)
             ups.append(index)
             levels.append((above, *(np.bincount(index, weights=x, minlength=len(above)) for x in (z, o, total))))
     out, mixed, rest = [], None, None
@@ -162,21 +163,22 @@ def top_nodes(keys: np.ndarray, zeros: np.ndarray, ones: np.ndarray, under: np.n
 class Model:
     """Predicts a symbol from the DEPTH before it.
 
-    A gram is ``context * 64 + symbol``; a context's last symbol is its lowest digit to base 64.
+    A gram is ``context * 2**bits + symbol``; a context's last symbol is its lowest digit.
     ``logp``: log10 probability of each gram seen.  ``nodes[d]``: the decisions seen in contexts
     of d < DEPTH symbols, as (keys, mixed, rest): the weighted sum of the estimates of depths
     0 to d, and the weight left to deeper ones.  With ``top`` from ``top_nodes`` the grams are
     those of one fragment, else all.
     """
 
-    def __init__(self, grams: np.ndarray, counts: np.ndarray, top=None):
+    def __init__(self, grams: np.ndarray, counts: np.ndarray, top=None, bits: int = BITS):
+        self.bits = bits
         low = 0 if top is None else SPLIT
         order = np.argsort(grams)
         self.grams, counts = grams[order], counts[order].astype(np.float64)
         self.before = np.concatenate(([0.0], np.cumsum(counts)))
-        by_depth = _by_depth(self.grams, counts, low)
+        by_depth = _by_depth(self.grams, counts, low, bits)
         logp, parts = np.zeros(len(grams)), {d: [] for d in range(low, DEPTH)}
-        for level in range(BITS if len(grams) else 0):
+        for level in range(bits if len(grams) else 0):
             self._level(level, by_depth, logp, parts, low, top)
         self.logp = logp.astype(np.float32)
         self.nodes = list(top or ())
@@ -188,13 +190,13 @@ class Model:
 
     def _level(self, level: int, by_depth, logp: np.ndarray, parts: dict, low: int, top) -> None:
         """Mixes the trees of the decisions of one level; adds to logp and parts."""
-        shift = BITS - level
-        nodes, parent, weight, _ = _levels(by_depth, level, low)
+        shift = self.bits - level
+        nodes, parent, weight, _ = _levels(by_depth, level, low, self.bits)
         if top is None:
             mixed, rest = np.zeros(len(nodes[0][0])), np.ones(len(nodes[0][0]))
         else:
             keys, mixed, rest = top[-1]
-            at = np.searchsorted(keys, _key(nodes[low][0], level, low - 1))
+            at = np.searchsorted(keys, _key(nodes[low][0], level, low - 1, self.bits))
             mixed, rest = mixed[at], rest[at]
         for d in range(low, DEPTH + 1):
             q, zeros, ones = nodes[d]
@@ -202,7 +204,7 @@ class Model:
                 mixed, rest = mixed[parent[d]], rest[parent[d]]
             mixed, rest = mixed + rest * weight[d] * (ones + 0.5) / (zeros + ones + 1.0), rest * (1 - weight[d])
             if d < DEPTH:
-                parts[d].append((_key(q, level, d), mixed.astype(np.float32), rest.astype(np.float32)))
+                parts[d].append((_key(q, level, d, self.bits), mixed.astype(np.float32), rest.astype(np.float32)))
         at = np.cumsum(np.concatenate(([0], (self.grams[1:] >> shift != self.grams[:-1] >> shift).astype(np.int64))))
         logp += np.log10(np.where(self.grams >> (shift - 1) & 1, mixed[at], 1 - mixed[at]))
 
@@ -242,17 +244,18 @@ class Model:
     def unseen(self, grams: np.ndarray) -> np.ndarray:
         """log10 probability of grams that training never saw."""
         out = np.zeros(len(grams))
-        context, symbol = grams >> BITS, grams & (SYMBOLS - 1)
-        known = _in(self.grams[_starts(self.grams >> BITS)] >> BITS, context)[1]
-        for level in range(BITS):
-            shift = BITS - level
+        bits = self.bits
+        context, symbol = grams >> bits, grams & ((1 << bits) - 1)
+        known = _in(self.grams[_starts(self.grams >> bits)] >> bits, context)[1]
+        for level in range(bits):
+            shift = bits - level
             decision = 1 << level | symbol >> shift
             bit = symbol >> (shift - 1) & 1
             p = np.full(len(grams), 0.5)
             left = np.arange(len(grams))
             for d in range(DEPTH - 1, -1, -1):
                 keys, mixed, rest = self.nodes[d]
-                at, there = _in(keys, (context[left] % SYMBOLS**d << BITS) | decision[left])
+                at, there = _in(keys, (context[left] % (1 << bits * d) << bits) | decision[left])
                 hit, at = left[there], at[there]
                 deeper = np.full(len(hit), 0.5)
                 if d == DEPTH - 1:
@@ -276,41 +279,22 @@ class Model:
         return out
 
 
-class Alphabet:
-    """The symbol of each byte, and the cost of naming a byte that the escape stands for."""
-
-    def __init__(self, by_byte: dict[int, int]):
-        """by_byte: training counts."""
-        seen = sorted((b for b in by_byte if b != STOP), key=lambda b: (-by_byte[b], b))
-        self.symbol_of = np.full(256, ESCAPE, np.int64)
-        self.symbol_of[seen[: SYMBOLS - 3]] = 3 + np.arange(min(len(seen), SYMBOLS - 3))
-        self.symbol_of[PAD], self.symbol_of[STOP] = START, END
-        escaped = np.zeros(256)
-        for b in seen[SYMBOLS - 3 :]:
-            escaped[b] = by_byte[b]
-        self.escape = np.where(self.symbol_of == ESCAPE, np.log10((escaped + 0.5) / (escaped.sum() + 128.0)), 0.0)
-
-
 class Part:
     """The grams of some texts: ``distinct`` ones by fragment, ``ends`` of each fragment's."""
 
-    def __init__(self, array, alphabet: Alphabet, fragments: int):
+    def __init__(self, array, fragments: int):
         self.first, self.data = padded(array)
         if len(self.first) < 2:
             self.distinct, self.ends = np.empty(0, np.int64), np.zeros(fragments, np.int64)
             return
-        s = alphabet.symbol_of[self.data]
-        g = s[DEPTH:].copy()
-        for d in range(1, DEPTH + 1):
-            g |= s[DEPTH - d : len(s) - d] << (BITS * d)
+        g = byte_grams(self.data)
         self.coded = self.data != PAD
         self.coded[:DEPTH] = False
         distinct, index = np.unique(g[self.coded[DEPTH:]], return_inverse=True)
         self.index = index.astype(np.int32)
-        f = fragment_of(distinct, fragments)
+        f = fragment_of(distinct, fragments, BYTE)
         self.order = np.argsort(f, kind="stable")
         self.distinct, self.ends = distinct[self.order], np.cumsum(np.bincount(f, minlength=fragments))
-        self.escape = alphabet.escape
 
     def scores(self, answers: np.ndarray) -> np.ndarray:
         """The log10 probability of each text; ``answers`` are those to ``distinct``."""
@@ -318,14 +302,14 @@ class Part:
             return np.empty(0)
         each = np.empty(len(answers))
         each[self.order] = answers
-        value = np.where(self.data == PAD, 0.0, self.escape[self.data])
-        value[self.coded] += each[self.index]
+        value = np.zeros(len(self.data))
+        value[self.coded] = each[self.index]
         return np.add.reduceat(value, self.first[:-1])
 
 
-def fragment_of(grams: np.ndarray, fragments: int) -> np.ndarray:
+def fragment_of(grams: np.ndarray, fragments: int, bits: int = BITS) -> np.ndarray:
     """The fragment of each gram, by the last SPLIT symbols of its context."""
-    return (mix((grams >> BITS) % SYMBOLS**SPLIT + 1) % np.uint64(fragments)).astype(np.int64)
+    return (mix((grams >> bits) % (1 << bits * SPLIT) + 1) % np.uint64(fragments)).astype(np.int64)
 
 
 def padded(array) -> tuple[np.ndarray, np.ndarray]:
@@ -340,15 +324,20 @@ def padded(array) -> tuple[np.ndarray, np.ndarray]:
     return first, out
 
 
+def byte_grams(b: np.ndarray) -> np.ndarray:
+    """The gram of each padded byte from the first text's on: itself and the DEPTH bytes before."""
+    g = b[DEPTH:].astype(np.int64)
+    for d in range(1, DEPTH + 1):
+        g |= b[DEPTH - d : len(b) - d].astype(np.int64) << (BYTE * d)
+    return g
+
+
 def grams(array) -> tuple[np.ndarray, np.ndarray]:
     """Distinct grams of the texts (DEPTH bytes of context, one coded) and their counts."""
     _, b = padded(array)
     if not len(b):
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    g = b[DEPTH:].astype(np.int64)
-    for d in range(1, DEPTH + 1):
-        g |= b[DEPTH - d : len(b) - d].astype(np.int64) << (8 * d)
-    return np.unique(g[b[DEPTH:] != PAD], return_counts=True)
+    return np.unique(byte_grams(b)[b[DEPTH:] != PAD], return_counts=True)
 
 
 def packed_texts(array) -> tuple[bytes, pa.Array]:
@@ -391,19 +380,13 @@ class Trees:
     """The model of a table (g, n) of byte grams, by fragments in a written table."""
 
     def __init__(self, counts: DataFrame):
-        by_byte = {r["b"]: r["n"] for r in counts.groupBy(F.col("g").bitwiseAND(255).alias("b")).agg(F.sum("n").alias("n")).collect()}
-        self.alphabet = Alphabet(by_byte)
-        lookup = F.array(*[F.lit(int(x)) for x in self.alphabet.symbol_of])
-        whole = F.lit(0).cast("long")
-        for d in range(DEPTH, -1, -1):
-            whole = whole * SYMBOLS + F.get(lookup, F.shiftright("g", 8 * d).bitwiseAND(255).cast("int"))
-        coded = materialize(counts.select(whole.alias("g"), "n").groupBy("g").agg(F.sum("n").alias("n")), "grams")
+        coded = materialize(counts.select("g", "n"), "grams")
         self.fragments = fragments = max(LEAST, math.ceil(coded.count() / MODEL_FRAGMENT))
 
         def pack(batches):
             for b in batches:
                 g, n = b.column("g").to_numpy(), b.column("n").to_numpy()
-                f = fragment_of(g, fragments)
+                f = fragment_of(g, fragments, BYTE)
                 order = np.lexsort((g, f))
                 ends = np.cumsum(np.bincount(f, minlength=fragments))
                 for x in np.flatnonzero(np.diff(ends, prepend=0)).tolist():
@@ -412,13 +395,13 @@ class Trees:
 
         def sums(batches):
             for _, pieces in by_fragment(batches):
-                columns = top_sums(*merged(pieces))
+                columns = top_sums(*merged(pieces), BYTE)
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "zeros", "ones", "under"])
 
         self.pieces = materialize(coded.mapInArrow(pack, "f long, v binary").repartition(fragments, "f").sortWithinPartitions("f"), "fragments")
         shared = self.pieces.repartition(fragments, "f").sortWithinPartitions("f").mapInArrow(sums, "key long, zeros double, ones double, under double")
-        got = shared.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "under")]).toArrow()  # 64 * 63 rows at most
-        self.top = top_nodes(*(got.column(c).to_numpy() for c in ("key", "zeros", "ones", "under")))
+        got = shared.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "under")]).toArrow()  # 256 * 255 rows at most
+        self.top = top_nodes(*(got.column(c).to_numpy() for c in ("key", "zeros", "ones", "under")), BYTE)
 
     def answered(self, asked: DataFrame) -> DataFrame:
         """(p, f, v): the answers to rows (p, f, v) of packed grams."""
@@ -434,7 +417,7 @@ class Trees:
                         pieces.append(v.as_py())
                         continue
                     if model is None:
-                        model, pieces = Model(*merged(pieces), top), []
+                        model, pieces = Model(*merged(pieces), top, BYTE), []
                     found = packed_floats(model.ask(unpacked_numbers(v.as_py())))
                     yield pa.RecordBatch.from_arrays([pa.array([p], pa.int64()), pa.array([f], pa.int64()), pa.array([found], pa.binary())], names=["p", "f", "v"])
 
@@ -685,12 +668,12 @@ class Scoring:
         return self.rows.mapInArrow(run, "p long, k array<long>, h array<boolean>, o array<long>, t binary")
 
     def asked(self, parts: DataFrame, trees: Trees) -> DataFrame:
-        alphabet, fragments = trees.alphabet, trees.fragments
+        fragments = trees.fragments
 
         def run(batches):
             for b in batches:
                 for i, p in enumerate(b.column("p").to_pylist()):
-                    part = Part(unpacked_texts(b.column("t")[i].as_py(), b.column("o")[i].values), alphabet, fragments)
+                    part = Part(unpacked_texts(b.column("t")[i].as_py(), b.column("o")[i].values), fragments)
                     start = np.concatenate(([0], part.ends[:-1]))
                     some = np.flatnonzero(part.ends > start)
                     v = [packed_numbers(part.distinct[start[f] : part.ends[f]]) for f in some.tolist()]
@@ -700,7 +683,7 @@ class Scoring:
 
     def scored(self, parts: DataFrame, answers: DataFrame, trees: Trees, sent) -> DataFrame:
         """The rows of the parts with their scores; the answers to a part come before it, by fragment."""
-        alphabet, fragments = trees.alphabet, trees.fragments
+        fragments = trees.fragments
 
         def run(batches):
             held = []
@@ -710,7 +693,7 @@ class Scoring:
                         held.append(unpacked_floats(b.column("v")[i].as_py()))
                         continue
                     texts = unpacked_texts(b.column("t")[i].as_py(), b.column("o")[i].values)
-                    log = Part(texts, alphabet, fragments).scores(np.concatenate(held) if held else np.empty(0))
+                    log = Part(texts, fragments).scores(np.concatenate(held) if held else np.empty(0))
                     held = []
                     yield rows(b.column("k")[i].values, b.column("h")[i].values, texts, log)
 

@@ -128,3 +128,23 @@ def test_postings_round_trip():
         rows, ids = np.arange(at.sum()) % 5, np.arange(5) * 11
         got = ctw._unpack(ctw._pack(place[at], rows, np.ones(at.sum(), np.int64), ids, ids > 20))
         assert (got[0] == place[at]).all() and (got[1] == ids[rows]).all() and (got[3] == (ids[rows] > 20)).all()
+
+
+def test_rare_bytes_have_contexts_of_their_own(spark):
+    common = bytes(range(33, 65)) + bytes(range(91, 127))  # more bytes than 61, all more frequent
+    rows = [(i, (common * 4).decode()) for i in range(40)] + [(100 + i, "дом кот") for i in range(3)] + [(200, "дом"), (201, "мод")]
+    got = {r["doc_id"]: r["score"] for r in ctw.score_documents(docs(spark, rows), held_out="{key} IN ('200', '201')").collect()}
+    assert got[200] > got[201] + 3
+
+
+def test_scores_are_the_whole_models_of_bytes(spark):
+    texts = ["abra cadabra", "ein Bär, 87 %", "", "a cab in 中文"]
+    g, n = ctw.grams(pa.array(texts))
+    model = ctw.Model(g, n, bits=8)
+    context = g[5] >> 8
+    assert (10 ** model.ask(np.arange(256) + context * 256)).sum() == pytest.approx(1, abs=1e-5)
+    asked = [*texts, "Bär 8 文"]
+    got = {r["doc_id"]: r["score"] for r in ctw.score_documents(docs(spark, list(enumerate(asked))), held_out="{key} = '4'").collect()}
+    for i, t in enumerate(asked):
+        own, times = ctw.grams(pa.array([t]))
+        assert got[i] == pytest.approx(float((model.ask(own) * times).sum()), abs=1e-4)
