@@ -40,6 +40,11 @@ def test_list_distances(spark, pred, gold, joined, token):
     assert tuple(row) == pytest.approx((joined, token))
 
 
+def test_list_distance_of_many_distinct_items(spark):
+    df = spark.createDataFrame([([f"t{i}" for i in range(600)], [f"t{i if i < 300 else i + 512}" for i in range(600)])], "p array<string>, g array<string>")
+    assert df.select(tx.token_distance_score(F.col("p"), F.col("g"))).first()[0] == pytest.approx(0.5)
+
+
 @pytest.mark.parametrize("base, text, want", [("low", "this is an issue", "medium"), ("medium", "URGENT", "high"), ("high", "asap", "high"), ("low", "fraud", "critical"), ("low", "hello", "low")])
 def test_urgency(spark, base, text, want):
     assert one(spark, tx.escalated_urgency(F.col("b"), F.col("t")), b=base, t=text) == want
