@@ -92,7 +92,7 @@ def automated_tickets(spark, sf_dir):
 @query("SELECT 'k' AS field, count(*) AS present, CAST(count_if(trim(json_extract_string(props, '$.k')) <> '') AS BIGINT) AS filled FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL")
 def custom_field_fill(spark, sf_dir):
     events = table(spark, sf_dir, "events").select(F.from_json("props", "map<string,string>").alias("fields"))
-    return profile.field_fill(events, "fields").where("field = 'k'")
+    return profile.field_fill(events, "fields")
 
 
 @query("WITH c AS (SELECT conv_id, sum(length(text)) AS n FROM conversations GROUP BY conv_id) SELECT count(*) AS chats, avg(n) AS mean, CAST(min(n) AS BIGINT) AS least, CAST(max(n) AS BIGINT) AS most FROM c")

@@ -134,3 +134,10 @@ def test_costs_and_mock_calls(spark):
     rows = df.select(score.cost(F.col("i"), F.col("o"), F.col("m"), {"m": (2.0, 4.0)}).alias("c"), score.execute_call(F.col("n"), F.col("g")).alias("e")).collect()
     assert [round(r["c"], 6) for r in rows] == [0.004, 0.0025, 0.0]
     assert [(r["e"]["status"], r["e"]["missing"]) for r in rows] == [("success", []), ("unknown_tool", []), ("missing_parameters", ["policy_type"])]
+
+
+def test_custom_fields_of_every_key_are_reported(spark, tmp_path):
+    rows = [('{"k": "a", "other": " "}',), ('{"k": "", "other": "x"}',), ('{"other": "y"}',)]
+    spark.createDataFrame(rows, "props string").write.parquet(f"{tmp_path}/events.parquet")
+    got = sorted(tuple(r) for r in QUERIES["custom_field_fill"](spark, str(tmp_path)).collect())
+    assert got == [("k", 2, 1), ("other", 3, 2)]
