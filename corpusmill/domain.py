@@ -167,6 +167,83 @@ SCOPE_BREACHES = {
 UNAUTHORIZED_REFUND = r"(?i)refund.*\$[5-9]\d{2,}|refund.*\$\d{4,}"
 AUTOMATED_PHRASES = ("automatisch generierte nachricht", "auto-generated", "do not reply")
 EDGE_INTENTS = ("fraud_report", "complaint", "cancellation")
+CHANNELS = ("email", "chat", "phone", "social")
+URGENCY_COLORS = {"critical": "#dc2626", "high": "#ea580c", "medium": "#ca8a04", "low": "#16a34a"}
+#: Tool -> (parameter that comes back, what stands for a missing one, the rest of a mock answer); the refund's random id is left out.
+MOCK_ANSWERS = {
+    "order_lookup_api": ("order_id", "ORD-00000", {"status": "in_transit", "eta": "2026-03-20"}),
+    "shipment_tracking_api": ("tracking_id", "TRK-00000", {"carrier": "FedEx", "status": "in_transit", "eta": "2026-03-19"}),
+    "refund_processing_api": ("order_id", "", {"status": "processed", "estimated_days": 5}),
+    "customer_profile_api": ("customer_id", "CUST-00000", {"name": "Jane Doe", "tier": "gold", "account_since": "2023-06-15"}),
+}
+#: The out-of-scope set's labels in order of their numbers.
+SCOPE_NAMES = (
+    "restaurant_reviews", "nutrition_info", "account_blocked", "oil_change_how", "time", "weather", "redeem_rewards", "interest_rate",
+    "gas_type", "accept_reservations", "smart_home", "user_name", "report_lost_card", "repeat", "whisper_mode", "what_are_your_hobbies",
+    "order", "jump_start", "schedule_meeting", "meeting_schedule", "freeze_account", "what_song", "meaning_of_life",
+    "restaurant_reservation", "traffic", "make_call", "text", "bill_balance", "improve_credit_score", "change_language", "no",
+    "measurement_conversion", "timer", "flip_coin", "do_you_have_pets", "balance", "tell_joke", "last_maintenance", "exchange_rate",
+    "uber", "car_rental", "credit_limit", "oos", "shopping_list", "expiration_date", "routing", "meal_suggestion", "tire_change",
+    "todo_list", "card_declined", "rewards_balance", "change_accent", "vaccines", "reminder_update", "food_last", "change_ai_name",
+    "bill_due", "who_do_you_work_for", "share_location", "international_visa", "calendar", "translate", "carry_on", "book_flight",
+    "insurance_change", "todo_list_update", "timezone", "cancel_reservation", "transactions", "credit_score", "report_fraud",
+    "spending_history", "directions", "spelling", "insurance", "what_is_your_name", "reminder", "where_are_you_from", "distance",
+    "payday", "flight_status", "find_phone", "greeting", "alarm", "order_status", "confirm_reservation", "cook_time", "damaged_card",
+    "reset_settings", "pin_change", "replacement_card_duration", "new_card", "roll_dice", "income", "taxes", "date", "who_made_you",
+    "pto_request", "tire_pressure", "how_old_are_you", "rollover_401k", "pto_request_status", "how_busy", "application_status", "recipe",
+    "calendar_update", "play_music", "yes", "direct_deposit", "credit_limit_change", "gas", "pay_bill", "ingredients_list",
+    "lost_luggage", "goodbye", "what_can_i_ask_you", "book_hotel", "are_you_a_bot", "next_song", "change_speed", "plug_type", "maybe",
+    "w2", "oil_change_when", "thank_you", "shopping_list_update", "pto_balance", "order_checks", "travel_alert", "fun_fact",
+    "sync_device", "schedule_maintenance", "apr", "transfer", "ingredient_substitution", "calories", "current_location",
+    "international_fees", "calculator", "definition", "next_holiday", "update_playlist", "mpg", "min_payment", "change_user_name",
+    "restaurant_suggestion", "travel_notification", "cancel", "pto_used", "travel_suggestion", "change_volume",
+)
+#: Those of them that a customer service sees.
+SERVICE_LABELS = (
+    "order_status", "order", "order_checks", "bill_balance", "bill_due", "pay_bill", "min_payment", "transactions", "spending_history",
+    "balance", "credit_score", "credit_limit", "credit_limit_change", "interest_rate", "apr", "international_fees", "exchange_rate",
+    "redeem_rewards", "rewards_balance", "income", "taxes", "w2", "payday", "rollover_401k", "card_declined", "transfer",
+    "direct_deposit", "report_fraud", "report_lost_card", "freeze_account", "account_blocked", "pin_change", "reset_settings",
+    "change_user_name", "cancel", "cancel_reservation", "new_card", "insurance", "insurance_change", "damaged_card",
+    "replacement_card_duration", "lost_luggage", "oos",
+)
+#: Sentences of the converted answers; {0} is the label in words or what the name says.
+CATEGORY_REASONING = ("Customer request categorized as ", " (", "). Urgency: ", ".")
+QUEUE_REASONING = ("Ticket routed to ", " queue with ", " priority. Type: ", ". Classified as ", ".")
+LABEL_REASONING = ("Customer is asking about ", ". Classified as ", " with ", " urgency.")
+ANNOTATED_REASONING = ("Customer intent is ", " with ", " urgency. Required workflow: ", ".")
+BANKING_RESPONSE = ("I understand you're experiencing an issue with ", ". Let me look into this for you right away and get it resolved as quickly as possible.")
+SCOPE_RESPONSE = ("I'd be happy to help you with ", ". Let me pull up the relevant information and get this sorted out for you right away.")
+OUT_OF_SCOPE_REASONING = "Request is outside standard service categories. Escalating to a human agent."
+OUT_OF_SCOPE_RESPONSE = "I appreciate you reaching out. This falls outside my area of expertise, so let me connect you with a specialist who can assist you properly."
+NO_TOOL_CALL = "No tool call needed."
+TOOL_SCHEMAS_HEAD = "\n\nAvailable function schemas:\n"
+#: Training mix -> source -> weight.
+DATA_MIXES = {
+    "intent_classifier": {"bitext/Bitext-customer-support-llm-chatbot-training-dataset": 0.3, "PolyAI/banking77": 0.3, "clinc/clinc_oos": 0.2, "annotated": 0.2},
+    "response_generator": {
+        "annotated": 0.30, "bitext/Bitext-customer-support-llm-chatbot-training-dataset": 0.25, "bitext/Bitext-retail-ecommerce-llm-chatbot-training-dataset": 0.15,
+        "gretelai/gretel-safety-alignment-en-v1": 0.15, "arcee-ai/agent-data": 0.15,
+    },
+    "tool_caller": {"arcee-ai/agent-data": 0.4, "Salesforce/xlam-function-calling-60k": 0.3, "NousResearch/hermes-function-calling-v1": 0.15, "Team-ACE/ToolACE": 0.15},
+    "workflow_reasoner": {"annotated": 0.4, "bitext/Bitext-customer-support-llm-chatbot-training-dataset": 0.3, "arcee-ai/agent-data": 0.3},
+    "dpo": {"argilla/ultrafeedback-binarized-preferences-cleaned": 0.6, "nvidia/HelpSteer3": 0.3, "preferences": 0.1},
+    "simpo": {"argilla/ultrafeedback-binarized-preferences-cleaned": 0.5, "nvidia/HelpSteer3": 0.3, "preferences": 0.2},
+    "chat": {
+        "bitext_cs": 0.20, "bitext_ecom": 0.20, "customer_support_tickets": 0.15, "bitext_banking": 0.05, "bitext_insurance": 0.05, "banking77": 0.05, "clinc_oos": 0.02,
+        "arcee_agent": 0.15, "xlam_60k": 0.08, "hermes_fc": 0.05,
+    },
+}
 # End of the fixed values.
 
-SYSTEM_PROMPT = "You are a customer service agent. Answer in JSON with: intent, urgency, workflow_steps, tools_required, reasoning, response."
+SYSTEM_TEMPLATE = "You are a customer service agent for {company}. Available tools: {tools}. Answer in JSON with: intent, urgency, workflow_steps, tools_required, reasoning, response."
+
+
+def system_prompt(company: str = "our company", tools: tuple[str, ...] = tuple(TOOL_PARAMETERS)) -> str:
+    return SYSTEM_TEMPLATE.format(company=company, tools=", ".join(tools))
+
+
+SYSTEM_PROMPT = system_prompt()
+#: Label -> intent, from the tables above.
+BANKING_INTENT = {x: intent for intent, labels in BANKING_LABELS.items() for x in labels}
+SCOPE_INTENT = {x: intent for intent, labels in SCOPE_LABELS.items() for x in labels}

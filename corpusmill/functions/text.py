@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,26 +12,27 @@ from corpusmill import domain
 
 
 def bound(value: Column, f) -> Column:
-    """``f`` of ``value``, which is evaluated once however often ``f`` refers to it."""
+    """``f`` of ``value``, which is evaluated once however often ``f`` refers to it.
+
+    A higher-order function, which leaves code generation: for lists only.  Whole texts get a
+    column of their own instead (see ``score.rewards``).
+    """
     return F.transform(F.array(value), f)[0]
 
 
 def any_of(text: Column, words: Iterable[str]) -> Column:
     """Whether lower-cased ``text`` holds any of ``words`` as a substring."""
-    return bound(F.lower(text), lambda low: any_in(low, words))
+    return any_in(F.lower(text), words)
 
 
 def any_in(low: Column, words: Iterable[str]) -> Column:
     """The same for text that is in lower case already."""
-    out = F.lit(False)
-    for w in words:
-        out = out | F.contains(low, F.lit(w))
-    return out
+    return reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in words], F.lit(False))
 
 
 def count_of(text: Column, words: Iterable[str]) -> Column:
     """How many of ``words`` lower-cased ``text`` holds as substrings."""
-    return bound(F.lower(text), lambda low: count_in(low, words))
+    return count_in(F.lower(text), words)
 
 
 def count_in(low: Column, words: Iterable[str]) -> Column:
@@ -43,11 +45,11 @@ def strip(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    return F.size(F.filter(F.split(text, r"(?U)\s+"), lambda w: w != ""))
+    return F.size(F.array_remove(F.split(text, r"(?U)\s+"), ""))
 
 
 def non_ascii_share(text: Column) -> Column:
-    return F.length(F.regexp_replace(text, r"[\x00-\x7F]", "")) / F.greatest(F.length(text), F.lit(1))
+    return F.regexp_count(text, F.lit(r"[^\x00-\x7F]")) / F.greatest(F.length(text), F.lit(1))
 
 
 def lookup(mapping: Mapping[str, str], key: Column, default: str) -> Column:
@@ -55,9 +57,47 @@ def lookup(mapping: Mapping[str, str], key: Column, default: str) -> Column:
     return F.coalesce(F.element_at(table, key), F.lit(default))
 
 
+#: What a text must hold to match a pattern of personal data; far cheaper to look for than a word edge at every character.
+_NEEDED = {
+    "ssn": lambda t: t.rlike(r"\d{3}-\d{2}-\d{4}"),
+    "credit_card": lambda t: t.rlike(r"\d(?:[ -]*\d){12}"),
+    "email": lambda t: F.contains(t, F.lit("@")),
+    "phone": lambda t: t.rlike(r"\d{3}\)?[ -]?\d{3}[ -]?\d{4}"),
+}
+
+
+def has_pii(text: Column, kind: str) -> Column:
+    """Whether the pattern of this kind of personal data is found in ``text``."""
+    return _NEEDED[kind](text) & text.rlike(domain.PII[kind])
+
+
 def pii_types(text: Column) -> Column:
     """The kinds of personal data that a regular expression finds in ``text``, in a fixed order."""
-    return F.filter(F.array(*[F.when(text.rlike(p), F.lit(k)) for k, p in domain.PII.items()]), lambda x: x.isNotNull())
+    return F.array_compact(F.array(*[F.when(has_pii(text, k), F.lit(k)) for k in domain.PII]))
+
+
+def pii_count(text: Column) -> Column:
+    """How many kinds of personal data ``text`` holds."""
+    return sum((has_pii(text, k).cast("int") for k in domain.PII), F.lit(0))
+
+
+def scan_pii(text: Column) -> Column:
+    """Every match of every kind: (type, start, end), characters from 0; none for a null text.
+
+    The matches and what lies between them come from the same pattern, so their lengths give the places.
+    """
+    kind = "array<struct<type:string,start:int,end:int>>"
+
+    def spans(name: str, pattern: str) -> Column:
+        found, gaps = F.regexp_extract_all(text, F.lit(pattern), 0), F.split(text, pattern, -1)
+        step = lambda s, x: F.struct(
+            (s["at"] + F.length(x["gap"]) + F.length(x["hit"])).alias("at"),
+            F.array_append(s["out"], F.struct(F.lit(name).alias("type"), (s["at"] + F.length(x["gap"])).alias("start"), (s["at"] + F.length(x["gap"]) + F.length(x["hit"])).alias("end"))).alias("out"),
+        )
+        pairs = F.zip_with(found, F.slice(gaps, F.lit(1), F.size(found)), lambda h, g: F.struct(h.alias("hit"), g.alias("gap")))
+        return F.when(has_pii(text, name), F.aggregate(pairs, F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out")), step)["out"]).otherwise(F.array().cast(kind))
+
+    return F.coalesce(F.concat(*[spans(k, p) for k, p in domain.PII.items()]), F.array().cast(kind))
 
 
 def bucket100(text: Column) -> Column:
@@ -73,10 +113,21 @@ def rank_key(key: Column, seed: int) -> Column:
 
 
 def strict_json(text: Column) -> Column:
-    """The variant of a JSON text, null unless the whole text is one JSON value."""
-    whole = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    extra = F.try_variant_get(whole, "$[1]", "variant")
-    return F.when(whole.isNotNull() & extra.isNull(), F.try_parse_json(text))
+    """The variant of a JSON text, null unless the whole text is one JSON value.
+
+    The parser stops after one value, so the text must fit a list as its only item and an object
+    as its only field: no text can close both early.  Parse into a column of its own where
+    several fields are read.
+    """
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    fielded = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    extra = F.try_variant_get(listed, "$[1]", "variant")
+    return F.when(listed.isNotNull() & extra.isNull(), F.try_variant_get(fielded, "$.v", "variant"))
+
+
+def is_object(value: Column) -> Column:
+    """Whether a variant is a JSON object; false for null."""
+    return F.coalesce(F.schema_of_variant(value).startswith("OBJECT"), F.lit(False))
 
 
 def json_field(value: Column, name: str, kind: str = "string") -> Column:
@@ -161,5 +212,30 @@ def clean_response(text: Column) -> Column:
 
 
 def escalated_urgency(base: Column, message: Column) -> Column:
+    return urgency_in(base, F.lower(message))
+
+
+def urgency_in(base: Column, low: Column) -> Column:
+    """The same for a message in lower case already."""
     raised = F.when(base == "low", "medium").when(base == "medium", "high").otherwise(base)
-    return F.when(any_of(message, domain.CRITICAL_WORDS), "critical").when(any_of(message, domain.URGENT_WORDS), raised).otherwise(base)
+    return F.when(any_in(low, domain.CRITICAL_WORDS), "critical").when(any_in(low, domain.URGENT_WORDS), raised).otherwise(base)
+
+
+def parsed_response(raw: Column) -> Column:
+    """The six fields of an answer with their defaults: intent unknown, urgency medium, empty lists
+    and reasoning, and the raw text as its response."""
+    parsed = extract_json(raw)
+    listed = lambda n: F.coalesce(json_field(parsed, n, "array<string>"), F.array().cast("array<string>")).alias(n)
+    field = lambda n, default: F.coalesce(json_field(parsed, n), default).alias(n)
+    return F.struct(field("intent", F.lit("unknown")), field("urgency", F.lit("medium")), field("reasoning", F.lit("")), listed("workflow_steps"), listed("tools_required"), field("response", raw))
+
+
+def urgency_badge(urgency: Column) -> Column:
+    """An HTML mark of an urgency in its colour, grey for an unknown one."""
+    color = lookup(domain.URGENCY_COLORS, F.lower(urgency), "#6b7280")
+    return F.format_string('<span style="background:%s;color:white">%s</span>', color, F.upper(urgency))
+
+
+def user_prompt(message: Column, reply: Column) -> Column:
+    """The text given to an annotator: the message, and the reply if there is one."""
+    return F.concat_ws("\n", F.concat(F.lit("Customer message: "), message), F.concat(F.lit("Agent response: "), reply))

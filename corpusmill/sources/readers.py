@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import csv
 import json
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,13 +56,26 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str | None
     return normalize_columns(lines.select(F.from_json("value", schema).alias("r")).select("r.*"))
 
 
-def read_documents(spark: SparkSession, folder: str, schema: T.StructType | None = None) -> tuple[DataFrame, int]:
-    """One JSON document a file; (rows, number of broken files)."""
-    reader = spark.read.options(multiLine=True, pathGlobFilter="*.json", columnNameOfCorruptRecord="_corrupt_record")
-    df = (reader.schema(schema) if schema else reader).json(folder).withColumn("source_file", F.col("_metadata.file_name"))
-    if "_corrupt_record" not in df.columns:
-        return df, 0
-    return df.where("_corrupt_record IS NULL").drop("_corrupt_record"), df.where("_corrupt_record IS NOT NULL").select("source_file").distinct().count()
+def read_documents(spark: SparkSession, folder: str, schema: T.StructType | str | None = None, sample: int | None = None, seed: int = 42) -> tuple[DataFrame, int]:
+    """One JSON document a file; (rows with source_file, number of broken files).
+
+    Files are read whole and parsed one by one: a broken one is left out and counted.  ``sample``
+    takes that many files, in the order of the md5 of name and seed.  Without a schema it is that of
+    all documents together; fields that are null everywhere are text.  Without a whole document
+    there are no rows, and without a schema no columns but source_file.
+    """
+    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(folder).select("value", F.col("_metadata.file_name").alias("source_file"))
+    if sample is not None:
+        names = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(folder).select(F.col("_metadata.file_name").alias("source_file"))
+        files = files.join(names.orderBy(tx.rank_key(F.col("source_file"), seed), "source_file").limit(sample), "source_file", "left_semi")
+    parsed = files.withColumn("json__", tx.strict_json(F.col("value"))).withColumn("ok__", tx.is_object(F.col("json__")))
+    found = parsed.agg(F.count_if(~F.col("ok__")).alias("broken"), F.schema_of_variant_agg(F.when(F.col("ok__"), F.col("json__"))).alias("kind")).first()
+    good = parsed.where("ok__")
+    if schema is None:
+        if not found["kind"].startswith("OBJECT"):
+            return good.select("source_file"), found["broken"]
+        schema = found["kind"].replace("OBJECT<", "STRUCT<").replace("VOID", "STRING").replace("VARIANT", "STRING")
+    return good.select(F.from_json("value", schema).alias("r"), "source_file").select("r.*", "source_file"), found["broken"]
 
 
 def read_query(spark: SparkSession, query: str, url: str | None = None, **options: str) -> DataFrame:
@@ -76,13 +90,22 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return normalize_columns(spark.read.parquet(path))
 
 
-def read_folder(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """The .csv, .json and .jsonl files of a list, in order, by column name, with source_file;
-    files without a customer message are left out."""
+def files_of(spark: SparkSession, folder: str) -> list[str]:
+    """The .csv, .json and .jsonl files of a folder by name (not their content)."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.{csv,json,jsonl}").load(folder).select("path").collect()
+    return sorted(r["path"] for r in found)
+
+
+def read_folder(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """The .csv, .json and .jsonl files of a folder or list, in order, by column name, with
+    source_file; files without a customer message, or without a row that can be read, are left out."""
     frames = []
-    for p in sorted(paths):
+    for p in files_of(spark, paths) if isinstance(paths, str) else sorted(paths):
         if p.endswith((".csv", ".json", ".jsonl")):
-            df = read_csv(spark, p) if p.endswith(".csv") else read_jsonl(spark, p)
+            try:
+                df = read_csv(spark, p) if p.endswith(".csv") else read_jsonl(spark, p)
+            except ValueError:
+                continue
             if "customer_message" in df.columns:
                 frames.append(df.withColumn("source_file", F.lit(p.rpartition("/")[2])))
     if not frames:
@@ -90,12 +113,42 @@ def read_folder(spark: SparkSession, paths: list[str]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+GOLD_SCHEMA = "ticket_id string, customer_message string, gold_intent string, gold_urgency string, gold_workflow_steps array<string>, gold_tools_required array<string>, gold_intent_secondary string"
+#: Rows that show how gold data are written down.
+GOLD_TEMPLATE = (
+    ("G-1", "Where is my parcel? It should have come on Monday.", "shipping_issue", "medium", ["check_shipment_status", "update_customer"], ["shipment_tracking_api"], None),
+    ("G-2", "The invoice shows the same item twice.", "billing_inquiry", "medium", ["verify_identity", "check_billing_records"], ["invoice_verification_api"], "refund_request"),
+    ("G-3", "Somebody else is using my card!", "fraud_report", "critical", ["verify_identity", "check_payment_status"], ["payment_gateway_api"], None),
+    ("G-4", "Please end my contract this month.", "cancellation", "low", ["verify_order", "process_cancellation"], ["customer_profile_api"], None),
+    ("G-5", "Does the blue one fit a round table?", "product_inquiry", "low", ["identify_product", "provide_information"], [], None),
+)
+
+
+def read_gold(spark: SparkSession, path: str) -> DataFrame:
+    """Gold rows of a JSONL file, broken lines skipped; where there is no file, GOLD_TEMPLATE is written there and returned."""
+    try:
+        lines = spark.read.text(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        template = spark.createDataFrame(list(GOLD_TEMPLATE), GOLD_SCHEMA)
+        write_jsonl(template, path)
+        return template
+    good = lines.where(tx.is_object(tx.strict_json(F.col("value"))))
+    return good.select(F.from_json("value", GOLD_SCHEMA).alias("r")).select("r.*")
+
+
+def read_splits(spark: SparkSession, train: str, evaluation: str | None = None) -> dict[str, DataFrame]:
+    """The JSONL files for training and, if named, evaluation; a broken line is an error."""
+    return {name: read_jsonl(spark, path, strict=True) for name, path in (("train", train), ("eval", evaluation)) if path}
+
+
 class Registry:
     """Names of sources and how each is read."""
 
     def __init__(self):
         self._sources: dict[str, tuple[str, dict]] = {}
-        self.readers: dict[str, Callable[..., DataFrame]] = {"csv": read_csv, "jsonl": read_jsonl, "parquet": read_parquet, "query": read_query}
+        self.readers: dict[str, Callable[..., DataFrame]] = {"csv": read_csv, "jsonl": read_jsonl, "parquet": read_parquet, "query": read_query, "documents": lambda spark, **kw: read_documents(spark, **kw)[0], "folder": read_folder}
 
     def register(self, name: str, kind: str, **options) -> None:
         if kind not in self.readers:
@@ -119,6 +172,17 @@ class Registry:
         kind, options = self._sources[name]
         return self.readers[kind](spark, **options)
 
+    def load_source(self, spark: SparkSession, name: str, config: Mapping) -> DataFrame:
+        """A source of a mix: ``loader`` says how it is read (parquet, if missing); weight and converter
+        are the mix's own, and ``id`` is the path."""
+        options = {k: v for k, v in config.items() if k not in ("loader", "weight", "converter")}
+        kind = config.get("loader", "parquet")
+        if kind not in self.readers:
+            raise ValueError(f"unknown loader {kind!r} of {name!r}")
+        if "id" in options:
+            options["path"] = options.pop("id")
+        return self.readers[kind](spark, **options)
+
     def names(self) -> list[str]:
         return sorted(self._sources)
 
@@ -137,6 +201,13 @@ def write_jsonl(df: DataFrame, path: str) -> None:
     df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(path)
 
 
+def write_train(df: DataFrame, path: str, *, by: Sequence[str] = (), rows_a_file: int = 0, mode: str = "overwrite") -> None:
+    """A training set as Parquet: in folders ``by`` columns (rows of a folder come together first, spread over tasks by
+    a hash), with ``rows_a_file`` at most if over 0; ``mode`` is overwrite, append, ignore (as it is, if it is there) or error."""
+    rows = df.repartition(*by, F.pmod(F.xxhash64(*df.columns), F.lit(16))) if by else df
+    rows.write.mode(mode).option("maxRecordsPerFile", rows_a_file).partitionBy(*by).parquet(path)
+
+
 def write_report(df: DataFrame, path: str) -> None:
     """A small report of (stage, metric, value) rows as a JSON tree."""
     tree: dict[str, dict] = {}
@@ -151,12 +222,55 @@ def markdown_table(df: DataFrame) -> str:
     return "\n".join("| " + " | ".join(r) + " |" for r in rows)
 
 
+def markdown_report(total: int, histograms: Mapping[str, DataFrame], counts: Mapping[str, Mapping[str, int]], advice: Sequence[str] = ()) -> str:
+    """A report on a corpus: every histogram (value, n) and every group of counts as a table with
+    percentages of ``total``, then what to do.  All of these are small."""
+    share = lambda n: f"{100.0 * n / total:.1f}%" if total else "-"
+    lines = ["# Report", "", f"Rows: {total:,}", ""]
+    tables = {t: [(r["value"], r["n"]) for r in df.orderBy(F.desc("n"), "value").collect()] for t, df in histograms.items()} | {t: list(c.items()) for t, c in counts.items()}
+    for title, rows in tables.items():
+        lines += [f"## {title}", "", "| Value | Rows | % |", "|:--|--:|--:|", *[f"| {v} | {n:,} | {share(n)} |" for v, n in rows], ""]
+    if advice:
+        lines += ["## Recommendations", "", *[f"{i}. {a}" for i, a in enumerate(advice, 1)], ""]
+    return "\n".join(lines)
+
+
+def advice(total: int, automated: int, with_response: int, multi_turn: int, languages: Mapping[str, int]) -> list[str]:
+    """What a profile recommends: drop automatic tickets, use answered and long ones, look at the main language."""
+    share = lambda n: f"{100.0 * n / total:.1f}%" if total else "-"
+    out = [
+        f"Filter automated tickets: {automated:,} ({share(automated)}) look automatic.",
+        f"Use resolved tickets with a reply: {with_response:,} have a message and an answer.",
+        f"Extract conversations: {multi_turn:,} have two messages or more.",
+    ]
+    if languages:
+        main = min(languages, key=lambda k: (-languages[k], k))
+        out.append(f"Main language: {main} ({share(languages[main])}); train for it alone or for several.")
+    return out
+
+
 def comparison_grid(df: DataFrame, systems: list[str]) -> DataFrame:
     """Metrics by system, from (metric, system, value), with the difference of the last to the first."""
     grid = df.groupBy("metric").pivot("system", systems).agg(F.first("value"))
     return grid.withColumn("difference", F.col(systems[-1]) - F.col(systems[0]))
 
 
+def append_checkpoint(df: DataFrame, path: str) -> None:
+    """Adds finished rows to a checkpoint table, one Parquet commit a batch; nothing is rewritten."""
+    df.write.mode("append").parquet(path)
+
+
+def resume(df: DataFrame, path: str, key: str) -> DataFrame:
+    """Rows that the checkpoint table at ``path`` doesn't hold yet; all of them where there is none."""
+    try:
+        done = df.sparkSession.read.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return df
+    return unfinished(df, done, key)
+
+
 def unfinished(df: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Rows whose key a checkpoint table doesn't hold yet."""
     return df.join(done.select(key).distinct(), key, "left_anti")
