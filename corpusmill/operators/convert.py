@@ -159,12 +159,12 @@ def from_marked_text(df: DataFrame, column: str = "chat") -> DataFrame:
 
 
 def from_function_calls(df: DataFrame) -> DataFrame:
-    """query, tools and answers (JSON text; broken JSON, an empty value or null is an empty list)."""
-    parsed = df.withColumns({f"{c}__": tx.strict_json(F.col(c).cast("string")) for c in ("tools", "answers")})
-    empty = lambda v: F.coalesce(F.to_json(v).isin("[]", "{}", "null", '""', "0", "false"), F.lit(True))
-    body = F.when(empty(F.col("answers__")), F.lit(domain.NO_TOOL_CALL)).otherwise(F.to_json("answers__"))
-    system = F.concat(F.lit(domain.SYSTEM_PROMPT), F.when(empty(F.col("tools__")), "").otherwise(F.concat(F.lit(domain.TOOL_SCHEMAS_HEAD), F.to_json("tools__"))))
-    return parsed.withColumn("messages", F.array(message("system", system), message("user", _field(df, "query")), message("assistant", body))).drop("tools__", "answers__")
+    """query, tools and answers (JSON text, kept as it is; broken JSON, an empty value or null is an empty list)."""
+    text = lambda c: tx.strip(_field(df, c))
+    known = df.withColumns({f"{c}__": F.when(tx.strict_json(text(c)).isNotNull() & ~text(c).isin("[]", "{}", "null", '""', "0", "false"), text(c)) for c in ("tools", "answers")})
+    body = F.coalesce("answers__", F.lit(domain.NO_TOOL_CALL))
+    system = F.concat(F.lit(domain.SYSTEM_PROMPT), F.coalesce(F.concat(F.lit(domain.TOOL_SCHEMAS_HEAD), "tools__"), F.lit("")))
+    return known.withColumn("messages", F.array(message("system", system), message("user", _field(df, "query")), message("assistant", body))).drop("tools__", "answers__")
 
 
 def from_annotated(df: DataFrame) -> DataFrame:

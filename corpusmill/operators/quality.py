@@ -234,7 +234,7 @@ def _rules(df: DataFrame, spec: Mapping[str, Mapping]) -> dict[str, Column]:
         if "roles" in rules:
             out[f"{column}: unknown role"] = unless_null(F.forall(column, lambda m: F.coalesce(m["role"].isin(*domain.ROLES), F.lit(False))))
             for role in rules["roles"]:
-                out[f"{column}: no {role}"] = unless_null(F.exists(column, lambda m, role=role: m["role"] == role))
+                out[f"{column}: no {role}"] = unless_null(F.array_contains(F.transform(column, lambda m: m["role"]), role))
         if "differs_from" in rules and rules["differs_from"] in df.columns:
             out[f"{column}: same as {rules['differs_from']}"] = unless_null(~F.col(column).eqNullSafe(F.col(rules["differs_from"])))
     return out

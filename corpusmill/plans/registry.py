@@ -22,4 +22,4 @@ def query(sql: str | None = None):
     return add
 
 
-from corpusmill.plans import cleaning, evaluation, profiling, records, scoring  # noqa: E402, F401
+from corpusmill.plans import answers, cleaning, evaluation, preparation, profiling, records, scoring  # noqa: E402, F401
