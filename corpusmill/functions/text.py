@@ -40,8 +40,10 @@ def count_in(low: Column, words: Iterable[str]) -> Column:
 
 
 def strip(text: Column) -> Column:
-    """Without white space at both ends (Unicode white space, not just blanks)."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    """Without white space at both ends (Unicode white space, not just blanks); only texts that
+    begin or end with some are searched."""
+    edges = F.concat(F.substring(text, 1, 1), F.substring(text, -1, 1))
+    return F.when(edges.rlike(r"(?U)\s"), F.regexp_replace(text, r"(?U)^\s+|\s+$", "")).otherwise(text)
 
 
 def word_count(text: Column) -> Column:

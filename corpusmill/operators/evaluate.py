@@ -298,8 +298,11 @@ def likely_class(text: Column, signals: Mapping[str, tuple[tuple[str, ...], tupl
 
     Ties go to the class listed first.
     """
-    scores = [F.struct((tx.count_of(text, [w.lower() for w in yes]) - 2 * tx.count_of(text, [w.lower() for w in no])).alias("s"), F.lit(-i).alias("i"), F.lit(name).alias("c")) for i, (name, (yes, no)) in enumerate(signals.items())]
-    return F.array_max(F.filter(F.array(*scores), lambda x: x["s"] > 0))["c"]
+    low, scores = F.lower(text), []
+    for i, (name, (yes, no)) in enumerate(signals.items()):
+        s = tx.count_in(low, [w.lower() for w in yes]) - 2 * tx.count_in(low, [w.lower() for w in no])
+        scores.append(F.when(s > 0, F.struct(s.alias("s"), F.lit(-i).alias("i"), F.lit(name).alias("c"))))
+    return F.array_max(F.array(*scores))["c"]
 
 
 def audit_labels(df: DataFrame, pred: str, gold: str, hint: str) -> DataFrame:

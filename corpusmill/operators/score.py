@@ -47,12 +47,14 @@ def said_in(text: Column, parsed: Column) -> Column:
     return F.coalesce(F.nullif(tx.json_field(parsed, "response"), F.lit("")), tx.strip(text))
 
 
-def quality_reward(text: Column, said: Column | None = None, low: Column | None = None) -> Column:
+def quality_reward(text: Column, said: Column | None = None, low: Column | None = None, actions: Column | None = None, n: Column | None = None) -> Column:
     """Concreteness, length, tone and relevance of the answer's response, or else of the whole text.
-    ``said`` and ``low``: that response, and its lower case, where they are columns already."""
+    ``said``, ``low``, ``actions``, ``n``: that response, its lower case, its number of action words
+    and its length, where they are columns already."""
     said = said_in(text, tx.strict_json(text)) if said is None else said
     low = F.lower(said) if low is None else low
-    actions, n = tx.count_in(low, domain.ACTION_WORDS), F.length(said)
+    actions = tx.count_in(low, domain.ACTION_WORDS) if actions is None else actions
+    n = F.length(said) if n is None else n
     concrete = F.when(actions >= 3, 0.25).when(actions >= 1, 0.15).otherwise(0.05)
     length = F.when(n < 20, 0.0).when(n < 50, 0.10).when(n > 2000, 0.05).when(n > 1000, 0.15).otherwise(0.25)
     # a look at one character first spares the search for a word's edge
@@ -142,8 +144,9 @@ def rewards(df: DataFrame, column: str, names: Sequence[str] = tuple(WEIGHTS), w
         out = out.withColumn("low__", F.lower(text))
     if "quality" in names:
         out = out.withColumn("said__", said_in(text, parsed)).withColumn("said_low__", F.lower(said))
-    made = {"tool_accuracy": lambda: tool_reward(text, parsed), "policy": lambda: policy_reward(text, low, parsed), "quality": lambda: quality_reward(text, said, said_low), "format": lambda: format_reward(text, parsed)}
-    out = out.withColumns({n: made[n]() for n in names}).drop("parsed__", "low__", "said__", "said_low__")
+        out = out.withColumns({"actions__": tx.count_in(said_low, domain.ACTION_WORDS), "said_n__": F.length(said)})
+    made = {"tool_accuracy": lambda: tool_reward(text, parsed), "policy": lambda: policy_reward(text, low, parsed), "quality": lambda: quality_reward(text, said, said_low, F.col("actions__"), F.col("said_n__")), "format": lambda: format_reward(text, parsed)}
+    out = out.withColumns({n: made[n]() for n in names}).drop("parsed__", "low__", "said__", "said_low__", "actions__", "said_n__")
     return out.withColumn("composite", sum((F.col(n) * weights[n] for n in names if weights.get(n)), F.lit(0.0)))
 
 

@@ -28,12 +28,12 @@ QUALITY = f"""round(CASE WHEN s = '' THEN 0.0 ELSE CASE WHEN {sql_count('s', dom
 
 @query(f"SELECT doc_id, {POLICY} AS policy FROM documents")
 def policy_reward(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.round(score.policy_reward(F.col("text")), 6).alias("policy"))
+    return score.rewards(table(spark, sf_dir, "documents"), "text", ("policy",)).select("doc_id", F.round("policy", 6).alias("policy"))
 
 
 @query(f"SELECT doc_id, {QUALITY} AS quality FROM (SELECT doc_id, {STRIP} AS s FROM documents)")
 def quality_reward(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.round(score.quality_reward(F.col("text")), 6).alias("quality"))
+    return score.rewards(table(spark, sf_dir, "documents"), "text", ("quality",)).select("doc_id", F.round("quality", 6).alias("quality"))
 
 
 ANSWER = "'{\"intent\": \"' || event_type || '\", \"urgency\": \"low\", \"workflow_steps\": [\"a\"], \"tools_required\": [' || CASE WHEN value > 50 THEN '\"vision_api\", \"nothing\"' ELSE '' END || '], \"reasoning\": \"r\", \"response\": \"You will have it.\"' || CASE event_id % 3 WHEN 0 THEN '}' WHEN 1 THEN ', \"more\": 1}' ELSE '' END"
@@ -42,7 +42,7 @@ ANSWER = "'{\"intent\": \"' || event_type || '\", \"urgency\": \"low\", \"workfl
 @query("SELECT event_id, CASE WHEN event_id % 3 = 2 THEN 0.0 ELSE 1.0 END::DOUBLE AS format, CASE WHEN event_id % 3 = 2 THEN 0.0 WHEN value > 50 THEN 0.25 ELSE 0.8 END::DOUBLE AS tool_accuracy FROM events")
 def structured_rewards(spark, sf_dir):
     rows = table(spark, sf_dir, "events").withColumn("answer", F.expr(ANSWER))
-    return score.rewards(rows, "answer").select("event_id", "format", "tool_accuracy")
+    return score.rewards(rows, "answer", ("format", "tool_accuracy")).select("event_id", "format", "tool_accuracy")
 
 
 @query("SELECT event_id, CASE WHEN event_id % 3 = 2 THEN 0.3 WHEN value > 50 THEN 0.9 ELSE 0.8 END::DOUBLE AS confidence, CASE WHEN event_id % 3 = 2 THEN 'unknown' ELSE event_type END AS intent, event_id % 3 = 2 AS escalate FROM events")
