@@ -18,7 +18,7 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spans.dedup_spans(table(spark, sf_dir, "documents"))
+    return spans.dedup_runs(table(spark, sf_dir, "documents"))
 
 
 def op2_permutation_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
