@@ -83,8 +83,11 @@ def fit(
     It reads a bounded sample: of either label the ``per_class`` rows with the smallest key
     hash, and of those the texts of up to ``max_text_bytes``.  Two thirds build the
     dictionaries, one third and the class shares of all labels in the fold calibrate the curve.
-    Rows with a null label, key or text and keys with both labels teach nothing.  Without rows of either label
-    the score is the share of label 1 (a half if there are none).
+    Rows with a null label, key or text and keys with both labels teach nothing.  A key that
+    stands for several texts teaches by the one with the smallest md5, so that the model is the same in
+    every run; repeated rows and labels count once.  Without rows of either label, as with
+    empty tables, the score is the share of label 1 (a half if there are none).  Ties of the key's
+    hash go by key; other columns are ignored.
     """
     usable = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y")).where(F.expr(fold.format(key="k")) & F.col("k").isNotNull() & F.col("y").isin(0, 1))
     usable = usable.groupBy("k").agg(F.min("y").alias("y"), F.max("y").alias("z")).where("y = z").select("k", "y")
@@ -94,7 +97,8 @@ def fit(
         part = usable.where(F.col("y") == y).orderBy(F.xxhash64("k"), "k").limit(per_class)
         picked = part if picked is None else picked.union(part)
     body = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).where(F.col("t").isNotNull() & (F.octet_length("t") <= max_text_bytes))
-    rows = body.join(F.broadcast(picked), "k").select("k", "y", F.col("t").cast("binary").alias("t")).dropDuplicates(["k"]).collect()
+    met = body.join(F.broadcast(picked), "k").select("k", "y", F.col("t").cast("binary").alias("t"))
+    rows = met.groupBy("k", "y").agg(F.min_by("t", F.struct(F.md5("t"), "t")).alias("t")).collect()
     rows = sorted(((r["k"], r["y"], bytes(r["t"])) for r in rows), key=lambda r: (r[1], r[0]))
     prior = {y: share.get(y, 0) for y in (0, 1)}
     by = {y: [r[2] for r in rows if r[1] == y] for y in (0, 1)}
@@ -113,7 +117,12 @@ def fit(
 
 
 def score_quality(docs: DataFrame, model: Model, *, key: str = "doc_id", text: str = "text", threshold: float = 0.5) -> DataFrame:
-    """One row per row of ``docs``: key, score, predicted.  Null texts score as empty ones."""
+    """One row per row of ``docs``: key, score, predicted.
+
+    Null texts score as empty ones, texts of any length whole, block by block; equal texts score the
+    same.  A null key stays null, repeated rows give repeated results, an empty table none; other
+    columns are ignored.
+    """
     kind = docs.schema[key].dataType.simpleString()
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -126,7 +135,11 @@ def score_quality(docs: DataFrame, model: Model, *, key: str = "doc_id", text: s
 
 
 def keep_good(docs: DataFrame, model: Model, *, text: str = "text", threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that score ``threshold`` or more, with all their columns."""
+    """The rows of ``docs`` that score ``threshold`` or more, with all their columns.
+
+    Only the text decides, as in ``score_quality``: null texts go by the score of an empty one,
+    repeated rows stay or go together, null keys play no part, an empty table stays empty.
+    """
     names = docs.columns
     at = names.index(text)
     sent = docs.sparkSession.sparkContext.broadcast(model)

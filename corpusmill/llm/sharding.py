@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from .shared import materialize
 
+#: Rows of one key that one task numbers without being split.
+CROWD = 1_000_000
+
 
 def rendezvous(key: Column, shards: Mapping[int, float]) -> Column:
     """The shard of ``key`` among ``{id: weight}``; ties go to the larger id."""
@@ -44,18 +47,25 @@ def assign_shards(docs: DataFrame, shards: Mapping[int, float], *, grown: Mappin
     return found if grown is None else found.withColumn("grown_shard", rendezvous(record_key(docs[key]), grown))
 
 
-def shard_manifest(docs: DataFrame, n_shards: int = 40, *, key: str = "doc_id", text: str = "text", buckets: int = 256) -> DataFrame:
+def shard_manifest(docs: DataFrame, n_shards: int = 40, *, key: str = "doc_id", text: str = "text", buckets: int = 256, parts: int = 16) -> DataFrame:
     """One row per row of ``docs``: key, size, text_crc32, law, shard, slot, grown_shard.
 
     Shards 0 to n_shards-1 weigh the same.  size: UTF-8 bytes of the text plus 16; a null text
-    has none, its crc32 is that of nothing (0).  Slots run without gaps from 0 in each shard,
-    by bucket of the key's hash, key, crc32 and size.  A first pass over the key column counts
-    each (shard, bucket) - at most n_shards * buckets rows, which bounds what is broadcast - so
-    that the numbering needs no task that sees a whole shard.
+    has none, its crc32 is that of nothing (0).  Texts of any length are read whole; repeated rows
+    get slots of their own beside each other, in any order as they are equal; null keys are one key; an empty
+    table gives no rows; other columns, also of these names, are ignored.  Slots run without gaps from 0 in each shard,
+    by bucket of the key's hash, part by text, key, crc32 and size.  A first pass over the key column counts
+    each (shard, bucket, part) - at most n_shards * buckets * parts rows, which bounds what is broadcast - so
+    that the numbering needs no task that sees a whole shard.  A key's rows lie in ``parts`` parts by
+    their text's hash, so that one key with very many rows (null, say) is numbered by several tasks.
     """
     equal = dict.fromkeys(range(n_shards), 1.0)
     held = record_key(docs[key])
-    place = [rendezvous(held, equal).alias("shard"), F.pmod(F.xxhash64(held), F.lit(buckets)).cast("int").alias("bucket")]
+    repeats = docs.groupBy(held.alias("k")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD).limit(1).count() > 0
+    bucket = F.pmod(F.xxhash64(held), F.lit(buckets)) * F.lit(parts)
+    if repeats:  # rows of one key spread over parts by text; equal rows by size too are one part
+        bucket = bucket + F.pmod(F.xxhash64(F.coalesce(docs[text].cast("string"), F.lit(""))), F.lit(parts))
+    place = [rendezvous(held, equal).alias("shard"), bucket.cast("int").alias("bucket")]
     counted = materialize(docs.select(*place).groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n")), "slots").coalesce(1)
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     base = counted.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))

@@ -24,7 +24,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import materialize, shared_path, text_parts
+from .shared import broadcast_if_small, materialize, shared_path, text_parts
 
 #: Fixed values of the ZIP format: signatures.
 LOCAL, CENTRAL, END, END64, LOCATOR = b"PK\3\4", b"PK\1\2", b"PK\5\6", b"PK\6\6", b"PK\6\7"
@@ -111,7 +111,11 @@ def record_id(page: int | None) -> str:
 
 
 def page_of(urn: str) -> int | None:
-    n = uuid.UUID(urn.strip("<>").rpartition(":")[2]).int
+    """The page whose id a record's id holds; null for any other id."""
+    try:
+        n = uuid.UUID(urn.strip("<>").rpartition(":")[2]).int
+    except ValueError:
+        return None
     low = n & (1 << 64) - 1
     return (low - (1 << 64) if low >> 63 else low) if n >> 64 == PAGE else None
 
@@ -131,13 +135,19 @@ def warc_record(page: int | None, url: str | None, payload: bytes, refers_to: in
 
 
 def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
-    """(headers with lower-case names, block) of one WARC record."""
+    """(headers with lower-case names, block) of one WARC record; without a Content-Length the block
+    is all that is there but the empty lines at its end."""
     head, _, rest = data.partition(b"\r\n\r\n")
-    lines = head.decode().split("\r\n")
+    lines = head.decode("utf-8", "replace").split("\r\n")
     if not lines[0].startswith("WARC/"):
         raise ValueError("not a WARC record")
     headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-    return headers, rest[: int(headers["content-length"])]
+    length = headers.get("content-length", "")
+    if not length.isdigit():
+        return headers, rest[:-4] if rest.endswith(b"\r\n\r\n") else rest
+    if int(length) > len(rest):
+        raise ValueError(f"{headers.get('warc-record-id', 'a record')}: its block is shorter than its Content-Length")
+    return headers, rest[: int(length)]
 
 
 def build_package(records: list[tuple[bytes, dict]]) -> bytes:
@@ -157,14 +167,34 @@ def build_package(records: list[tuple[bytes, dict]]) -> bytes:
     return out.getvalue()
 
 
+#: Bytes that one read takes at most where several records lie side by side, and bytes between them that it may take along.
+READ, GAP = 4 << 20, 4096
+
+
+def joined(places: list[tuple[int, int]], read: int = READ, gap: int = GAP):
+    """(offset, length, the places inside) of reads that cover every (offset, length) once, in order."""
+    group: list[tuple[int, int]] = []
+    end = 0
+    for at, n in sorted(set(places)):
+        if group and (at > end + gap or at + n - group[0][0] > read):
+            yield group[0][0], end - group[0][0], group
+            group = []
+        end = max(end, at + n) if group else at + n
+        group.append((at, n))
+    if group:
+        yield group[0][0], end - group[0][0], group
+
+
 def read_package(f):
-    """(headers, block) of every record that the package's indexes list, each by its range."""
+    """(headers, block) of every record that the package's indexes list, by ranges; neighbours are
+    read together, so that a store is asked once for many small records."""
     members = zip_members(f)
     archives = {n.rpartition("/")[2]: member_range(f, m) for n, m in members.items() if n.startswith("archive/")}
     for name, member in members.items():
         if name.startswith("indexes/") and re.search(r"\.cdxj?(\.gz)?$", name):
             text = read_at(f, *member_range(f, member))
             text = gzip.decompress(text) if name.endswith(".gz") else text
+            places = []
             for line in text.decode().splitlines():
                 if "{" not in line:
                     continue
@@ -173,7 +203,11 @@ def read_package(f):
                 at, n = int(fields["offset"]), int(fields["length"])
                 if at + n > size:
                     raise ValueError("the index points behind its archive")
-                yield parse_record(zlib.decompress(read_at(f, base + at, n), 31))
+                places.append((base + at, n))
+            for start, length, inside in joined(places):
+                data = read_at(f, start, length)
+                for at, n in inside:
+                    yield parse_record(zlib.decompress(data[at - start : at - start + n], 31))
 
 
 # ---------------------------------------------------------------- operators
@@ -194,7 +228,10 @@ def write_packages(pages: DataFrame, *, key: str = "page_id", url: str = "url",
     rows = rows.withColumn("d", F.when((F.octet_length("b") >= min_bytes) & F.col("k").isNotNull(), F.sha1(F.col("b").cast("binary"))))
     held = rows.where("d IS NOT NULL").groupBy("d").agg(F.max("k").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("d").alias("e"), "first")
     held = materialize(held, "repeated_payloads")
-    rows = rows.join(held, F.col("d") == F.col("e"), "left").select("k", "u", "b", F.when(F.col("first") != F.col("k"), F.col("first")).alias("r"))
+    # rows that can repeat nothing pass by the join: their nulls would all meet in one task
+    alone = rows.where("d IS NULL").select("k", "u", "b", F.lit(None).cast("long").alias("r"))
+    rows = rows.where("d IS NOT NULL").join(broadcast_if_small(held), F.col("d") == F.col("e"), "left").select("k", "u", "b", F.when(F.col("first") != F.col("k"), F.col("first")).alias("r"))
+    rows = rows.unionAll(alone)
 
     def write(batches):
         system, base = fs.FileSystem.from_uri(folder)
@@ -224,28 +261,33 @@ def write_packages(pages: DataFrame, *, key: str = "page_id", url: str = "url",
 
 def read_packages(packages: DataFrame, *, path: str = "path", key: str = "page_id") -> DataFrame:
     """One row for each record of the packages: key, url, payload_bytes, payload_digest (hex
-    SHA-1), record_type, refers_to, payload (null for revisits)."""
+    SHA-1), record_type, refers_to, payload (null for revisits).
+
+    Records other than responses and revisits are left out, and so is what no index lists; a record that an index
+    lists twice comes once.  A record without a page's id has a null key, one without a URL a null
+    url; a payload without a digest, or with one that is no SHA-1, gets its own SHA-1 (null for a revisit).
+    Payloads of any length are read whole.  Repeated packages give repeated rows, an empty table of packages none; its
+    other columns are ignored.  A payload that differs from its digest, a record cut short and a broken package raise
+    an error that names the package.
+    """
 
     def read(batches):
         for batch in batches:
             for uri in batch.column(0).to_pylist():
                 rows, size = [], 0
-                with open_uri(uri) as f:
-                    for headers, block in read_package(f):
-                        http, _, payload = block.partition(b"\r\n\r\n")
-                        kind = headers["warc-type"]
-                        if kind not in ("response", "revisit"):
-                            continue
-                        n = int(re.search(rb"(?i)\r\ncontent-length: *(\d+)", http)[1]) if kind == "revisit" else len(payload)
-                        refers = headers.get("warc-refers-to")
-                        digest = base64.b32decode(headers["warc-payload-digest"].partition(":")[2]).hex()
-                        if kind == "response" and hashlib.sha1(payload).hexdigest() != digest:
-                            raise ValueError(f"{headers['warc-record-id']}: the payload differs from its digest")
-                        rows.append((page_of(headers["warc-record-id"]), headers.get("warc-target-uri"), n, digest, kind, refers and page_of(refers), payload if kind == "response" else None))
-                        size += len(payload)
-                        if size > 4 << 20:
-                            yield _rows(rows, key)
-                            rows, size = [], 0
+                try:
+                    with open_uri(uri) as f:
+                        for headers, block in read_package(f):
+                            row = _row(headers, block)
+                            if row is None:
+                                continue
+                            rows.append(row)
+                            size += len(row[-1] or b"")
+                            if size > 4 << 20:
+                                yield _rows(rows, key)
+                                rows, size = [], 0
+                except (ValueError, KeyError, zlib.error, struct.error) as e:
+                    raise ValueError(f"{uri}: {e}") from e
                 if rows:
                     yield _rows(rows, key)
 
@@ -253,6 +295,32 @@ def read_packages(packages: DataFrame, *, path: str = "path", key: str = "page_i
     return packages.select(path).mapInArrow(read, schema)
 
 
+def _row(headers: dict[str, str], block: bytes) -> tuple | None:
+    kind = headers.get("warc-type")
+    if kind not in ("response", "revisit"):
+        return None
+    http, _, payload = block.partition(b"\r\n\r\n")
+    name, refers = headers.get("warc-record-id", ""), headers.get("warc-refers-to")
+    algorithm, _, value = headers.get("warc-payload-digest", "").partition(":")
+    digest = _sha1(value) if algorithm.lower() == "sha1" else None
+    if kind == "response":
+        own = hashlib.sha1(payload).hexdigest()
+        if digest is not None and digest != own:
+            raise ValueError(f"{name}: the payload differs from its digest")
+        return page_of(name), headers.get("warc-target-uri"), len(payload), own, kind, None, payload
+    length = re.search(rb"(?i)\r\ncontent-length: *(\d+)", http)
+    return page_of(name), headers.get("warc-target-uri"), int(length[1]) if length else None, digest, kind, refers and page_of(refers), None
+
+
+def _sha1(value: str) -> str | None:
+    """The hex form of a SHA-1 in base 32 or hex; null for anything else."""
+    try:
+        raw = base64.b32decode(value.upper()) if len(value) == 32 else bytes.fromhex(value)
+    except ValueError:
+        return None
+    return raw.hex() if len(raw) == 20 else None
+
+
 def _rows(rows: list[tuple], key: str) -> pa.RecordBatch:
     kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=[key, "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"])
