@@ -82,3 +82,55 @@ def test_any_cut_adds_up(tokenizer):
     for size in (1, 7, 100):
         assert "".join(token_counts.pieces(text, size)) == text
         assert token_counts.count_texts(tokenizer, [text], 50, size)[0] == len(tokenizer.encode(text))
+
+
+def test_pieces_equal_the_library(tokenizer):
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+
+    r = random.Random(5)
+    signs = ["a", "b", " ", "  ", "\n", "\t", "\r\n", " ", "　", " ", "\x85", "\x1c", "'s", "'", "don't", "1", "½", "中文", "。", "，", ".", "<|endoftext|>", "é", "́", "🎉", "_", "​", "\x00", "ОК"]
+    texts = ["".join(r.choices(signs, k=r.randint(0, 40))) for _ in range(3000)] + [None, "", "中文，" * 5000]
+    known = {}
+    want = [len(e) for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    for part in (slice(0, 1500), slice(1500, None)):
+        got = token_counts.count_words(tokenizer, pa.array(texts[part], pa.string()), known, 500)
+        assert got.tolist() == want[part]
+    assert known and token_counts.by_words(tokenizer)
+    assert np.array_equal(token_counts.count_texts(tokenizer, [t or "" for t in texts], 300, 3), want)
+    assert len(list(token_counts.pieces("中文，" * 5000, 100))) > 100
+
+
+def test_other_tokenizers_count_whole_texts(spark):
+    from tokenizers import Tokenizer
+
+    from corpusmill.llm.queries import tokenizer_path
+
+    path = tokenizer_path("word_bpe_49k.json")
+    other = Tokenizer.from_file(path)
+    rows = [(r["doc_id"], r["text"]) for r in sample(spark).select("doc_id", "text").collect()]
+    got = {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(sample(spark), path).collect()}
+    assert not token_counts.by_words(other) and got == {i: len(other.encode(t, add_special_tokens=False)) for i, t in rows}
+
+
+def test_neighbouring_ranges_are_read_together():
+    places = [(0, 10), (10, 5), (15, 5), (5000, 10), (20_000, 1), (20_000, 1)]
+    got = list(warc.joined(places, read=100, gap=10))
+    assert [(at, n) for at, n, _ in got] == [(0, 20), (5000, 10), (20_000, 1)] and [p for *_, inside in got for p in inside] == sorted(set(places))
+    assert [(at, n) for at, n, _ in warc.joined([(0, 60), (60, 60)], read=100)] == [(0, 60), (60, 60)]
+
+
+def test_foreign_records():
+    head = b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:x>\r\n"
+    headers, block = warc.parse_record(head + b"\r\nHTTP/1.1 200 OK\r\n\r\nbody\r\n\r\n")
+    assert warc._row(headers, block) == (None, None, 4, hashlib.sha1(b"body").hexdigest(), "response", None, b"body")
+    headers, block = warc.parse_record(head + b"WARC-Payload-Digest: md5:abc\r\nContent-Length: 2\r\n\r\nab\r\n\r\n")
+    assert block == b"ab" and warc._row(headers, block)[2] == 0
+    headers, block = warc.parse_record(head + b"WARC-Payload-Digest: sha1:" + hashlib.sha1(b"no").hexdigest().encode() + b"\r\n\r\nHTTP/1.1 200 OK\r\n\r\nbody\r\n\r\n")
+    with pytest.raises(ValueError, match="urn:uuid:x"):
+        warc._row(headers, block)
+    with pytest.raises(ValueError):
+        warc.parse_record(head + b"Content-Length: 9\r\n\r\nab")
+    assert warc._row({"warc-type": "warcinfo"}, b"") is None
