@@ -10,9 +10,12 @@ included.
 No machine holds the model, which grows with the corpus.  Contexts that share their last two
 symbols lie in one fragment, whose subtrees need nothing else but the mixture of the depths
 above; that comes from sums over at most 256 * 255 decisions.  Texts ask the fragments for the
-distinct grams of each part of about two MB and add up the answers.
+distinct grams of each part of about two MB and add up the answers.  With many parts a fragment
+has several copies, which share them out.
 
-A base line of single words is computed beside it: exact counts over all training tokens.
+A base line of single words is computed beside it: exact counts over all training tokens.  Each
+part sends its distinct words with their training counts to the words' fragments and gets the
+sums back; the most frequent words are counted by every task and sent to all.
 """
 
 from __future__ import annotations
@@ -27,21 +30,26 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Words, materialize, mix, range_hashes, text_buffers, text_parts
+from .shared import Words, materialize, mix, text_buffers, text_parts
 
 DEPTH, BITS = 5, 6
 #: Binary decisions of a byte, as the operator codes it; models of BITS decisions serve smaller alphabets.
 BYTE = 8
 #: Symbols of context that a fragment's grams share, and grams that a fragment holds on average.
-SPLIT, MODEL_FRAGMENT = 2, 1_000_000
+SPLIT, MODEL_FRAGMENT = 2, 250_000
 #: Text start, text end and any other byte in a smaller alphabet.
 START, END, ESCAPE = 0, 1, 2
 #: Bytes that UTF-8 never has: before the text's first byte and after its last.
 PAD, STOP = 0xFE, 0xFF
 #: Frequent words whose counts are sent to all tasks, and the share of a batch that makes one.
 HEAVY, HEAVY_SHARE = 16384, 1 / 4096
-#: Words that a fragment holds on average, and fragments at least.
-FRAGMENT, LEAST = 2_000_000, 64
+#: Postings of words that a fragment holds on average.
+FRAGMENT = 2_000_000
+#: Grams that a task holds before it passes them on, and words that it finds frequent.
+HELD_GRAMS, HELD_WORDS = 8_000_000, 200_000
+#: Grams that one copy of a fragment answers on average, if a part asks for one in four of its bytes; above, a
+#: fragment has copies, each for its share of the parts.
+ANSWERED = 4_000_000
 #: Bytes of text that one step works on.
 PART = 1 << 19
 #: Bytes of text that ask for their grams together.
@@ -381,7 +389,7 @@ class Trees:
 
     def __init__(self, counts: DataFrame):
         coded = materialize(counts.select("g", "n"), "grams")
-        self.fragments = fragments = max(LEAST, math.ceil(coded.count() / MODEL_FRAGMENT))
+        self.fragments = fragments = max(1, math.ceil(coded.count() / MODEL_FRAGMENT))
 
         def pack(batches):
             for b in batches:
@@ -403,16 +411,21 @@ class Trees:
         got = shared.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "under")]).toArrow()  # 256 * 255 rows at most
         self.top = top_nodes(*(got.column(c).to_numpy() for c in ("key", "zeros", "ones", "under")), BYTE)
 
-    def answered(self, asked: DataFrame) -> DataFrame:
-        """(p, f, v): the answers to rows (p, f, v) of packed grams."""
+    def answered(self, asked: DataFrame, parts: int) -> DataFrame:
+        """(p, f, v): the answers to rows (p, f, v) of packed grams from so many parts.
+
+        Part p asks copy ``hash(p) % copies`` of a fragment, so that a hot fragment's work is shared
+        and grows with ANSWERED, not with the corpus.
+        """
         fragments, top = self.fragments, self.top
+        copies = max(1, math.ceil(parts * ASKED / 4 / fragments / ANSWERED))
 
         def run(batches):
             now, pieces, model = None, [], None
             for b in batches:
-                for f, p, v in zip(b.column("f").to_pylist(), b.column("p").to_pylist(), b.column("v")):
-                    if f != now:
-                        now, pieces, model = f, [], None
+                for f, c, p, v in zip(*(b.column(x).to_pylist() for x in "fcp"), b.column("v")):
+                    if (f, c) != now:
+                        now, pieces, model = (f, c), [], None
                     if p < 0:
                         pieces.append(v.as_py())
                         continue
@@ -421,8 +434,10 @@ class Trees:
                     found = packed_floats(model.ask(unpacked_numbers(v.as_py())))
                     yield pa.RecordBatch.from_arrays([pa.array([p], pa.int64()), pa.array([f], pa.int64()), pa.array([found], pa.binary())], names=["p", "f", "v"])
 
-        both = self.pieces.select(F.lit(-1).cast("long").alias("p"), "f", "v").unionByName(asked)
-        return both.repartition(fragments, "f").sortWithinPartitions("f", "p").mapInArrow(run, "p long, f long, v binary")
+        every = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))) if copies > 1 else F.lit(0)
+        held = self.pieces.select(F.lit(-1).cast("long").alias("p"), "f", "v", every.alias("c"))
+        both = held.unionByName(asked.withColumn("c", F.pmod(F.xxhash64("p"), F.lit(copies)).cast("int")))
+        return both.repartition(fragments * copies, "f", "c").sortWithinPartitions("f", "c", "p").mapInArrow(run, "p long, f long, v binary")
 
 
 def merged(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -449,27 +464,25 @@ def by_fragment(batches):
 # ---------------------------------------------------------------- the base line's words
 
 
-def word_counts(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, word hash, times) for each distinct word of each text."""
-    text = np.repeat(np.arange(len(w.first) - 1), np.diff(w.first))
-    order = np.argsort(w.hash, kind="stable")
-    order = order[np.argsort(text[order].astype(np.uint32), kind="stable")]
-    t, h = text[order], w.hash[order]
-    new = np.ones(len(t), bool)
-    new[1:] = (t[1:] != t[:-1]) | (h[1:] != h[:-1])
-    start = np.flatnonzero(new)
-    return t[start], h[start], np.diff(np.append(start, len(t)))
+class WordPart:
+    """The words of some texts: ``often`` says which are among ``heavy``, at ``at``; the distinct others have
+    a ``place`` each, ascending by fragment, and ``ends`` of each fragment's; ``index`` leads to them."""
+
+    def __init__(self, w: Words, heavy: np.ndarray, fragments: int):
+        self.at, self.often = _in(heavy, w.hash)
+        distinct, index = np.unique(w.hash[~self.often], return_inverse=True)
+        self.index = index.ravel()
+        f, self.place = _split48(distinct, fragments)
+        self.ends = np.cumsum(np.bincount(f, minlength=fragments))
+
 
+def packed_numbers_of(values: np.ndarray) -> bytes:
+    """Numbers over 0 in any order, as compressed byte planes."""
+    return zstandard.ZstdCompressor(level=1).compress(values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes())
 
-def row_ids(keys: pa.Array, w: Words) -> np.ndarray:
-    """A number for each row by its key and words: rows that share it have the same scores."""
-    n = len(keys)
-    held = keys.is_valid().to_numpy(zero_copy_only=False)
-    k = keys.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-    full = np.diff(w.first) > 0
-    words = np.zeros(n, np.uint64)
-    words[full] = range_hashes(w.hash, w.first[:-1][full], w.first[1:][full])
-    return mix(mix(k + np.where(held, np.uint64(1), np.uint64(2)) * np.uint64(0x9E3779B97F4A7C15)) + words).view(np.int64)
+
+def unpacked_numbers_of(raw: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(8, -1).T.copy().view("<i8").ravel()
 
 
 def _split48(h: np.ndarray, fragments: int) -> tuple[np.ndarray, np.ndarray]:
@@ -517,111 +530,104 @@ class Scoring:
         spark = self.rows.sparkSession
         first = materialize(self.counted(), "counts")
         trees = Trees(first.where("kind = 0").groupBy(F.col("id").alias("g")).agg(F.sum("n").alias("n")))
-        words = first.where("kind = 2").agg(F.sum("n")).first()[0] or 0
         frequent = first.where("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "id").limit(HEAVY).select("id").collect()
         heavy = np.sort(np.array([r["id"] for r in frequent], np.int64).view(np.uint64))
-        sums = materialize(self.looked_up(heavy, max(LEAST, math.ceil(words / FRAGMENT))), "word_sums")
-        exact = {r["id"]: r["n"] for r in sums.where("kind = 2").groupBy("id").agg(F.sum("n").alias("n")).collect()}
-        tokens, texts = (sums.where(f"kind = {x}").agg(F.sum("n")).first()[0] or 0 for x in (3, 4))
+        parts = materialize(self.parted(heavy), "parts")
+        n_parts, rare = parts.agg(F.count(F.lit(1)), F.sum("w")).first()
+        fragments = max(1, math.ceil((rare or 0) / FRAGMENT))
+        words = materialize(self.counted_words(parts, heavy, fragments), "words")
+        exact = {r["id"]: r["n"] for r in words.where("kind = 2").groupBy("id").agg(F.sum("n").alias("n")).collect()}
+        tokens, texts, distinct = (words.where(f"kind = {x}").agg(F.sum("n")).first()[0] or 0 for x in (3, 4, 1))
         c = np.array([exact.get(i, 0) for i in range(len(heavy))], np.int64)
-        distinct = (sums.where("kind = 1").agg(F.sum("n")).first()[0] or 0) + int((c > 0).sum()) + (texts > 0)
+        distinct += int((c > 0).sum()) + (texts > 0)
         total = tokens + texts
         unit = math.log10(total + 0.5 * (distinct + 1))
-        parts = materialize(self.parted(), "parts")
-        answers = trees.answered(self.asked(parts, trees))
-        scored = self.scored(parts, answers, trees, spark.sparkContext.broadcast((heavy, np.log10(c + 0.5), c > 0, math.log10(texts + 0.5), texts > 0)))
-        rare = materialize(sums.where("kind = 0").groupBy(F.col("id").alias("u2")).agg(F.sum("v").alias("v2"), F.sum("n").alias("n2"), F.sum("m").alias("m2")), "rare_words")
-        rows = scored.join(rare, scored["u"] == rare["u2"], "left")
-        share = lambda c: F.coalesce(F.col(c) / F.col("m2"), F.lit(0.0))  # noqa: E731  rows alike have summed alike
-        return rows.select(
+        answers = trees.answered(self.asked(parts, trees), n_parts)
+        answers = answers.unionByName(words.where("kind = 0").select("p", (F.col("f") + trees.fragments).alias("f"), "v"))
+        sent = spark.sparkContext.broadcast((heavy, np.log10(c + 0.5), c > 0, math.log10(texts + 0.5), texts > 0))
+        return self.scored(parts, answers, trees.fragments, fragments, sent).select(
             F.col("k").alias(self.key),
             F.col("h").alias("held_out"),
             F.col("tokens").alias("n_tokens"),
-            (F.col("known") + F.round(share("n2")).cast("long")).alias("n_known"),
+            F.col("known").alias("n_known"),
             F.lit(total).cast("long").alias("train_tokens"),
-            (F.col("base") + share("v2") - F.col("tokens") * F.lit(unit)).alias("base_score"),
+            (F.col("base") - F.col("tokens") * F.lit(unit)).alias("base_score"),
             "score",
             (-F.col("score") * F.lit(math.log2(10)) / F.greatest("bytes", F.lit(1))).alias("bits_per_byte"),
         )
 
     def counted(self) -> DataFrame:
-        """kind 0: byte grams of training texts; 1: words that are frequent somewhere; 2: words."""
+        """kind 0: byte grams of training texts; 1: words that are frequent somewhere.  A task passes
+        them on in parts of a bounded size, so a gram may come several times."""
 
         def run(batches):
-            g, n = np.empty(0, np.int64), np.empty(0, np.int64)
-            often: dict[int, int] = {}
-            words = 0
+            merged, waiting, often = (np.empty(0, np.int64), np.empty(0, np.int64)), [], {}
+            size = 0
+
+            def together():
+                g, index = np.unique(np.concatenate([x for x, _ in waiting]), return_inverse=True)
+                return g, np.bincount(index, weights=np.concatenate([x for _, x in waiting]), minlength=len(g)).astype(np.int64)
+
+            def batch(kind, ids, counts):
+                return pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), kind, np.int32)), pa.array(ids, pa.int64()), pa.array(counts, pa.int64())], names=["kind", "id", "n"])
+
             for part in text_parts(batches, "t", PART):
                 w = Words(part.column("t"))
-                words += len(w.start)
                 ids, times = np.unique(w.hash, return_counts=True)
                 many = times >= max(8, HEAVY_SHARE * len(w.hash))
                 for i, c in zip(ids[many].view(np.int64).tolist(), times[many].tolist()):
                     often[i] = often.get(i, 0) + c
-                train = part.column("t").filter(pc.invert(part.column("h")))
-                g2, n2 = grams(train)
-                g, index = np.unique(np.concatenate((g, g2)), return_inverse=True)
-                n = np.bincount(index, weights=np.concatenate((n, n2)), minlength=len(g)).astype(np.int64)
-            for kind, ids, counts in ((0, g, n), (1, np.array(list(often), np.int64), np.array(list(often.values()), np.int64)), (2, np.zeros(1, np.int64), np.array([words]))):
-                if len(ids):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), kind, np.int32)), pa.array(ids, pa.int64()), pa.array(counts, pa.int64())], names=["kind", "id", "n"])
+                waiting.append(grams(part.column("t").filter(pc.invert(part.column("h")))))
+                size += len(waiting[-1][0])
+                if size >= max(1 << 20, len(merged[0])):  # merges double what they merge, so that each gram is sorted a few times
+                    waiting.append(merged)
+                    merged, waiting, size = together(), [], 0
+                    if len(merged[0]) >= HELD_GRAMS:
+                        yield batch(0, *merged)
+                        merged = np.empty(0, np.int64), np.empty(0, np.int64)
+                if len(often) >= HELD_WORDS:
+                    yield batch(1, list(often), list(often.values()))
+                    often.clear()
+            waiting.append(merged)
+            merged = together()
+            if len(merged[0]):
+                yield batch(0, *merged)
+            if often:
+                yield batch(1, list(often), list(often.values()))
 
         return self.rows.mapInArrow(run, "kind int, id long, n long")
 
-    def looked_up(self, heavy: np.ndarray, fragments: int) -> DataFrame:
-        """kind 0: sums over a row's rare words in one fragment (v: of log10(c + 0.5), n: known),
-        m: 1 for each row, once; 1: distinct rare training words; 2: counts of frequent ones; 3:
+    def counted_words(self, parts: DataFrame, heavy: np.ndarray, fragments: int) -> DataFrame:
+        """kind 0: (p, f, v), the training counts of the rare words of a part in one fragment; 1: the
+        number of distinct rare training words; 2: counts of frequent ones (id: their place); 3:
         training words; 4: training texts."""
 
         def cut(batches):
-            held, size = [], 0
             counts, words, texts = np.zeros(len(heavy), np.int64), 0, 0
-
-            def flush():
-                shift, t, h, n, ids, train = 0, [], [], [], [], []
-                for x in held:
-                    t.append(x[0] + shift)
-                    shift += len(x[3])
-                    for a, b in zip((h, n, ids, train), x[1:]):
-                        a.append(b)
-                t, h, n, ids, train = (np.concatenate(x) for x in (t, h, n, ids, train))
-                order = np.argsort(h, kind="stable")
-                f, place = _split48(h[order], fragments)
-                start = np.flatnonzero(np.concatenate(([True], f[1:] != f[:-1]))) if len(f) else np.empty(0, np.int64)
-                fs, packed = [], []
-                for x, y in zip(start.tolist(), [*start[1:].tolist(), len(f)]):
-                    fs.append(int(f[x]))
-                    packed.append(_pack(place[x:y], t[order[x:y]], n[order[x:y]], ids, train))
-                fs.append(-1 - int(ids.view(np.uint64)[0] % np.uint64(fragments)))
-                packed.append(ids.tobytes())
-                return pa.RecordBatch.from_arrays([pa.array(fs, pa.int64()), pa.array(packed, pa.binary())], names=["f", "p"])
-
-            for part in text_parts(batches, "t", PART):
-                w = Words(part.column("t"))
-                ids = row_ids(part.column("k"), w)
-                train = ~part.column("h").to_numpy(zero_copy_only=False)
-                words += int(np.diff(w.first)[train].sum())
-                texts += int(train.sum())
-                t, h, n = word_counts(w)
-                at, often = _in(heavy, h)
-                mine = often & train[t]
-                np.add.at(counts, at[mine], n[mine])
-                held.append((t[~often], h[~often], n[~often], ids, train))
-                size += int((~often).sum()) + len(ids)
-                if size >= FRAGMENT // 2:
-                    yield flush()
-                    held, size = [], 0
-            if held:
-                yield flush()
+            for b in batches:
+                for i, p in enumerate(b.column("p").to_pylist()):
+                    w = Words(unpacked_texts(b.column("t")[i].as_py(), b.column("o")[i].values))
+                    train = ~b.column("h")[i].values.to_numpy(zero_copy_only=False)
+                    part = WordPart(w, heavy, fragments)
+                    taught = np.repeat(train, np.diff(w.first))
+                    words += int(taught.sum())
+                    texts += int(train.sum())
+                    counts += np.bincount(part.at[part.often & taught], minlength=len(heavy))[: len(heavy)]
+                    times = np.bincount(part.index, weights=taught[~part.often], minlength=len(part.place)).astype(np.int64)
+                    start = np.concatenate(([0], part.ends[:-1]))
+                    some = np.flatnonzero(part.ends > start).tolist()
+                    one, yes = np.array([p]), np.array([True])
+                    packed = [_pack(part.place[start[f] : part.ends[f]], np.zeros(part.ends[f] - start[f], np.int64), times[start[f] : part.ends[f]], one, yes) for f in some]
+                    yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(packed, pa.binary())], names=["f", "p"])
             if texts or words:
                 some = np.flatnonzero(counts)
                 raw = np.concatenate((np.array([words, texts], np.int64), some, counts[some])).tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array([-1 - fragments - int(words) % fragments], pa.int64()), pa.array([raw], pa.binary())], names=["f", "p"])
+                yield pa.RecordBatch.from_arrays([pa.array([-1 - words % fragments], pa.int64()), pa.array([raw], pa.binary())], names=["f", "p"])
 
-        def batch(kind, ids, v=None, n=None, m=None):
-            zero = np.zeros(len(ids), np.int64)
-            cols = [np.full(len(ids), kind, np.int32), ids, zero.astype(float) if v is None else v, zero if n is None else n, zero if m is None else m]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["kind", "id", "v", "n", "m"])
+        def batch(kind, ids, n, p=None, f=None, v=None):
+            none = [None] * len(ids)
+            cols = [pa.array([kind] * len(ids), pa.int32()), pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(p or none, pa.int64()), pa.array(f or none, pa.int64()), pa.array(v or none, pa.binary())]
+            return pa.RecordBatch.from_arrays(cols, names=["kind", "id", "n", "p", "f", "v"])
 
         def count(batches):
             packed: dict[int, list[bytes]] = {}
@@ -629,43 +635,39 @@ class Scoring:
                 for f, p in zip(b.column("f").to_pylist(), b.column("p").to_pylist()):
                     if f >= 0:
                         packed.setdefault(f, []).append(p)
-                    elif f >= -fragments:
-                        ids = np.frombuffer(p, np.int64)
-                        yield batch(0, ids, m=np.ones(len(ids), np.int64))
                     else:
                         raw = np.frombuffer(p, np.int64)
                         k = (len(raw) - 2) // 2
-                        yield batch(3, np.zeros(1, np.int64), n=raw[:1])
-                        yield batch(4, np.zeros(1, np.int64), n=raw[1:2])
-                        yield batch(2, raw[2 : 2 + k], n=raw[2 + k :])
+                        yield batch(3, [0], raw[:1])
+                        yield batch(4, [0], raw[1:2])
+                        yield batch(2, raw[2 : 2 + k], raw[2 + k :])
             for f in sorted(packed):  # one at a time: a task may have drawn several
-                place, ids, times, train = (np.concatenate(x) for x in zip(*map(_unpack, packed.pop(f))))
-                order = np.argsort(place, kind="stable")
-                start = _starts(place[order])
-                c = np.add.reduceat((times * train)[order], start)
-                yield batch(1, np.zeros(1, np.int64), n=np.array([(c > 0).sum()]))
-                per = np.diff(np.append(start, len(place)))
-                ids, times = ids[order], times[order]
-                own, index = np.unique(ids, return_inverse=True)
-                v = np.bincount(index, weights=times * np.repeat(np.log10(c + 0.5), per))
-                yield batch(0, own, v, np.bincount(index, weights=times * np.repeat(c > 0, per)).astype(np.int64))
-
-        cuts = self.rows.mapInArrow(cut, "f long, p binary")
-        return cuts.repartition(fragments, "f").mapInArrow(count, "kind int, id long, v double, n long, m long")
-
-    def parted(self) -> DataFrame:
-        """One row for some rows with about ASKED bytes of text: a number p and lists of their keys, folds and text lengths, and the texts compressed."""
+                found = [_unpack(p) for p in packed.pop(f)]
+                places, at = np.unique(np.concatenate([x[0] for x in found]), return_inverse=True)
+                c = np.bincount(at, weights=np.concatenate([x[2] for x in found])).astype(np.int64)
+                yield batch(1, [0], [int((c > 0).sum())])
+                ends = np.cumsum([len(x[0]) for x in found])
+                for x, y, z in zip(found, ends - [len(x[0]) for x in found], ends):
+                    yield batch(0, [0], [0], [int(x[1][0])], [f], [packed_numbers_of(c[at[y:z]])])
+
+        cuts = parts.select("p", "h", "o", "t").mapInArrow(cut, "f long, p binary")
+        return cuts.repartition(fragments, "f").mapInArrow(count, "kind int, id long, n long, p long, f long, v binary")
+
+    def parted(self, heavy: np.ndarray) -> DataFrame:
+        """One row for some rows with about ASKED bytes of text: a number p, lists of their keys, folds and text
+        lengths, the texts compressed, and the number of their distinct words beside the frequent ones."""
 
         def run(batches):
             p = TaskContext.get().partitionId() << 32
             for part in text_parts(batches, "t", ASKED):
                 ends = pa.array([0, part.num_rows], pa.int32())
                 t, lengths = packed_texts(part.column("t"))
+                words = len(WordPart(Words(part.column("t")), heavy, 1).place)
                 lists = [pa.ListArray.from_arrays(ends, x) for x in (part.column("k"), part.column("h"), lengths)]
-                yield pa.RecordBatch.from_arrays([pa.array([p], pa.int64()), *lists, pa.array([t], pa.binary())], names=["p", "k", "h", "o", "t"])
+                yield pa.RecordBatch.from_arrays([pa.array([p], pa.int64()), *lists, pa.array([t], pa.binary()), pa.array([words], pa.int64())], names=["p", "k", "h", "o", "t", "w"])
                 p += 1
 
-        return self.rows.mapInArrow(run, "p long, k array<long>, h array<boolean>, o array<long>, t binary")
+        return self.rows.mapInArrow(run, "p long, k array<long>, h array<boolean>, o array<long>, t binary, w long")
 
     def asked(self, parts: DataFrame, trees: Trees) -> DataFrame:
         fragments = trees.fragments
@@ -681,41 +683,45 @@ class Scoring:
 
         return parts.select("p", "o", "t").mapInArrow(run, "p long, f long, v binary")
 
-    def scored(self, parts: DataFrame, answers: DataFrame, trees: Trees, sent) -> DataFrame:
-        """The rows of the parts with their scores; the answers to a part come before it, by fragment."""
-        fragments = trees.fragments
+    def scored(self, parts: DataFrame, answers: DataFrame, trees: int, fragments: int, sent) -> DataFrame:
+        """The rows of the parts with their scores; the answers to a part come before it: those of
+        the trees' fragments, then those of the words'."""
 
         def run(batches):
-            held = []
+            held, counts = [], []
             for b in batches:
                 for i, f in enumerate(b.column("f").to_pylist()):
-                    if f < fragments:
+                    if f < trees:
                         held.append(unpacked_floats(b.column("v")[i].as_py()))
-                        continue
-                    texts = unpacked_texts(b.column("t")[i].as_py(), b.column("o")[i].values)
-                    log = Part(texts, fragments).scores(np.concatenate(held) if held else np.empty(0))
-                    held = []
-                    yield rows(b.column("k")[i].values, b.column("h")[i].values, texts, log)
+                    elif f < trees + fragments:
+                        counts.append(unpacked_numbers_of(b.column("v")[i].as_py()))
+                    else:
+                        texts = unpacked_texts(b.column("t")[i].as_py(), b.column("o")[i].values)
+                        log = Part(texts, trees).scores(np.concatenate(held) if held else np.empty(0))
+                        yield rows(b.column("k")[i].values, b.column("h")[i].values, texts, log, np.concatenate(counts) if counts else np.empty(0, np.int64))
+                        held, counts = [], []
 
-        def rows(keys, folds, texts, log):
+        def rows(keys, folds, texts, log, counts):
             heavy, value, seen, stop, stop_seen = sent.value
             w = Words(texts)
             n = len(w.first) - 1
-            at, often = _in(heavy, w.hash)
-            text = np.repeat(np.arange(n), np.diff(w.first))[often]
-            base = np.bincount(text, weights=value[at[often]], minlength=n) if len(heavy) else np.zeros(n)
-            known = np.bincount(text, weights=seen[at[often]], minlength=n).astype(np.int64) if len(heavy) else np.zeros(n, np.int64)
+            part = WordPart(w, heavy, fragments)
+            text = np.repeat(np.arange(n), np.diff(w.first))
+            each, known = np.empty(len(text)), np.empty(len(text), bool)
+            if len(heavy):
+                each[part.often], known[part.often] = value[part.at[part.often]], seen[part.at[part.often]]
+            each[~part.often], known[~part.often] = np.log10(counts + 0.5)[part.index], (counts > 0)[part.index]
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array(row_ids(keys, w)), keys, folds, pa.array(np.diff(w.first) + 1, pa.int64()), pa.array(known + stop_seen, pa.int64()),
-                    pa.array(base + stop), pa.array(log), pa.array(np.diff(w.offsets), pa.int64()),
+                    keys, folds, pa.array(np.diff(w.first) + 1, pa.int64()), pa.array(np.bincount(text, weights=known, minlength=n).astype(np.int64) + int(stop_seen)),
+                    pa.array(np.bincount(text, weights=each, minlength=n) + stop), pa.array(log), pa.array(np.diff(w.offsets), pa.int64()),
                 ],
-                names=["u", "k", "h", "tokens", "known", "base", "score", "bytes"],
-            )
+                names=["k", "h", "tokens", "known", "base", "score", "bytes"],
+            )
 
-        both = answers.unionByName(parts.withColumn("f", F.lit(fragments).cast("long")), allowMissingColumns=True)
+        both = answers.unionByName(parts.drop("w").withColumn("f", F.lit(trees + fragments).cast("long")), allowMissingColumns=True)
         ordered = both.repartition("p").sortWithinPartitions("p", "f")
-        return ordered.mapInArrow(run, "u long, k long, h boolean, tokens long, known long, base double, score double, bytes long")
+        return ordered.mapInArrow(run, "k long, h boolean, tokens long, known long, base double, score double, bytes long")
 
 
 def score_documents(docs: DataFrame, *, key: str = "doc_id", text: str = "text", held_out: str = "crc32(CAST({key} AS BINARY)) % 5 = 1") -> DataFrame:

@@ -148,3 +148,68 @@ def test_scores_are_the_whole_models_of_bytes(spark):
     for i, t in enumerate(asked):
         own, times = ctw.grams(pa.array([t]))
         assert got[i] == pytest.approx(float((model.ask(own) * times).sum()), abs=1e-4)
+
+
+def brute_scores(rows, trained):
+    """log10 probability of each text by the definition: every node of the trees of all byte prefixes in one table."""
+    low = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+    coded = {i: bytes([ctw.PAD] * ctw.DEPTH) + (t or "").encode().translate(low) + bytes([ctw.STOP]) for i, t in rows}
+    grams = collections.Counter(b[j : j + 6] for i, b in coded.items() if i in trained for j in range(len(b) - 5))
+    nodes = collections.defaultdict(lambda: [0, 0])
+    for g, n in grams.items():
+        for level in range(8):
+            prefix, bit = g[5] >> (8 - level), g[5] >> (7 - level) & 1
+            for d in range(ctw.DEPTH + 1):
+                nodes[g[5 - d : 5], level, prefix][bit] += n
+    block = {}
+
+    def own(key):
+        z, o = nodes[key]
+        return math.lgamma(z + 0.5) + math.lgamma(o + 0.5) - math.log(math.pi) - math.lgamma(z + o + 1)
+
+    children = collections.defaultdict(float)
+    for d in range(ctw.DEPTH, -1, -1):
+        for key in [k for k in nodes if len(k[0]) == d]:
+            block[key] = own(key) if d == ctw.DEPTH else math.log(0.5) + float(np.logaddexp(own(key), children[key]))
+            if d:
+                children[key[0][1:], *key[1:]] += block[key]
+    seen = {}
+
+    def bit_one(context, level, prefix):
+        p, rest = 0.0, 1.0
+        for d in range(ctw.DEPTH + 1):
+            key = context[5 - d :], level, prefix
+            if key not in nodes:
+                return p + rest * 0.5
+            z, o = nodes[key]
+            w = 1.0 if d == ctw.DEPTH else math.exp(math.log(0.5) + own(key) - block[key])
+            p, rest = p + rest * w * (o + 0.5) / (z + o + 1), rest * (1 - w)
+        return p
+
+    def log_gram(g):
+        if g not in seen:
+            ones = [(bit_one(g[:5], lv, g[5] >> (8 - lv)), g[5] >> (7 - lv) & 1) for lv in range(8)]
+            seen[g] = sum(math.log10(p if b else 1 - p) for p, b in ones)
+        return seen[g]
+
+    return {i: sum(log_gram(b[j : j + 6]) for j in range(len(b) - 5)) for i, b in coded.items()}
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_scores_of_documents_against_brute_force(spark, monkeypatch, small):
+    if small:  # many fragments and copies of them
+        for name, size in (("MODEL_FRAGMENT", 5000), ("FRAGMENT", 3000), ("ASKED", 60_000), ("ANSWERED", 2000), ("HELD_GRAMS", 20_000), ("HELD_WORDS", 5), ("PART", 30_000)):
+            monkeypatch.setattr(ctw, name, size)
+    rows = [tuple(r) for r in sample(spark).select("doc_id", "text").where("doc_id < 100").collect()] + [(1000, None), (1001, "")]
+    trained = {i for i, _ in rows if zlib.crc32(str(i).encode()) % 5 != 1}
+    want = brute_scores(rows, trained)
+    got = {r["doc_id"]: r for r in ctw.score_documents(docs(spark, rows)).collect()}
+    assert set(got) == set(want)
+    for i, t in rows:
+        assert got[i]["score"] == pytest.approx(want[i], rel=1e-5, abs=1e-3)
+        assert got[i]["bits_per_byte"] == pytest.approx(-want[i] * math.log2(10) / max(1, len((t or "").encode())), rel=1e-5, abs=1e-3)
+    count = collections.Counter(x for i, t in rows if i in trained for x in words(t))
+    assert all(got[i]["n_known"] == sum(x in count for x in words(t)) + 1 for i, t in rows)
+    total = sum(count.values()) + len(trained)
+    unit = math.log10(total + 0.5 * (len(count) + 2))
+    assert all(got[i]["base_score"] == pytest.approx(sum(math.log10(count[x] + 0.5) - unit for x in words(t)) + math.log10(len(trained) + 0.5) - unit, rel=1e-9) for i, t in rows)
