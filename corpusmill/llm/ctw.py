@@ -15,7 +15,7 @@ has several copies, which share them out.
 
 A base line of single words is computed beside it: exact counts over all training tokens.  Each
 part sends its distinct words with their training counts to the words' fragments and gets the
-sums back; the most frequent words are counted by every task and sent to all.
+sums back.
 """
 
 from __future__ import annotations
@@ -41,12 +41,10 @@ SPLIT, MODEL_FRAGMENT = 2, 250_000
 START, END, ESCAPE = 0, 1, 2
 #: Bytes that UTF-8 never has: before the text's first byte and after its last.
 PAD, STOP = 0xFE, 0xFF
-#: Frequent words whose counts are sent to all tasks, and the share of a batch that makes one.
-HEAVY, HEAVY_SHARE = 16384, 1 / 4096
-#: Postings of words that a fragment holds on average.
-FRAGMENT = 2_000_000
-#: Grams that a task holds before it passes them on, and words that it finds frequent.
-HELD_GRAMS, HELD_WORDS = 8_000_000, 200_000
+#: Bytes of text for one fragment of the words; a part posts each of its words once, so a frequent word has one posting a part.
+FRAGMENT = 40_000_000
+#: Grams that a task holds before it passes them on.
+HELD_GRAMS = 8_000_000
 #: Grams that one copy of a fragment answers on average, if a part asks for one in four of its bytes; above, a
 #: fragment has copies, each for its share of the parts.
 ANSWERED = 4_000_000
@@ -287,6 +285,12 @@ class Model:
         return out
 
 
+def distinct_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct values as they come, the place among them of each): a hash table, not a sort."""
+    coded = pa.array(values).dictionary_encode()
+    return coded.dictionary.to_numpy(), coded.indices.to_numpy()
+
+
 class Part:
     """The grams of some texts: ``distinct`` ones by fragment, ``ends`` of each fragment's."""
 
@@ -295,14 +299,14 @@ class Part:
         if len(self.first) < 2:
             self.distinct, self.ends = np.empty(0, np.int64), np.zeros(fragments, np.int64)
             return
-        g = byte_grams(self.data)
         self.coded = self.data != PAD
         self.coded[:DEPTH] = False
-        distinct, index = np.unique(g[self.coded[DEPTH:]], return_inverse=True)
-        self.index = index.astype(np.int32)
-        f = fragment_of(distinct, fragments, BYTE)
+        self.grams = byte_grams(self.data)[self.coded[DEPTH:]]
+        ascending = np.sort(self.grams)
+        self.ascending = ascending[_starts(ascending)]
+        f = fragment_of(self.ascending, fragments, BYTE).astype(np.uint16 if fragments <= 1 << 16 else np.int64)
         self.order = np.argsort(f, kind="stable")
-        self.distinct, self.ends = distinct[self.order], np.cumsum(np.bincount(f, minlength=fragments))
+        self.distinct, self.ends = self.ascending[self.order], np.cumsum(np.bincount(f, minlength=fragments))
 
     def scores(self, answers: np.ndarray) -> np.ndarray:
         """The log10 probability of each text; ``answers`` are those to ``distinct``."""
@@ -310,9 +314,15 @@ class Part:
             return np.empty(0)
         each = np.empty(len(answers))
         each[self.order] = answers
-        value = np.zeros(len(self.data))
-        value[self.coded] = each[self.index]
-        return np.add.reduceat(value, self.first[:-1])
+        # a sparse table finds most grams at once, a search those that share a slot with another
+        bits = max(4, (8 * len(each)).bit_length())
+        slots = np.zeros(1 << bits, np.int32)
+        slots[Model._slot(self.ascending, bits)] = np.arange(len(each), dtype=np.int32)
+        at = slots[Model._slot(self.grams, bits)]
+        lost = np.flatnonzero(self.ascending[at] != self.grams)
+        at[lost] = np.searchsorted(self.ascending, self.grams[lost])
+        # every text has its byte count and the end as grams, one after the other
+        return np.add.reduceat(each[at], self.first[:-1] - DEPTH * np.arange(len(self.first) - 1))
 
 
 def fragment_of(grams: np.ndarray, fragments: int, bits: int = BITS) -> np.ndarray:
@@ -465,14 +475,16 @@ def by_fragment(batches):
 
 
 class WordPart:
-    """The words of some texts: ``often`` says which are among ``heavy``, at ``at``; the distinct others have
-    a ``place`` each, ascending by fragment, and ``ends`` of each fragment's; ``index`` leads to them."""
-
-    def __init__(self, w: Words, heavy: np.ndarray, fragments: int):
-        self.at, self.often = _in(heavy, w.hash)
-        distinct, index = np.unique(w.hash[~self.often], return_inverse=True)
-        self.index = index.ravel()
-        f, self.place = _split48(distinct, fragments)
+    """The words of some texts: the distinct ones have a ``place`` each, ascending by fragment, and ``ends``
+    of each fragment's; ``index`` leads every word to its own."""
+
+    def __init__(self, w: Words, fragments: int):
+        distinct, index = distinct_of(w.hash)
+        order = np.argsort(distinct)
+        rank = np.empty(len(distinct), np.int64)
+        rank[order] = np.arange(len(distinct))
+        self.index = rank[index]
+        f, self.place = _split48(distinct[order], fragments)
         self.ends = np.cumsum(np.bincount(f, minlength=fragments))
 
 
@@ -527,25 +539,19 @@ class Scoring:
         self.rows = docs.select(F.col(key).cast("long").alias("k"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"), fold.alias("h"))
 
     def run(self) -> DataFrame:
-        spark = self.rows.sparkSession
-        first = materialize(self.counted(), "counts")
-        trees = Trees(first.where("kind = 0").groupBy(F.col("id").alias("g")).agg(F.sum("n").alias("n")))
-        frequent = first.where("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "id").limit(HEAVY).select("id").collect()
-        heavy = np.sort(np.array([r["id"] for r in frequent], np.int64).view(np.uint64))
-        parts = materialize(self.parted(heavy), "parts")
-        n_parts, rare = parts.agg(F.count(F.lit(1)), F.sum("w")).first()
-        fragments = max(1, math.ceil((rare or 0) / FRAGMENT))
-        words = materialize(self.counted_words(parts, heavy, fragments), "words")
-        exact = {r["id"]: r["n"] for r in words.where("kind = 2").groupBy("id").agg(F.sum("n").alias("n")).collect()}
-        tokens, texts, distinct = (words.where(f"kind = {x}").agg(F.sum("n")).first()[0] or 0 for x in (3, 4, 1))
-        c = np.array([exact.get(i, 0) for i in range(len(heavy))], np.int64)
-        distinct += int((c > 0).sum()) + (texts > 0)
+        counts = materialize(self.counted(), "counts")
+        trees = Trees(counts.groupBy("g").agg(F.sum("n").alias("n")))
+        parts = materialize(self.parted(), "parts")
+        n_parts, size = parts.agg(F.count(F.lit(1)), F.sum(F.aggregate("o", F.lit(0).cast("long"), lambda s, x: s + x))).first()
+        fragments = max(1, math.ceil((size or 0) / FRAGMENT))
+        words = materialize(self.counted_words(parts, fragments), "words")
+        tokens, texts, distinct = (words.where(f"kind = {x}").agg(F.sum("n")).first()[0] or 0 for x in (2, 3, 1))
+        distinct += texts > 0
         total = tokens + texts
         unit = math.log10(total + 0.5 * (distinct + 1))
         answers = trees.answered(self.asked(parts, trees), n_parts)
         answers = answers.unionByName(words.where("kind = 0").select("p", (F.col("f") + trees.fragments).alias("f"), "v"))
-        sent = spark.sparkContext.broadcast((heavy, np.log10(c + 0.5), c > 0, math.log10(texts + 0.5), texts > 0))
-        return self.scored(parts, answers, trees.fragments, fragments, sent).select(
+        return self.scored(parts, answers, trees.fragments, fragments, texts).select(
             F.col("k").alias(self.key),
             F.col("h").alias("held_out"),
             F.col("tokens").alias("n_tokens"),
@@ -557,77 +563,63 @@ class Scoring:
         )
 
     def counted(self) -> DataFrame:
-        """kind 0: byte grams of training texts; 1: words that are frequent somewhere.  A task passes
-        them on in parts of a bounded size, so a gram may come several times."""
+        """(g, n): byte grams of training texts.  A task passes them on in parts of a bounded size, so
+        a gram may come several times."""
 
         def run(batches):
-            merged, waiting, often = (np.empty(0, np.int64), np.empty(0, np.int64)), [], {}
-            size = 0
+            merged, waiting, size = (np.empty(0, np.int64), np.empty(0, np.int64)), [], 0
 
             def together():
-                g, index = np.unique(np.concatenate([x for x, _ in waiting]), return_inverse=True)
-                return g, np.bincount(index, weights=np.concatenate([x for _, x in waiting]), minlength=len(g)).astype(np.int64)
+                g = np.concatenate([x for x, _ in waiting])
+                order = np.argsort(g, kind="stable")  # sorted runs, which this merges
+                start = _starts(g[order])
+                return g[order][start], np.add.reduceat(np.concatenate([x for _, x in waiting])[order], start) if len(g) else g
 
-            def batch(kind, ids, counts):
-                return pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), kind, np.int32)), pa.array(ids, pa.int64()), pa.array(counts, pa.int64())], names=["kind", "id", "n"])
+            def batch():
+                return pa.RecordBatch.from_arrays([pa.array(merged[0]), pa.array(merged[1])], names=["g", "n"])
 
             for part in text_parts(batches, "t", PART):
-                w = Words(part.column("t"))
-                ids, times = np.unique(w.hash, return_counts=True)
-                many = times >= max(8, HEAVY_SHARE * len(w.hash))
-                for i, c in zip(ids[many].view(np.int64).tolist(), times[many].tolist()):
-                    often[i] = often.get(i, 0) + c
                 waiting.append(grams(part.column("t").filter(pc.invert(part.column("h")))))
                 size += len(waiting[-1][0])
                 if size >= max(1 << 20, len(merged[0])):  # merges double what they merge, so that each gram is sorted a few times
                     waiting.append(merged)
                     merged, waiting, size = together(), [], 0
                     if len(merged[0]) >= HELD_GRAMS:
-                        yield batch(0, *merged)
+                        yield batch()
                         merged = np.empty(0, np.int64), np.empty(0, np.int64)
-                if len(often) >= HELD_WORDS:
-                    yield batch(1, list(often), list(often.values()))
-                    often.clear()
             waiting.append(merged)
             merged = together()
             if len(merged[0]):
-                yield batch(0, *merged)
-            if often:
-                yield batch(1, list(often), list(often.values()))
+                yield batch()
 
-        return self.rows.mapInArrow(run, "kind int, id long, n long")
+        return self.rows.mapInArrow(run, "g long, n long")
 
-    def counted_words(self, parts: DataFrame, heavy: np.ndarray, fragments: int) -> DataFrame:
-        """kind 0: (p, f, v), the training counts of the rare words of a part in one fragment; 1: the
-        number of distinct rare training words; 2: counts of frequent ones (id: their place); 3:
-        training words; 4: training texts."""
+    def counted_words(self, parts: DataFrame, fragments: int) -> DataFrame:
+        """kind 0: (p, f, v), the training counts of the words of a part in one fragment; 1: the
+        number of distinct training words; 2: training words; 3: training texts."""
 
         def cut(batches):
-            counts, words, texts = np.zeros(len(heavy), np.int64), 0, 0
+            words, texts = 0, 0
             for b in batches:
                 for i, p in enumerate(b.column("p").to_pylist()):
                     w = Words(unpacked_texts(b.column("t")[i].as_py(), b.column("o")[i].values))
                     train = ~b.column("h")[i].values.to_numpy(zero_copy_only=False)
-                    part = WordPart(w, heavy, fragments)
+                    part = WordPart(w, fragments)
                     taught = np.repeat(train, np.diff(w.first))
                     words += int(taught.sum())
                     texts += int(train.sum())
-                    counts += np.bincount(part.at[part.often & taught], minlength=len(heavy))[: len(heavy)]
-                    times = np.bincount(part.index, weights=taught[~part.often], minlength=len(part.place)).astype(np.int64)
+                    times = np.bincount(part.index, weights=taught, minlength=len(part.place)).astype(np.int64)
                     start = np.concatenate(([0], part.ends[:-1]))
                     some = np.flatnonzero(part.ends > start).tolist()
                     one, yes = np.array([p]), np.array([True])
                     packed = [_pack(part.place[start[f] : part.ends[f]], np.zeros(part.ends[f] - start[f], np.int64), times[start[f] : part.ends[f]], one, yes) for f in some]
                     yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(packed, pa.binary())], names=["f", "p"])
-            if texts or words:
-                some = np.flatnonzero(counts)
-                raw = np.concatenate((np.array([words, texts], np.int64), some, counts[some])).tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array([-1 - words % fragments], pa.int64()), pa.array([raw], pa.binary())], names=["f", "p"])
+            if texts:
+                yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int64()), pa.array([np.array([words, texts]).tobytes()], pa.binary())], names=["f", "p"])
 
-        def batch(kind, ids, n, p=None, f=None, v=None):
-            none = [None] * len(ids)
-            cols = [pa.array([kind] * len(ids), pa.int32()), pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(p or none, pa.int64()), pa.array(f or none, pa.int64()), pa.array(v or none, pa.binary())]
-            return pa.RecordBatch.from_arrays(cols, names=["kind", "id", "n", "p", "f", "v"])
+        def batch(kind, n, p=None, f=None, v=None):
+            cols = [pa.array([kind], pa.int32()), pa.array([n], pa.int64()), pa.array([p], pa.int64()), pa.array([f], pa.int64()), pa.array([v], pa.binary())]
+            return pa.RecordBatch.from_arrays(cols, names=["kind", "n", "p", "f", "v"])
 
         def count(batches):
             packed: dict[int, list[bytes]] = {}
@@ -636,38 +628,35 @@ class Scoring:
                     if f >= 0:
                         packed.setdefault(f, []).append(p)
                     else:
-                        raw = np.frombuffer(p, np.int64)
-                        k = (len(raw) - 2) // 2
-                        yield batch(3, [0], raw[:1])
-                        yield batch(4, [0], raw[1:2])
-                        yield batch(2, raw[2 : 2 + k], raw[2 + k :])
+                        words, texts = np.frombuffer(p, np.int64)
+                        yield batch(2, int(words))
+                        yield batch(3, int(texts))
             for f in sorted(packed):  # one at a time: a task may have drawn several
                 found = [_unpack(p) for p in packed.pop(f)]
-                places, at = np.unique(np.concatenate([x[0] for x in found]), return_inverse=True)
-                c = np.bincount(at, weights=np.concatenate([x[2] for x in found])).astype(np.int64)
-                yield batch(1, [0], [int((c > 0).sum())])
+                places, at = distinct_of(np.concatenate([x[0] for x in found]))
+                c = np.bincount(at, weights=np.concatenate([x[2] for x in found]), minlength=len(places)).astype(np.int64)
+                yield batch(1, int((c > 0).sum()))
                 ends = np.cumsum([len(x[0]) for x in found])
                 for x, y, z in zip(found, ends - [len(x[0]) for x in found], ends):
-                    yield batch(0, [0], [0], [int(x[1][0])], [f], [packed_numbers_of(c[at[y:z]])])
+                    yield batch(0, 0, int(x[1][0]), f, packed_numbers_of(c[at[y:z]]))
 
         cuts = parts.select("p", "h", "o", "t").mapInArrow(cut, "f long, p binary")
-        return cuts.repartition(fragments, "f").mapInArrow(count, "kind int, id long, n long, p long, f long, v binary")
+        return cuts.repartition(fragments, "f").mapInArrow(count, "kind int, n long, p long, f long, v binary")
 
-    def parted(self, heavy: np.ndarray) -> DataFrame:
+    def parted(self) -> DataFrame:
         """One row for some rows with about ASKED bytes of text: a number p, lists of their keys, folds and text
-        lengths, the texts compressed, and the number of their distinct words beside the frequent ones."""
+        lengths, and the texts compressed."""
 
         def run(batches):
             p = TaskContext.get().partitionId() << 32
             for part in text_parts(batches, "t", ASKED):
                 ends = pa.array([0, part.num_rows], pa.int32())
                 t, lengths = packed_texts(part.column("t"))
-                words = len(WordPart(Words(part.column("t")), heavy, 1).place)
                 lists = [pa.ListArray.from_arrays(ends, x) for x in (part.column("k"), part.column("h"), lengths)]
-                yield pa.RecordBatch.from_arrays([pa.array([p], pa.int64()), *lists, pa.array([t], pa.binary()), pa.array([words], pa.int64())], names=["p", "k", "h", "o", "t", "w"])
+                yield pa.RecordBatch.from_arrays([pa.array([p], pa.int64()), *lists, pa.array([t], pa.binary())], names=["p", "k", "h", "o", "t"])
                 p += 1
 
-        return self.rows.mapInArrow(run, "p long, k array<long>, h array<boolean>, o array<long>, t binary, w long")
+        return self.rows.mapInArrow(run, "p long, k array<long>, h array<boolean>, o array<long>, t binary")
 
     def asked(self, parts: DataFrame, trees: Trees) -> DataFrame:
         fragments = trees.fragments
@@ -683,9 +672,10 @@ class Scoring:
 
         return parts.select("p", "o", "t").mapInArrow(run, "p long, f long, v binary")
 
-    def scored(self, parts: DataFrame, answers: DataFrame, trees: int, fragments: int, sent) -> DataFrame:
+    def scored(self, parts: DataFrame, answers: DataFrame, trees: int, fragments: int, texts: int) -> DataFrame:
         """The rows of the parts with their scores; the answers to a part come before it: those of
         the trees' fragments, then those of the words'."""
+        stop, stop_seen = math.log10(texts + 0.5), int(texts > 0)
 
         def run(batches):
             held, counts = [], []
@@ -702,24 +692,17 @@ class Scoring:
                         held, counts = [], []
 
         def rows(keys, folds, texts, log, counts):
-            heavy, value, seen, stop, stop_seen = sent.value
             w = Words(texts)
-            n = len(w.first) - 1
-            part = WordPart(w, heavy, fragments)
+            n, index = len(w.first) - 1, WordPart(w, fragments).index
             text = np.repeat(np.arange(n), np.diff(w.first))
-            each, known = np.empty(len(text)), np.empty(len(text), bool)
-            if len(heavy):
-                each[part.often], known[part.often] = value[part.at[part.often]], seen[part.at[part.often]]
-            each[~part.often], known[~part.often] = np.log10(counts + 0.5)[part.index], (counts > 0)[part.index]
+            known = np.bincount(text, weights=(counts > 0)[index], minlength=n).astype(np.int64) + stop_seen
+            base = np.bincount(text, weights=np.log10(counts + 0.5)[index], minlength=n) + stop
             return pa.RecordBatch.from_arrays(
-                [
-                    keys, folds, pa.array(np.diff(w.first) + 1, pa.int64()), pa.array(np.bincount(text, weights=known, minlength=n).astype(np.int64) + int(stop_seen)),
-                    pa.array(np.bincount(text, weights=each, minlength=n) + stop), pa.array(log), pa.array(np.diff(w.offsets), pa.int64()),
-                ],
+                [keys, folds, pa.array(np.diff(w.first) + 1, pa.int64()), pa.array(known), pa.array(base), pa.array(log), pa.array(np.diff(w.offsets), pa.int64())],
                 names=["k", "h", "tokens", "known", "base", "score", "bytes"],
-            )
+            )
 
-        both = answers.unionByName(parts.drop("w").withColumn("f", F.lit(trees + fragments).cast("long")), allowMissingColumns=True)
+        both = answers.unionByName(parts.withColumn("f", F.lit(trees + fragments).cast("long")), allowMissingColumns=True)
         ordered = both.repartition("p").sortWithinPartitions("p", "f")
         return ordered.mapInArrow(run, "k long, h boolean, tokens long, known long, base double, score double, bytes long")
 

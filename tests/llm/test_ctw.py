@@ -198,7 +198,7 @@ def brute_scores(rows, trained):
 @pytest.mark.parametrize("small", [False, True])
 def test_scores_of_documents_against_brute_force(spark, monkeypatch, small):
     if small:  # many fragments and copies of them
-        for name, size in (("MODEL_FRAGMENT", 5000), ("FRAGMENT", 3000), ("ASKED", 60_000), ("ANSWERED", 2000), ("HELD_GRAMS", 20_000), ("HELD_WORDS", 5), ("PART", 30_000)):
+        for name, size in (("MODEL_FRAGMENT", 5000), ("FRAGMENT", 20_000), ("ASKED", 60_000), ("ANSWERED", 2000), ("HELD_GRAMS", 20_000), ("PART", 30_000)):
             monkeypatch.setattr(ctw, name, size)
     rows = [tuple(r) for r in sample(spark).select("doc_id", "text").where("doc_id < 100").collect()] + [(1000, None), (1001, "")]
     trained = {i for i, _ in rows if zlib.crc32(str(i).encode()) % 5 != 1}
