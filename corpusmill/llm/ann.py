@@ -1,10 +1,15 @@
 """Approximate nearest neighbours by a permutation index.
 
-Pivots are a bounded sample of the vectors.  Each vector is represented by its ``prefix``
-nearest pivots in order and posted, with its place, in those pivots' inverted files.  A query walks the
-files of its own pivots and ranks vectors by the footrule distance of the two orders (a pivot
-missing in one counts as place ``prefix``); the best ``share`` of each file block is reranked by
-exact distance, where members with the same two nearest pivots count as one.  The index is partitioned by vector: every block of it answers every query.
+Pivots are a bounded sample of the vectors.  Each vector is represented by its ``PREFIX``
+nearest pivots in order, and posted in the inverted files of the first ``posts`` of them.  A query goes to
+the files of its own nearest pivots only and ranks what they hold by the footrule distance of the two orders (a
+pivot missing in the query's counts as place ``asked``); the best ``share`` is reranked by exact distance.
+A vector met in several files counts in the first that it is posted in.  The files are a shuffle by
+pivot, with crowded ones in parts; vectors are read once to count them and once to post them, whatever
+the number of queries, and no query comes to the driver.
+
+The number of pivots grows with the square root of the rows (up to PIVOTS), and the files asked with the
+square root of the pivots, so that what a query visits grows slower than the rows.
 """
 
 from __future__ import annotations
@@ -16,8 +21,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Vectors of one block of the inverted files, and queries sent at a time.
-BLOCK, QUERIES = 8192, 4096
+#: Pivots at most, and places of a vector's order.
+PIVOTS, PREFIX = 4096, 16
+#: Vectors of one part of a file, on average at most; vectors and queries compared at a time; queries that one task holds for a part.
+CROWD, CHUNK, BLOCK, QUERIES = 65_536, 4096, 1024, 20_000
+#: Lengths of vectors that one table may mix.
+LENGTHS = 64
 
 
 def usable(vector: Column) -> Column:
@@ -48,123 +57,209 @@ def spread(points: np.ndarray, n: int) -> np.ndarray:
     return points[chosen]
 
 
-class Files:
-    """The inverted files of one block of vectors; equal ones are one member with all their ids."""
-
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, pivots: np.ndarray, prefix: int):
-        self.vectors, member = np.unique(vectors + 0.0, axis=0, return_inverse=True)
-        by = np.lexsort((ids, member.ravel()))
-        self.ids, self.prefix = ids[by], prefix
-        self.owned = np.searchsorted(member.ravel()[by], np.arange(len(self.vectors) + 1))
-        seen = orders(self.vectors, pivots, prefix)
-        order = np.argsort(seen.ravel(), kind="stable")
-        self.member, self.place = order // prefix, (order % prefix).astype(np.int64)
-        self.starts = np.searchsorted(seen.ravel()[order], np.arange(len(pivots) + 1))
-        cell = seen[:, 0].astype(np.int64) * len(pivots) + seen[:, min(1, prefix - 1)]
-        self.cell, self.cells = np.unique(cell, return_inverse=True)[1].ravel(), len(np.unique(cell))
-
-    def footrule(self, query: np.ndarray) -> np.ndarray:
-        """The footrule distance from the query's pivot order to every member."""
-        total = np.full(len(self.vectors), int((self.prefix - np.arange(len(query))).sum()), np.int64)
-        for at, pivot in enumerate(query.tolist()):
-            files = slice(self.starts[pivot], self.starts[pivot + 1])
-            total[self.member[files]] += np.abs(self.place[files] - at) - (self.prefix - at)
-        return total
-
-    def search(self, own: int, vector: np.ndarray, query: np.ndarray, k: int, share: float) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, distances) of the k nearest among the candidates; not ``own``."""
-        order = np.argsort(self.footrule(query), kind="stable")
-        # members with the same two nearest pivots count as one, so that a crowd takes no others' place
-        met = np.sort(np.unique(self.cell[order], return_index=True)[1])
-        take = max(8 * k + 1, math.ceil(share * self.cells))
-        found = order[: max(met[take], take)] if take < len(met) else order
-        d = np.sqrt(((self.vectors[found] - vector) ** 2).sum(axis=1))
-        near = np.argsort(d, kind="stable")[: k + 1]  # the k nearest, and one more if the query is among them
-        near = found[d <= d[near[-1]]]
-        # of equal vectors, the k + 1 smallest ids are all that can be among the k nearest
-        ids = [self.ids[self.owned[m] : min(self.owned[m + 1], self.owned[m] + k + 1)] for m in near]
-        d = np.repeat(np.sqrt(((self.vectors[near] - vector) ** 2).sum(axis=1)), [len(x) for x in ids])
-        ids = np.concatenate(ids)
-        d, ids = d[ids != own], ids[ids != own]
-        best = np.lexsort((ids, d))[:k]
-        return ids[best], d[best]
-
-
 def matrix(array, n: int) -> np.ndarray:
     return array.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, -1)
 
 
+def mixed(ids: np.ndarray, parts: int) -> np.ndarray:
+    """A part for each id, by a hash."""
+    x = (ids.astype(np.uint64) ^ (ids.astype(np.uint64) >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return ((x >> np.uint64(33)) % np.asarray(parts, np.uint64)).astype(np.int64)
+
+
+class Asked:
+    """Queries that came to one part of one file: ids, vectors and places of all pivots (``asked``: none)."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, orders: np.ndarray, pivots: int):
+        self.ids, self.vectors, self.n = ids, vectors, orders.shape[1]
+        self.place = np.full((len(ids), pivots), self.n, np.int16)
+        np.put_along_axis(self.place, orders.astype(np.int64), np.arange(self.n, dtype=np.int16)[None, :], axis=1)
+
+
+class Held:
+    """Members of one file that came together; equal vectors are one with all their ids."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, orders: np.ndarray, nth: np.ndarray):
+        vectors = vectors + 0.0  # -0.0 equals 0.0
+        _, first, index = np.unique(np.ascontiguousarray(vectors).view(f"V{vectors.dtype.itemsize * vectors.shape[1]}").ravel(), return_index=True, return_inverse=True)
+        by = np.lexsort((ids, index.ravel()))
+        self.ids, self.owned = ids[by], np.searchsorted(index.ravel()[by], np.arange(len(first) + 1))
+        self.vectors, self.orders, self.nth = vectors[first], orders[first].astype(np.int64), nth[first]
+        self.squares = (self.vectors**2).sum(axis=1)
+
+    def search(self, asked: Asked, block: slice, k: int, share: float):
+        """For each query of the block (its place, ids, distances, members visited)."""
+        place = asked.place[block]
+        total, seen = np.zeros((len(place), len(self.vectors)), np.int32), np.zeros((len(place), len(self.vectors)), bool)
+        for i in range(self.orders.shape[1]):
+            there = place[:, self.orders[:, i]]
+            total += np.abs(there.astype(np.int32) - i)
+            if i < self.nth.max(initial=0):  # met in an earlier file of its own
+                seen |= (there < asked.n) & (i < self.nth)[None, :]
+        copies = np.diff(self.owned)
+        points = asked.vectors[block]
+        far = self.squares[None, :] - 2 * points @ self.vectors.T + (points**2).sum(axis=1)[:, None]
+        for q in range(len(place)):
+            mine = np.flatnonzero(~seen[q])
+            if not len(mine):
+                continue
+            take = max(8 * k + 1, math.ceil(share * len(mine)))
+            best = mine if take >= len(mine) else mine[np.argpartition(total[q, mine], take - 1)[:take]]
+            own = asked.ids[block][q]
+            near = best if len(best) <= k + 1 else best[far[q, best] <= np.partition(far[q, best], k)[k] * (1 + 1e-9) + 1e-9]
+            # of equal vectors, the k + 1 smallest ids are all that can be among the k nearest
+            ids = [self.ids[self.owned[m] : min(self.owned[m + 1], self.owned[m] + k + 1)] for m in near]
+            d = np.repeat(np.sqrt(((self.vectors[near] - points[q]) ** 2).sum(axis=1)), [len(x) for x in ids])
+            ids = np.concatenate(ids)
+            d, ids = d[ids != own], ids[ids != own]
+            order = np.lexsort((ids, d))[:k]
+            yield block.start + q, ids[order], d[order], int(copies[mine].sum())
+
+
 def nearest(
-    vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding", every: int = 100, k: int = 10, pivots: int = 512, prefix: int = 128, share: float = 0.15, queries: DataFrame | None = None
+    vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding", every: int = 100, k: int = 10, pivots: int | None = None, posts: int = 4, asked: int | None = None, share: float = 0.7, queries: DataFrame | None = None
 ) -> DataFrame:
-    """The ``k`` nearest found of each query, by Euclidean distance in double precision: query_id, rank, vec_id, score.
+    """The ``k`` nearest found of each query, by Euclidean distance in double precision: query_id, rank,
+    vec_id, score, visited (rows that the query's files held).
 
     Queries: the rows whose key is divisible by ``every``, or the rows of ``queries`` (same
     columns); a row never finds its own key.  Fewer than k candidates give fewer rows; ties go to the smaller key.
-    Vectors that are null, zero or hold null or non-finite components, rows with null keys, and vectors
-    without the length of most pivots take no part.  Of repeated keys, queries take one row (the smallest
+    Vectors that are null, zero or hold null or non-finite components and rows with null keys
+    take no part.  Vectors of different lengths are apart, each length with its own index; over LENGTHS
+    of them are an error.  Of repeated keys, queries take one row (the smallest
     vector) and results one (the nearest).  Empty tables give no rows; other columns are ignored.
-    Of four times ``pivots`` vectors those farthest apart are pivots; these, and QUERIES queries at
-    a time, are all that is gathered.
+    Without ``pivots`` there are about four times the square root of the rows; without ``asked``
+    a query goes to four times the square root of the pivots' files.  Of four times as many vectors (by a hash
+    of the key) those farthest apart are pivots; these and the files' sizes are all that is gathered.
     """
     spark = vectors.sparkSession
     good = lambda df: df.select(F.col(key).cast("long").alias("k"), F.col(vector).cast("array<double>").alias("v")).where(F.col("k").isNotNull() & usable(F.col("v")))
     rows = good(vectors)
-    asked = good(queries) if queries is not None else rows.where(F.pmod("k", F.lit(every)) == 0)
-    sample = rows.orderBy(F.xxhash64("k"), "k", "v").limit(4 * pivots).collect()  # copies may be among them
-    schema = "query_id long, vec_id long, score double"
-    if not sample:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    sizes = [len(r["v"]) for r in sample]
-    dim = max(sorted(set(sizes)), key=sizes.count)
-    distinct = dict.fromkeys(tuple(r["v"]) for r in sample if len(r["v"]) == dim)
-    chosen = spark.sparkContext.broadcast(spread(np.array(list(distinct)), pivots))
-    prefix = min(prefix, len(chosen.value))
-    rows, asked = rows.where(F.size("v") == dim), asked.where(F.size("v") == dim)
-    blocks = max(1, math.ceil(asked.count() / QUERIES))
+    wanted = good(queries) if queries is not None else rows.where(F.pmod("k", F.lit(every)) == 0)
+    wanted = wanted.groupBy("k", F.size("v").alias("size")).agg(F.min("v").alias("v")).select("k", "v")
+    sizes = rows.groupBy(F.size("v").alias("size")).agg(F.count(F.lit(1)).alias("n")).orderBy("size").limit(LENGTHS + 1).collect()
+    if len(sizes) > LENGTHS:
+        raise ValueError(f"vectors of over {LENGTHS} lengths")
     found = None
-    for i in range(blocks):
-        part = asked if blocks == 1 else asked.where(F.pmod(F.xxhash64("k"), F.lit(blocks)) == i)
-        got = sorted((r["k"], r["v"]) for r in part.collect())
-        got = [r for at, r in enumerate(got) if not at or got[at - 1][0] != r[0]]
-        if not got:
-            continue
-        sent = spark.sparkContext.broadcast((np.array([r[0] for r in got]), np.array([r[1] for r in got])))
-
-        def run(batches, sent=sent):
-            ids, points = sent.value
-            asked_orders = orders(points, chosen.value, prefix)
-            best = [(np.empty(0, np.int64), np.empty(0))] * len(ids)
-            held, size = [], 0
-
-            def search():
-                files = Files(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]), chosen.value, prefix)
-                for q in range(len(ids)):
-                    found_ids, found_d = files.search(ids[q], points[q], asked_orders[q], k, share)
-                    both_ids, both_d = np.concatenate((best[q][0], found_ids)), np.concatenate((best[q][1], found_d))
-                    order = np.lexsort((both_ids, both_d))
-                    _, once = np.unique(both_ids[order], return_index=True)
-                    order = order[np.sort(once)][:k]
-                    best[q] = both_ids[order], both_d[order]
-
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                held.append((batch.column("k").to_numpy(), matrix(batch.column("v"), batch.num_rows)))
-                size += batch.num_rows
-                if size >= BLOCK:
-                    search()
-                    held, size = [], 0
-            if size:
-                search()
-            n = [len(x) for x, _ in best]
-            if sum(n):
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, n)), pa.array(np.concatenate([x for x, _ in best])), pa.array(np.concatenate([x for _, x in best]))], names=["query_id", "vec_id", "score"])
-
-        answer = rows.mapInArrow(run, schema)
-        found = answer if found is None else found.union(answer)
+    for r in sizes:
+        same = F.size("v") == r["size"]
+        part = _search(rows.where(same), wanted.where(same), r["n"], k, pivots, posts, asked, share)
+        found = part if found is None else found.unionAll(part)
     if found is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    once = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return once.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double, visited long")
+    once = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"), F.sum("n").alias("n"))
+    own = Window.partitionBy("query_id")
+    ranked = once.withColumns({"rank": F.row_number().over(own.orderBy("score", "vec_id")), "visited": F.sum("n").over(own)})
+    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", "visited")
+
+
+def _search(rows: DataFrame, wanted: DataFrame, n: int, k: int, pivots: int | None, posts: int, asked: int | None, share: float) -> DataFrame:
+    """(query_id, vec_id, score, n) of each query in each part of its files; n: what it visited there, in one of its rows."""
+    spark = rows.sparkSession
+    size = pivots or min(PIVOTS, max(16, 1 << round(math.log2(4 * math.sqrt(n)))))
+    sample = rows.orderBy(F.xxhash64("k"), "k", "v").limit(4 * size).collect()  # copies may be among them
+    chosen = spread(np.array(list(dict.fromkeys(tuple(r["v"]) for r in sample))), size)
+    size, dim = chosen.shape
+    posts, prefix = min(posts, size), min(PREFIX, size)
+    asked = min(size, asked or math.ceil(4 * math.sqrt(size)))
+    sent = spark.sparkContext.broadcast(chosen)
+
+    def count(batches):
+        held = np.zeros(size, np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                held += np.bincount(orders(matrix(batch.column("v"), batch.num_rows), sent.value, posts).ravel(), minlength=size)
+        at = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(held[at])], names=["f", "n"])
+
+    held = np.zeros(size, np.int64)
+    for r in rows.mapInArrow(count, "f long, n long").groupBy("f").agg(F.sum("n").alias("n")).collect():
+        held[r["f"]] = r["n"]
+    parts = spark.sparkContext.broadcast(np.maximum(1, -(-held // CROWD)))
+    sides = max(1, math.ceil(wanted.count() * asked / size / QUERIES))
+    names = ["f", "s", "side", "kind", "id", "nth", "v", "o"]
+    schema = "f int, s int, side int, kind int, id long, nth int, v binary, o binary"
+
+    def batch(f, s, side, kind, ids, nth, v, o):
+        ints = [pa.array(np.broadcast_to(x, len(ids)).astype(np.int32)) for x in (f, s, side, kind)]
+        return pa.RecordBatch.from_arrays([*ints, pa.array(ids), pa.array(np.broadcast_to(nth, len(ids)).astype(np.int32)), v, o], names=names)
+
+    def binary(values: np.ndarray) -> pa.Array:
+        values = np.ascontiguousarray(values)
+        return pa.FixedSizeBinaryArray.from_buffers(pa.binary(values.dtype.itemsize * values.shape[1]), len(values), [None, pa.py_buffer(values)]).cast(pa.binary())
+
+    def post(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, CHUNK):
+                piece = b.slice(at, CHUNK)
+                ids, v = piece.column("k").to_numpy(), matrix(piece.column("v"), piece.num_rows)
+                o = orders(v, sent.value, prefix)
+                raw, order = binary(v), binary(o.astype("<i2"))
+                for nth in range(posts):
+                    for side in range(sides):
+                        yield batch(o[:, nth], mixed(ids, parts.value[o[:, nth]]), side, 1, ids, nth, raw, order)
+
+    def ask(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                piece = b.slice(at, 256)
+                ids, v = piece.column("k").to_numpy(), matrix(piece.column("v"), piece.num_rows)
+                o = orders(v, sent.value, asked)
+                raw, order, side = binary(v), binary(o.astype("<i2")), mixed(ids, sides)
+                for i in range(asked):
+                    times = parts.value[o[:, i]]
+                    at_row = np.repeat(np.arange(len(ids)), times)
+                    s = np.arange(len(at_row)) - np.repeat(np.cumsum(times) - times, times)
+                    take = pa.array(at_row)
+                    yield batch(o[at_row, i], s, side[at_row], 0, ids[at_row], 0, raw.take(take), order.take(take))
+
+    def unpacked(b, kind, width):
+        data = b"".join(b.to_pylist())
+        return np.frombuffer(data, kind).reshape(-1, width)
+
+    def search(batches):
+        now, waiting, queries, members, n_members = None, [], None, [], 0
+
+        def compare():
+            held = Held(*(np.concatenate(x) for x in zip(*members)))
+            for start in range(0, len(queries.ids), BLOCK):
+                out = list(held.search(queries, slice(start, min(start + BLOCK, len(queries.ids))), k, share))
+                counts = [len(ids) for _, ids, _, _ in out]
+                if sum(counts):
+                    visited = np.zeros(sum(counts), np.int64)
+                    visited[np.concatenate(([0], np.cumsum(counts)[:-1]))[np.array(counts) > 0]] = [n for _, ids, _, n in out if len(ids)]
+                    cols = [np.repeat(queries.ids[[q for q, *_ in out]], counts), np.concatenate([x for _, x, _, _ in out]), np.concatenate([d for _, _, d, _ in out]), visited]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["query_id", "vec_id", "score", "n"])
+
+        for b in batches:
+            at = np.stack([b.column(c).to_numpy() for c in ("f", "s", "side", "kind")], axis=1)
+            ends = np.append(np.flatnonzero((at[1:] != at[:-1]).any(axis=1)) + 1, len(at)) if len(at) else []
+            start = 0
+            for end in ends:
+                group, kind, piece = tuple(at[start, :3]), at[start, 3], b.slice(start, end - start)
+                start = end
+                if group != now:
+                    if members and queries is not None:
+                        yield from compare()
+                    now, waiting, queries, members, n_members = group, [], None, [], 0
+                ids, v = piece.column("id").to_numpy(), unpacked(piece.column("v"), "<f8", dim)
+                if kind == 0:
+                    waiting.append((ids, v, unpacked(piece.column("o"), "<i2", asked)))
+                    continue
+                if waiting:
+                    queries, waiting = Asked(*(np.concatenate(x) for x in zip(*waiting)), size), []
+                if queries is None:  # nobody asks this part
+                    continue
+                members.append((ids, v, unpacked(piece.column("o"), "<i2", prefix), piece.column("nth").to_numpy()))
+                n_members += len(ids)
+                if n_members >= CHUNK:
+                    yield from compare()
+                    members, n_members = [], 0
+        if members and queries is not None:
+            yield from compare()
+
+    both = rows.mapInArrow(post, schema).unionAll(wanted.mapInArrow(ask, schema))
+    # of about CROWD vectors each, so that the number of tasks grows with the rows
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(n * posts * sides / CROWD))
+    ordered = both.repartition(tasks, "f", "s", "side").sortWithinPartitions("f", "s", "side", "kind")
+    return ordered.mapInArrow(search, "query_id long, vec_id long, score double, n long")

@@ -54,3 +54,35 @@ def test_recall_with_a_very_common_vector(spark):
     want = brute(ids, x, 25, 10)
     got = [(r["query_id"], r["vec_id"]) for r in nearest(df, every=25).collect()]
     assert sum(v in dict(want[q]) for q, v in got) >= 0.9 * len(got) == 0.9 * 1200
+
+
+def test_crowded_files_and_many_queries_in_parts(spark, monkeypatch):
+    from corpusmill.llm import ann
+
+    for name, size in (("CROWD", 100), ("CHUNK", 64), ("BLOCK", 7), ("QUERIES", 20)):
+        monkeypatch.setattr(ann, name, size)
+    df = sample(spark, "embeddings", "sf0.001")
+    rows = df.select("vec_id", "embedding").collect()
+    want = brute(np.array([r[0] for r in rows]), np.array([r[1] for r in rows], np.float64), 5, 10)
+    got = nearest(df, every=5).collect()
+    assert sum(r["vec_id"] in dict(want[r["query_id"]]) for r in got) >= 0.9 * sum(map(len, want.values()))
+    assert {len([r for r in got if r["query_id"] == q]) for q in want} == {10}
+
+
+def test_visited_rows_grow_slower_than_rows(spark):
+    rng = np.random.default_rng(2)
+    shares = []
+    for n in (2000, 16000):
+        x = rng.normal(size=(n, 32)) + 3 * rng.normal(size=(40, 32))[np.arange(n) % 40]
+        df = spark.createDataFrame([(int(i), [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+        got = nearest(df, every=200).collect()
+        want = brute(np.arange(n), x, 200, 10)
+        assert sum(r["vec_id"] in dict(want[r["query_id"]]) for r in got) >= 0.9 * sum(map(len, want.values()))
+        shares.append(np.mean([r["visited"] for r in got]) / n)
+    assert shares[1] < 0.7 * shares[0] < 0.7
+
+
+def test_lengths_are_apart(spark):
+    rows = [(0, [1.0, 0.0]), (1, [0.0, 1.0]), (100, [1.0, 0.0, 0.0]), (3, [0.0, 0.0, 1.0]), (200, [5.0])]
+    got = [(r["query_id"], r["vec_id"]) for r in nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()]
+    assert sorted(got) == [(0, 1), (100, 3)]
