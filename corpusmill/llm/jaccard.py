@@ -6,7 +6,9 @@ fragment by itself and summed for each document or pair.  Steps:
 
 1. Texts with the same n-gram set become one class, which its smallest key stands for.
 2. For each class, the fragments count the n-grams that any other class has.  Linked
-   texts share ``percent`` of either one's n-grams at least, so classes with fewer are done.
+   texts share ``percent`` of either one's n-grams at least, so classes with fewer are done.  An n-gram that
+   several classes in one batch of texts have counts for them there and then, and sends two of them
+   to its fragment: so the most frequent n-grams cost least.
 3. Those left are linked with the most central text that has the same MinHash value, under
    several functions, where the summed overlaps say so.  A group of copies so becomes one component by
    links to a few members, not by all its pairs.
@@ -34,8 +36,8 @@ from pyspark.sql import functions as F
 from .components import connected
 from .shared import Words, broadcast_if_small, distinct_sorted, materialize, mix, text_parts
 
-#: N-grams that a fragment holds on average, and fragments at least: of all texts, and of those left.
-FRAGMENT, LEAST, LEAST_LEFT = 2_000_000, 64, 16
+#: N-grams that a fragment holds on average.
+FRAGMENT = 2_000_000
 #: Bytes of text that one step works on.
 PART = 1 << 20
 FUNCTIONS = 8
@@ -82,6 +84,11 @@ def _unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(steps, dtype=np.uint64), np.frombuffer(raw, np.int64, k, 24 + 4 * n + width * n)[index]
 
 
+def _length(raw: bytes) -> int:
+    """How many places were packed."""
+    return int(np.frombuffer(zstandard.ZstdDecompressor().decompress(raw)[:8], "<i8")[0])
+
+
 def _runs(keys: np.ndarray) -> np.ndarray:
     """Starts of the runs of equal values in a sorted array."""
     return np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.empty(0, np.int64)
@@ -101,24 +108,24 @@ class Join:
     def __init__(self, docs: DataFrame, *, key: str, text: str, k: int, percent: int):
         if not 0 < percent <= 100:
             raise ValueError("percent: over 0, up to 100")
-        self.rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).cast("string").alias("t"))
+        self.rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).cast("string").alias("t"), F.xxhash64(F.col(text).cast("string")).alias("h"))
         self.key, self.size, self.percent, self.functions = key, k, percent, FUNCTIONS
 
     def run(self) -> DataFrame:
         return self.placed().select(F.col("k").alias(self.key), F.col("n").alias("n_shingles"), "component_id")
 
     def placed(self) -> DataFrame:
-        """(k, n, a, b, component_id) of each row; leaves the segments and the linked classes' components, if any."""
+        """(k, n, a, b, h, component_id) of each row; leaves the segments and the linked classes' components, if any."""
         self.left = self.parts = None
         rows = materialize(self.signed(), "signatures")
         classes = rows.where("n > 0 AND k IS NOT NULL").groupBy("a", "b", "n").agg(F.min("k").alias("rep"))
         classes = materialize(classes, "classes")
         total = classes.agg(F.sum("n")).first()[0] or 0
-        left = materialize(self.shared_enough(classes, max(LEAST, math.ceil(total / FRAGMENT))), "left")
+        left = materialize(self.shared_enough(classes, max(1, math.ceil(total / FRAGMENT))), "left")
         inside = left.agg(F.sum("n")).first()[0] or 0
         if inside:
             repeats = rows.groupBy("k").count().where("k IS NOT NULL AND count > 1").limit(1).count() > 0
-            segments = materialize(self.segments(left, max(LEAST_LEFT, math.ceil(inside / FRAGMENT)), repeats), "segments")
+            segments = materialize(self.segments(left, max(1, math.ceil(inside / FRAGMENT)), repeats), "segments")
             links = materialize(self.linked(self.stars(segments), segments), "star_links")
             parts = connected(links)
             more = self.linked(materialize(self.between(segments, parts), "candidates"), segments)
@@ -133,7 +140,7 @@ class Join:
         named = classes.select(F.col("a").alias("x"), F.col("b").alias("y"), F.col("n").alias("z"), "c")
         own = F.when(F.col("k").isNotNull(), F.coalesce("c", "k"))
         return rows.join(named, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")) & (F.col("n") == F.col("z")), "left").select(
-            "k", "n", "a", "b", own.alias("component_id")
+            "k", "n", "a", "b", "h", own.alias("component_id")
         )
 
     def counted(self) -> DataFrame:
@@ -182,7 +189,7 @@ class Join:
             if pieces:
                 yield _linked_rows(pieces, percent)
 
-        parted = rows.repartition(max(LEAST_LEFT, math.ceil(total / FRAGMENT)), "l", "i", "j").sortWithinPartitions("l", "i", "j")
+        parted = rows.repartition(max(1, math.ceil(total / FRAGMENT)), "l", "i", "j").sortWithinPartitions("l", "i", "j")
         return parted.mapInArrow(count, "o long, others long").groupBy("o").agg(F.sum("others").alias("others"))
 
     def signed(self) -> DataFrame:
@@ -192,67 +199,102 @@ class Join:
             for part in text_parts(batches, "t", PART):
                 sets = shingle_sets(part, size)
                 a, b = signatures(sets)
-                yield pa.RecordBatch.from_arrays([part.column("k"), pa.array([len(s) for s in sets], pa.int64()), pa.array(a), pa.array(b)], names=["k", "n", "a", "b"])
+                yield pa.RecordBatch.from_arrays([part.column("k"), pa.array([len(s) for s in sets], pa.int64()), pa.array(a), pa.array(b), part.column("h")], names=["k", "n", "a", "b", "h"])
 
-        return self.rows.mapInArrow(run, "k long, n long, a long, b long")
+        return self.rows.mapInArrow(run, "k long, n long, a long, b long, h long")
 
     def shared_enough(self, classes: DataFrame, fragments: int) -> DataFrame:
-        """Step 2: (a, rep, n, u: n-grams that no other has) of the classes that share ``percent`` of their n-grams with any others."""
+        """Step 2: (a, rep, n, u: n-grams that no other has) of the classes that share ``percent`` of their n-grams with any others.
+
+        What a batch credits to a class counts if it holds the class's own representative, so copies in
+        other batches add nothing; a class may still be credited twice for an n-gram that only one of them could settle, so
+        the count is never too small and at times too large.  It only says what is looked at further.
+        """
         width = self.size
 
         def cut(batches):
-            sets, owners, size = [], [], 0
+            sets, owners, keys, size = [], [], [], 0
 
             def flush():
                 ids = np.array(owners, np.int64)
-                _, once = np.unique(ids, return_index=True)  # copies in one batch count once
+                # copies in one batch count once, by the smallest key
+                order = np.lexsort((np.array(keys, np.int64), ids))
+                once = order[_runs(ids[order])]
                 every = np.concatenate([sets[i] for i in once])
-                who = np.repeat(ids[once], [len(sets[i]) for i in once])
+                who = np.repeat(np.arange(len(once)), [len(sets[i]) for i in once])
                 order = np.argsort(every, kind="stable")
-                placed, who = _placed(every[order], fragments), who[order]
+                every, who = every[order], who[order]
+                start = _runs(every)
+                per = np.diff(np.append(start, len(every)))
+                here = np.repeat(per > 1, per)
+                credit = np.bincount(who[here], minlength=len(once))
+                # settled n-grams go on with two classes, the others with their own
+                two = np.zeros(len(every), bool)
+                two[start[per > 1]] = True
+                two[start[per > 1] + 1] = True
+                sent = ~here | two
+                placed = _placed(every[sent], fragments)
+                mine, settled = ids[once][who[sent]], here[sent]
                 f = (placed >> np.uint64(32)).astype(np.int64)
+                low = placed & np.uint64(0xFFFFFFFF)
                 start = _runs(f)
                 ends = np.append(start[1:], len(f))
-                packed = [_pack(placed[x:y] & np.uint64(0xFFFFFFFF), who[x:y]) for x, y in zip(start, ends)]
-                return pa.RecordBatch.from_arrays([pa.array(f[start]), pa.array(packed, pa.binary())], names=["f", "p"])
+                both = [(slice(x, y), settled[x:y]) for x, y in zip(start, ends)]
+                packed = [_pack(low[at][~done], mine[at][~done]) for at, done in both]
+                known = [_pack(low[at][done], mine[at][done]) for at, done in both]
+                some = np.flatnonzero(credit)
+                table = np.stack((ids[once][some], np.array(keys, np.int64)[once][some], credit[some])).astype("<i8").tobytes()
+                where = [*f[start].tolist(), int(ids[once][0] % fragments)]
+                return pa.RecordBatch.from_arrays([pa.array(where, pa.int64()), pa.array([*packed, None], pa.binary()), pa.array([*known, None], pa.binary()), pa.array([None] * len(packed) + [table], pa.binary())], names=["f", "p", "q", "c"])
 
             for part in text_parts(batches, "t", PART):
                 new = shingle_sets(part, width)
                 ids, _ = signatures(new)
-                for s, i in zip(new, ids.tolist()):
+                for s, i, key in zip(new, ids.tolist(), part.column("k").to_pylist()):
                     if len(s):
                         sets.append(s)
                         owners.append(i)
+                        keys.append(key)
                         size += len(s)
                 if size >= FRAGMENT // 2:
                     yield flush()
-                    sets, owners, size = [], [], 0
+                    sets, owners, keys, size = [], [], [], 0
             if size:
                 yield flush()
 
         def count(batches):
-            packed: dict[int, list[bytes]] = {}
+            packed: dict[int, list[tuple[bytes, bytes]]] = {}
             for batch in batches:
-                for f, p in zip(batch.column("f").to_pylist(), batch.column("p").to_pylist()):
-                    packed.setdefault(f, []).append(p)
+                for f, p, q, c in zip(*(batch.column(x).to_pylist() for x in "fpqc")):
+                    if c is None:
+                        packed.setdefault(f, []).append((p, q))
+                    else:
+                        o, k, s = np.frombuffer(c, "<i8").reshape(3, -1)
+                        yield pa.RecordBatch.from_arrays([pa.array(o), pa.array(k), pa.array(s)], names=["o", "k", "s"])
             for f in sorted(packed):  # one at a time: a task may have drawn several
-                places, owners = (np.concatenate(x) for x in zip(*map(_unpack, packed.pop(f))))
+                found = packed.pop(f)
+                places, owners = (np.concatenate(x) for x in zip(*(_unpack(x) for both in found for x in both)))
+                open_ = np.concatenate([np.full(_length(x), i == 0) for both in found for i, x in enumerate(both)])
                 order = np.argsort(places, kind="stable")
-                places, owners = places[order], owners[order]
+                places, owners, open_ = places[order], owners[order], open_[order]
                 start = _runs(places)
+                if not len(start):
+                    continue
                 many = np.minimum.reduceat(owners, start) != np.maximum.reduceat(owners, start)
-                many = _spread(start, len(places), many)
+                many = _spread(start, len(places), many) & open_
                 places, owners = places[many], owners[many]
                 order = np.lexsort((owners, places))
                 places, owners = places[order], owners[order]
                 once = np.ones(len(places), bool)
                 once[1:] = (places[1:] != places[:-1]) | (owners[1:] != owners[:-1])
                 ids, n = np.unique(owners[once], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n.astype(np.int64))], names=["o", "s"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([None] * len(ids), pa.int64()), pa.array(n.astype(np.int64))], names=["o", "k", "s"])
 
-        cuts = self.rows.where("k IS NOT NULL AND t IS NOT NULL").mapInArrow(cut, "f long, p binary")
-        counts = cuts.repartition(fragments, "f").mapInArrow(count, "o long, s long").groupBy("o").agg(F.sum("s").alias("s"))
-        return classes.join(counts, classes["a"] == counts["o"]).where(F.col("s") * 100 >= F.col("n") * self.percent).select("a", "rep", "n", (F.col("n") - F.col("s")).alias("u"))
+        cuts = self.rows.where("k IS NOT NULL AND t IS NOT NULL").select("k", "t").mapInArrow(cut, "f long, p binary, q binary, c binary")
+        counts = cuts.repartition(fragments, "f").mapInArrow(count, "o long, k long, s long").groupBy("o", "k").agg(F.sum("s").alias("s"))
+        own = classes.join(counts, (classes["a"] == counts["o"]) & (F.col("k").isNull() | (F.col("k") == F.col("rep"))))
+        sums = own.groupBy("a", "rep", "n").agg(F.least(F.sum("s"), F.col("n")).alias("s"))
+        return sums.where(F.col("s") * 100 >= F.col("n") * self.percent).select("a", "rep", "n", (F.col("n") - F.col("s")).alias("u"))
 
     def segments(self, left: DataFrame, fragments: int, repeats: bool) -> DataFrame:
         """The n-grams of the classes left: a row (f, k, n, g, m, u) for each fragment that has any.
@@ -323,7 +365,7 @@ class Join:
         percent = self.percent
         named = segments.join(parts, segments["k"] == parts["id"], "left").select("f", "k", "n", "g", F.coalesce("label", "k").alias("c"))
         named = materialize(named, "named_segments")
-        fragments = max(LEAST_LEFT, named.select(F.max("f")).first()[0] + 1)
+        fragments = named.select(F.max("f")).first()[0] + 1
 
         def postings(batches, extra=()):
             cols = {c: [] for c in ("k", "n", "c", "g", *extra)}
@@ -471,12 +513,34 @@ def similar_links(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k
 
 
 def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose key is their component's id, with all their columns.
+    """One row of each component of ``docs``, with all its columns: that with the smallest key.
 
-    Of repeated rows with one key, all stay; rows with a null key or without words stay.
+    Of several rows with the smallest key, that with the smallest hash of its text stays, and of rows
+    equal in key and text that with the smallest other columns; rows of one key whose texts don't
+    link are components of their own.  Rows with a null key or without words stay, all of them; an empty
+    table stays empty.
     """
-    found = similar_components(docs, key=key, text=text, percent=percent).where(f"component_id <> `{key}`").select(F.col(key).alias("gone__")).distinct()
-    return docs.join(materialize(found, "gone"), docs[key].cast("long") == F.col("gone__"), "left_anti")
+    join = Join(docs, key=key, text=text, k=5, percent=percent)
+    placed = materialize(join.placed(), "placed").where("k IS NOT NULL AND n > 0")
+    if not placed.groupBy("k").agg(F.count(F.lit(1)).alias("m")).where("m > 1").limit(1).count():
+        found = placed.where("component_id <> k").select(F.col("k").alias("gone__"))
+        return docs.join(materialize(found, "gone"), docs[key].cast("long") == F.col("gone__"), "left_anti")
+    # a component goes by its label here, as several may share their smallest key
+    if join.parts is not None:
+        placed = placed.join(join.parts, placed["a"] == join.parts["id"], "left").withColumn("g", F.coalesce("label", "a"))
+    else:
+        placed = placed.withColumn("g", F.col("a"))
+    rows = materialize(placed.groupBy("g", "k", "h").agg(F.count(F.lit(1)).alias("m")), "texts_of_keys")
+    firsts = rows.groupBy("g").agg(F.min(F.struct("k", "h")).alias("x")).select(F.col("x.k").alias("k"), F.col("x.h").alias("h")).distinct()
+    gone = rows.join(firsts, ["k", "h"], "left_anti").select(F.col("k").alias("k__"), F.col("h").alias("h__"))
+    copies = rows.join(firsts, ["k", "h"]).groupBy("k", "h").agg(F.sum("m").alias("m")).where("m > 1").select(F.col("k").alias("k__"), F.col("h").alias("h__"))
+    gone, copies = materialize(gone, "gone"), broadcast_if_small(materialize(copies, "copies"))
+    on = (docs[key].cast("long") == F.col("k__")) & (F.xxhash64(docs[text].cast("string")) == F.col("h__"))
+    left = docs.join(broadcast_if_small(gone), on, "left_anti")
+    plain = [f.name for f in docs.schema.fields if f.dataType.typeName() not in ("map", "variant", "array", "struct")]
+    least = F.min_by(F.struct(*docs.columns), F.struct(*plain))
+    one = left.join(copies, on).groupBy("k__", "h__").agg(least.alias("row__")).select("row__.*")
+    return left.join(copies, on, "left_anti").unionByName(one)
 
 
 def components_sql(percent: int = 80) -> str:

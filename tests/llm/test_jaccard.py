@@ -108,3 +108,23 @@ def test_links_inside_components_are_counted(spark, monkeypatch):
 def test_no_links_to_count(spark):
     assert counted(spark, [(1, "a b c"), (2, "d e"), (2, "d e"), (3, None)]) == [(1, 1, 0), (2, 2, 1), (2, 2, 1), (3, 3, 0)]
     assert jaccard.similar_links(docs(spark, [])).count() == 0
+
+
+def test_one_of_each_leaves_one_of_repeated_rows(spark):
+    text, other = " ".join(f"w{i}" for i in range(40)), "other words here now and more of them still"
+    rows = [(1, text), (1, text), (2, text), (8, "one two three"), (8, "one two three"), (8, other), (8, other + " end"), (9, other), (None, text), (None, text), (3, ""), (3, "")]
+    kept = sorted(((r["doc_id"] or -1, r["text"]) for r in jaccard.one_of_each(docs(spark, rows)).collect()), key=str)
+    assert len(kept) == 7 and kept.count((1, text)) == 1 and kept.count((8, "one two three")) == 1 and kept.count((-1, text)) == 2 and kept.count((3, "")) == 2
+    assert sum(t.startswith(other) for _, t in kept) == 1
+    again = jaccard.one_of_each(docs(spark, [(i, t) for i, t in kept if i > 0]))
+    assert again.count() == 5
+    assert jaccard.one_of_each(docs(spark, [])).count() == 0
+
+
+def test_frequent_ngrams_in_many_batches(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "FRAGMENT", 400)
+    monkeypatch.setattr(jaccard, "PART", 2000)
+    shared = " ".join(f"s{i}" for i in range(30))
+    rows = near_copies(60, 6, [0, 1, 2, 4]) + [(50_000 + i, shared + " " + " ".join(f"o{i}x{j}" for j in range(r))) for i, r in enumerate([3, 4, 5, 6, 20, 40] * 5)]
+    rows += [(60_000 + i, t) for i, (_, t) in enumerate(rows[:40])]
+    assert run(spark, rows) == brute(rows)
