@@ -54,7 +54,8 @@ def rake(cells: DataFrame, targets: Mapping[str, Mapping[str, float] | None], *,
     """Cells (dimensions, tokens) with ``factor``, the raked weight for each token.
 
     A dimension without targets gets its observed shares to the power ``alpha``.  A value
-    without a target gets 0.  All cells are in one partition, so the rounds shuffle nothing.
+    without a target gets 0.  ``goal_*``: the margins aimed at, ``w``: the tokens reached in weight.  All cells are in
+    one partition, so the rounds shuffle nothing.
     """
     cells = cells.coalesce(1)
     whole = Window.partitionBy(F.lit(0))
@@ -72,16 +73,30 @@ def rake(cells: DataFrame, targets: Mapping[str, Mapping[str, float] | None], *,
         for d in DIMENSIONS:
             held = F.sum("w").over(Window.partitionBy(d))
             cells = cells.withColumn("w", F.when(held > 0, F.col("w") * F.col(f"g_{d}") / held).otherwise(F.lit(0.0)))
-    return cells.select(*DIMENSIONS, "tokens", F.when(F.col("tokens") > 0, F.col("w") / F.col("tokens")).otherwise(F.lit(0.0)).alias("factor"))
+    return cells.select(*DIMENSIONS, "tokens", F.when(F.col("tokens") > 0, F.col("w") / F.col("tokens")).otherwise(F.lit(0.0)).alias("factor"), "w", *[F.col(f"g_{d}").alias(f"goal_{d}") for d in DIMENSIONS])
 
 
-def calibrated(docs: DataFrame, targets: Mapping[str, Mapping[str, float] | None] | None = None, *, alpha: float = 0.9, rounds: int = 8, text: str = "text", budget: float | None = None) -> DataFrame:
+def margin_error(raked: DataFrame) -> float:
+    """The largest difference between a margin reached and its goal, in shares; 0 without cells."""
+    worst = 0.0
+    whole = raked.agg(F.sum("w")).first()[0]
+    for d in DIMENSIONS if whole else ():
+        sums = raked.groupBy(d).agg(F.sum("w").alias("s"), F.first(f"goal_{d}").alias("g"))
+        worst = max(worst, sums.agg(F.max(F.abs(F.col("s") / F.lit(whole) - F.col("g")))).first()[0] or 0.0)
+    return worst
+
+
+def calibrated(docs: DataFrame, targets: Mapping[str, Mapping[str, float] | None] | None = None, *, alpha: float = 0.9, rounds: int = 8, text: str = "text", budget: float | None = None, tolerance: float = 0.01) -> DataFrame:
     """Cells with ``probability``: the factor over the largest, so that nothing is drawn twice.
 
     The share of tokens drawn from each source, language and topic then meets its target, and
     the sample is the largest that can do so without repeats: its size hangs on the cell with
     the largest factor alone.  With ``budget`` the factors are scaled so that the tokens expected
     are ``budget`` times those of ``docs``; a probability over 1 then stands for copies.
+
+    Rounds are doubled, up to 8 times as many, until every margin is within ``tolerance`` of its goal.  Targets that can't be met
+    together, and a target over 0 for a value that no row has, are an error; shares to the power ``alpha`` that can't be met are
+    met as far as they can.
     """
     if budget is not None and not budget > 0:
         raise ValueError("budget: over 0")
@@ -89,7 +104,20 @@ def calibrated(docs: DataFrame, targets: Mapping[str, Mapping[str, float] | None
     n = found.count()
     if n > MAX_CELLS:
         raise ValueError(f"{n} cells of source, language and topic; {MAX_CELLS} at most")
-    raked = rake(found, targets or {}, alpha=alpha, rounds=rounds)
+    for d, goals in (targets or {}).items():
+        if goals and n:
+            there = {r[0] for r in found.where(F.col(d).isin(*goals)).select(d).distinct().collect()}
+            if absent := sorted(v for v, share in goals.items() if share > 0 and v not in there):
+                raise ValueError(f"no row has the {d} {', '.join(absent)}, which has a target")
+    most = 8 * rounds
+    while True:
+        raked = materialize(rake(found, targets or {}, alpha=alpha, rounds=rounds), "raked")
+        error = margin_error(raked)
+        if error <= tolerance or 2 * rounds > most:
+            break
+        rounds *= 2
+    if error > tolerance and any((targets or {}).values()):
+        raise ValueError(f"the targets can't be met together: a margin is off by {error:.3f} after {rounds} rounds")
     whole = Window.partitionBy(F.lit(0))
     if budget is None:
         top = F.max("factor").over(whole)

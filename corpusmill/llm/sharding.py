@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .shared import materialize
 
-#: Rows of one key that one task numbers without being split.
+#: Rows of one bucket that one task numbers without being split.
 CROWD = 1_000_000
 
 
@@ -61,12 +61,16 @@ def shard_manifest(docs: DataFrame, n_shards: int = 40, *, key: str = "doc_id",
     """
     equal = dict.fromkeys(range(n_shards), 1.0)
     held = record_key(docs[key])
-    repeats = docs.groupBy(held.alias("k")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD).limit(1).count() > 0
     bucket = F.pmod(F.xxhash64(held), F.lit(buckets)) * F.lit(parts)
-    if repeats:  # rows of one key spread over parts by text; equal rows by size too are one part
-        bucket = bucket + F.pmod(F.xxhash64(F.coalesce(docs[text].cast("string"), F.lit(""))), F.lit(parts))
-    place = [rendezvous(held, equal).alias("shard"), bucket.cast("int").alias("bucket")]
-    counted = materialize(docs.select(*place).groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n")), "slots").coalesce(1)
+
+    def counts(bucket: Column) -> tuple[list[Column], DataFrame]:
+        place = [rendezvous(held, equal).alias("shard"), bucket.cast("int").alias("bucket")]
+        return place, materialize(docs.select(*place).groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n")), "slots").coalesce(1)
+
+    place, counted = counts(bucket)
+    most, mean = counted.agg(F.max("n"), F.avg("n")).first()
+    if most is not None and most > max(CROWD, 4 * mean):  # a crowded key: its rows spread over parts by text
+        place, counted = counts(bucket + F.pmod(F.xxhash64(F.coalesce(docs[text].cast("string"), F.lit(""))), F.lit(parts)))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     base = counted.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     body = F.coalesce(docs[text].cast("string"), F.lit(""))

@@ -6,6 +6,8 @@ Words are ``[^\\x20\\x09-\\x0D]+`` over UTF-8 bytes after lower-casing A-Z.  All
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -18,7 +20,8 @@ _OWN: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a temporary one of its own in local mode only."""
+    """The folder in ``spark.checkpoint.dir``; a temporary one of its own in local mode only, which
+    goes when Python ends."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base
@@ -26,12 +29,30 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if app not in _OWN:
-        _OWN[app] = "file://" + tempfile.mkdtemp(prefix="corpusmill-")
+        folder = tempfile.mkdtemp(prefix="corpusmill-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _OWN[app] = "file://" + folder
     return _OWN[app]
 
 
+def written_dir(spark: SparkSession) -> str:
+    """Where this application's intermediate tables and packages lie."""
+    return f"{shared_dir(spark).rstrip('/')}/corpusmill/{spark.sparkContext.applicationId}"
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/corpusmill/{uuid.uuid4().hex}/{name}"
+    return f"{written_dir(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def remove_written(spark: SparkSession) -> bool:
+    """Delete all that this application's operators have written between their steps.
+
+    Results that haven't been read or written elsewhere yet can't be read any more, so this is for the end of
+    a run.  Says whether there was anything.
+    """
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(written_dir(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
