@@ -1 +1,28 @@
-"""A Spark-native engine that prepares, scores and evaluates text data."""
+"""Preparation, scoring and evaluation of conversational text data on Spark."""
+
+from __future__ import annotations
+
+
+def ship(spark) -> str:
+    """Send this package to the executors of a running session, for clusters that don't have it
+    installed; operators with Python steps need it there.  Returns the archive's path on the driver.
+
+    Once for each session is enough; a second call sends nothing.
+    """
+    import os
+    import tempfile
+    import zipfile
+
+    home = os.path.dirname(os.path.abspath(__file__))
+    name = f"corpusmill-{spark.sparkContext.applicationId}.zip"
+    path = os.path.join(tempfile.gettempdir(), name)
+    if not os.path.exists(path):
+        with zipfile.ZipFile(path + ".part", "w") as z:
+            for folder, _, files in os.walk(home):
+                for f in sorted(files):
+                    if f.endswith(".py"):
+                        full = os.path.join(folder, f)
+                        z.write(full, os.path.relpath(full, os.path.dirname(home)))
+        os.replace(path + ".part", path)
+        spark.sparkContext.addPyFile(path)
+    return path
