@@ -38,6 +38,8 @@ from .shared import Words, broadcast_if_small, distinct_sorted, materialize, mix
 
 #: N-grams that a fragment holds on average.
 FRAGMENT = 2_000_000
+#: Classes whose sums one task adds up, on average, and sums that a task holds before it passes them on; ANY: no key.
+CLASSES, SUMS, ANY = 20_000, 1_000_000, -(1 << 63)
 #: Bytes of text that one step works on.
 PART = 1 << 20
 FUNCTIONS = 8
@@ -84,6 +86,25 @@ def _unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(steps, dtype=np.uint64), np.frombuffer(raw, np.int64, k, 24 + 4 * n + width * n)[index]
 
 
+def _summed(tables: list[np.ndarray]) -> np.ndarray:
+    """(class, key, sum) rows with one row for each class and key."""
+    o, k, s = np.concatenate(tables, axis=1)
+    order = np.lexsort((k, o))
+    o, k, s = o[order], k[order], s[order]
+    start = np.flatnonzero(np.concatenate(([True], (o[1:] != o[:-1]) | (k[1:] != k[:-1])))) if len(o) else np.empty(0, np.int64)
+    return np.stack((o[start], k[start], np.add.reduceat(s, start) if len(o) else s))
+
+
+def _sums_by_bucket(table: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """(b, p): the rows of each bucket of classes, packed."""
+    b = (np.ascontiguousarray(table[0]).view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(b, kind="stable")
+    start = _runs(b[order])
+    ends = np.append(start[1:], len(b))
+    packed = [zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(table[:, order[x:y]]).astype("<i8").tobytes()) for x, y in zip(start, ends)]
+    return pa.RecordBatch.from_arrays([pa.array(b[order][start], pa.int64()), pa.array(packed, pa.binary())], names=["b", "p"])
+
+
 def _length(raw: bytes) -> int:
     """How many places were packed."""
     return int(np.frombuffer(zstandard.ZstdDecompressor().decompress(raw)[:8], "<i8")[0])
@@ -264,13 +285,13 @@ class Join:
 
         def count(batches):
             packed: dict[int, list[tuple[bytes, bytes]]] = {}
+            held, size = [], 0
             for batch in batches:
                 for f, p, q, c in zip(*(batch.column(x).to_pylist() for x in "fpqc")):
                     if c is None:
                         packed.setdefault(f, []).append((p, q))
                     else:
-                        o, k, s = np.frombuffer(c, "<i8").reshape(3, -1)
-                        yield pa.RecordBatch.from_arrays([pa.array(o), pa.array(k), pa.array(s)], names=["o", "k", "s"])
+                        held.append(np.frombuffer(c, "<i8").reshape(3, -1))
             for f in sorted(packed):  # one at a time: a task may have drawn several
                 found = packed.pop(f)
                 places, owners = (np.concatenate(x) for x in zip(*(_unpack(x) for both in found for x in both)))
@@ -288,10 +309,31 @@ class Join:
                 once = np.ones(len(places), bool)
                 once[1:] = (places[1:] != places[:-1]) | (owners[1:] != owners[:-1])
                 ids, n = np.unique(owners[once], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([None] * len(ids), pa.int64()), pa.array(n.astype(np.int64))], names=["o", "k", "s"])
+                held.append(np.stack((ids, np.full(len(ids), ANY), n)))
+                size += len(ids)
+                if size >= SUMS:
+                    yield _sums_by_bucket(_summed(held), buckets)
+                    held, size = [], 0
+            if held:
+                yield _sums_by_bucket(_summed(held), buckets)
 
+        def total(batches):
+            held, waiting, size = np.empty((3, 0), np.int64), [], 0
+            for batch in batches:
+                for raw in batch.column("p").to_pylist():
+                    waiting.append(np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), "<i8").reshape(3, -1))
+                    size += waiting[-1].shape[1]
+                    if size >= max(SUMS, held.shape[1]):
+                        held, waiting, size = _summed([held, *waiting]), [], 0
+            o, k, s = _summed([held, *waiting])
+            if len(o):
+                yield pa.RecordBatch.from_arrays([pa.array(o), pa.array(k, mask=k == ANY), pa.array(s)], names=["o", "k", "s"])
+
+        # sums of one task go on packed, by a hash of the class, and meet those of the other tasks there
+        buckets = max(1, math.ceil(classes.count() / CLASSES))
         cuts = self.rows.where("k IS NOT NULL AND t IS NOT NULL").select("k", "t").mapInArrow(cut, "f long, p binary, q binary, c binary")
-        counts = cuts.repartition(fragments, "f").mapInArrow(count, "o long, k long, s long").groupBy("o", "k").agg(F.sum("s").alias("s"))
+        parts = cuts.repartition(fragments, "f").mapInArrow(count, "b long, p binary")
+        counts = parts.repartition(buckets, "b").mapInArrow(total, "o long, k long, s long")
         own = classes.join(counts, (classes["a"] == counts["o"]) & (F.col("k").isNull() | (F.col("k") == F.col("rep"))))
         sums = own.groupBy("a", "rep", "n").agg(F.least(F.sum("s"), F.col("n")).alias("s"))
         return sums.where(F.col("s") * 100 >= F.col("n") * self.percent).select("a", "rep", "n", (F.col("n") - F.col("s")).alias("u"))

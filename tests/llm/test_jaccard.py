@@ -124,6 +124,8 @@ def test_one_of_each_leaves_one_of_repeated_rows(spark):
 def test_frequent_ngrams_in_many_batches(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "FRAGMENT", 400)
     monkeypatch.setattr(jaccard, "PART", 2000)
+    monkeypatch.setattr(jaccard, "CLASSES", 40)
+    monkeypatch.setattr(jaccard, "SUMS", 50)
     shared = " ".join(f"s{i}" for i in range(30))
     rows = near_copies(60, 6, [0, 1, 2, 4]) + [(50_000 + i, shared + " " + " ".join(f"o{i}x{j}" for j in range(r))) for i, r in enumerate([3, 4, 5, 6, 20, 40] * 5)]
     rows += [(60_000 + i, t) for i, (_, t) in enumerate(rows[:40])]
