@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected
-from .shared import Words, broadcast_if_small, distinct_sorted, materialize, mix, text_parts
+from .shared import Words, broadcast_if_small, distinct_sorted, materialize, mix, on_tasks, text_parts
 
 #: N-grams that a fragment holds on average.
 FRAGMENT = 2_000_000
@@ -332,8 +332,8 @@ class Join:
         # sums of one task go on packed, by a hash of the class, and meet those of the other tasks there
         buckets = max(1, math.ceil(classes.count() / CLASSES))
         cuts = self.rows.where("k IS NOT NULL AND t IS NOT NULL").select("k", "t").mapInArrow(cut, "f long, p binary, q binary, c binary")
-        parts = cuts.repartition(fragments, "f").mapInArrow(count, "b long, p binary")
-        counts = parts.repartition(buckets, "b").mapInArrow(total, "o long, k long, s long")
+        parts = on_tasks(cuts, fragments, "f").mapInArrow(count, "b long, p binary")
+        counts = on_tasks(parts, buckets, "b").mapInArrow(total, "o long, k long, s long")
         own = classes.join(counts, (classes["a"] == counts["o"]) & (F.col("k").isNull() | (F.col("k") == F.col("rep"))))
         sums = own.groupBy("a", "rep", "n").agg(F.least(F.sum("s"), F.col("n")).alias("s"))
         return sums.where(F.col("s") * 100 >= F.col("n") * self.percent).select("a", "rep", "n", (F.col("n") - F.col("s")).alias("u"))
@@ -434,7 +434,7 @@ class Join:
                 n = np.bincount(row * (RANKS + 1) + rank, minlength=len(meta["k"]) * (RANKS + 1)).reshape(-1, RANKS + 1)
                 yield pa.RecordBatch.from_arrays([pa.array(meta["f"]), pa.array(meta["k"]), *[pa.array(n[:, r].astype(np.int64)) for r in range(RANKS + 1)]], names=["f2", "k2", *[f"x{r}" for r in range(RANKS + 1)]])
 
-        crossed = named.repartition(fragments, "f").mapInArrow(count, "f2 long, k2 long, " + ", ".join(f"x{r} long" for r in range(RANKS + 1)))
+        crossed = on_tasks(named, fragments, "f").mapInArrow(count, "f2 long, k2 long, " + ", ".join(f"x{r} long" for r in range(RANKS + 1)))
         crossed = materialize(crossed, "crossed")
         own = Window.partitionBy("k2")
         earlier = own.orderBy("f2").rowsBetween(Window.unboundedPreceding, -1)
@@ -485,7 +485,7 @@ class Join:
             if out:
                 yield _pair_batch(out)
 
-        return rows.repartition(fragments, "f").mapInArrow(pairs, "a long, b long").where("a <> b").distinct()
+        return on_tasks(rows, fragments, "f").mapInArrow(pairs, "a long, b long").where("a <> b").distinct()
 
 
 def _pair_batch(pairs: list[np.ndarray]) -> pa.RecordBatch:

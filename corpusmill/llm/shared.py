@@ -13,7 +13,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
@@ -67,6 +67,11 @@ def broadcast_if_small(df: DataFrame, rows: int = 200_000) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def on_tasks(df: DataFrame, tasks: int, place: str | Column) -> DataFrame:
+    """``df`` over ``tasks`` tasks by the number ``place``, from 0: one number a task, as hashing it wouldn't give."""
+    return df.repartitionById(tasks, (F.col(place) if isinstance(place, str) else place).cast("int"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
