@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected
-from .shared import Words, broadcast_if_small, distinct_sorted, materialize, mix, on_tasks, text_parts
+from .shared import Words, broadcast_if_small, distinct_sorted, few, materialize, mix, on_tasks, text_parts
 
 #: N-grams that a fragment holds on average.
 FRAGMENT = 2_000_000
@@ -397,7 +397,10 @@ class Join:
 
         left = segments.select(F.col("k").alias("ka"), F.col("n").alias("na"), F.col("f").alias("fa"), F.col("g").alias("x"))
         right = segments.select(F.col("k").alias("kb"), F.col("n").alias("nb"), F.col("f").alias("fb"), F.col("g").alias("y"))
-        rows = broadcast_if_small(pairs).join(left, F.col("a") == F.col("ka")).join(right, (F.col("b") == F.col("kb")) & (F.col("fa") == F.col("fb")))
+        if few(pairs):  # then only the segments they ask for are shuffled
+            pairs = F.broadcast(pairs)
+            right = right.join(F.broadcast(pairs.select("b").distinct()), F.col("kb") == F.col("b"), "left_semi")
+        rows = pairs.join(left, F.col("a") == F.col("ka")).join(right, (F.col("b") == F.col("kb")) & (F.col("fa") == F.col("fb")))
         part = rows.select("a", "b", "na", "nb", "x", "y").mapInArrow(count, "a long, b long, na long, nb long, c long")
         total = part.groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c"))
         return total.where(F.col("c") * 100 >= (F.col("na") + F.col("nb") - F.col("c")) * self.percent).select("a", "b")

@@ -62,9 +62,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def few(df: DataFrame, rows: int = 200_000) -> bool:
+    """Whether ``df``, a written table of a few numbers a row, has few enough rows to be broadcast."""
+    return df.limit(rows + 1).count() <= rows
+
+
 def broadcast_if_small(df: DataFrame, rows: int = 200_000) -> DataFrame:
-    """``df``, a written table of a few numbers a row, to be broadcast if it has ``rows`` at most."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    """``df``, to be broadcast if it has ``rows`` at most."""
+    return F.broadcast(df) if few(df, rows) else df
 
 
 def on_tasks(df: DataFrame, tasks: int, place: str | Column) -> DataFrame:
