@@ -40,6 +40,8 @@ from .shared import Words, broadcast_if_small, distinct_sorted, few, materialize
 FRAGMENT = 2_000_000
 #: Classes whose sums one task adds up, on average, and sums that a task holds before it passes them on; ANY: no key.
 CLASSES, SUMS, ANY = 20_000, 1_000_000, -(1 << 63)
+#: Places that are packed as one column with their owners, if fewer.
+TOGETHER = 4096
 #: Bytes of text that one step works on.
 PART = 1 << 20
 FUNCTIONS = 8
@@ -69,21 +71,38 @@ def _placed(h: np.ndarray, fragments: int) -> np.ndarray:
     return (h >> low) * f + (((h & np.uint64(0xFFFFFFFF)) * f) >> low)
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """The first bytes of all values, then the second ones and so on."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _from_planes(raw: bytes, at: int, n: int, kind: str) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.frombuffer(raw, np.uint8, width * n, at).reshape(width, n).T.copy().view(kind).ravel()
+
+
 def _pack(places: np.ndarray, owners: np.ndarray) -> bytes:
-    """Ascending 32-bit places and 64-bit owners, compressed."""
+    """Ascending 32-bit places and 64-bit owners, compressed: column by column, or together where they are few."""
     ids, index = np.unique(owners, return_inverse=True)
     steps = np.diff(places.astype(np.uint32), prepend=np.uint32(0)).astype("<u4")
-    index = index.astype("<u2" if len(ids) <= 1 << 16 else "<u4")
-    head = np.array([len(places), len(ids), index.itemsize], "<i8").tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(head + steps.view(np.uint8).reshape(-1, 4).T.tobytes() + index.tobytes() + ids.tobytes())
+    gaps = np.diff(ids.view(np.uint64), prepend=np.uint64(0)).astype("<u8")
+    index = index.astype("<u1" if len(ids) <= 1 << 8 else "<u2" if len(ids) <= 1 << 16 else "<u4")
+    columns = [_planes(x) for x in (steps, index, gaps)]
+    if len(places) < TOGETHER:
+        columns = [b"".join(columns)]
+    frames = [zstandard.ZstdCompressor(level=1).compress(x) for x in columns]
+    sizes = [len(x) for x in frames] + [0] * (3 - len(frames))
+    return np.array([len(places), len(ids), index.itemsize, *sizes], "<i4").tobytes() + b"".join(frames)
 
 
 def _unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    raw = zstandard.ZstdDecompressor().decompress(raw)
-    n, k, width = np.frombuffer(raw, "<i8", 3)
-    steps = np.frombuffer(raw, np.uint8, 4 * n, 24).reshape(4, n).T.copy().view("<u4").ravel()
-    index = np.frombuffer(raw, f"<u{width}", n, 24 + 4 * n)
-    return np.cumsum(steps, dtype=np.uint64), np.frombuffer(raw, np.int64, k, 24 + 4 * n + width * n)[index]
+    n, k, width, *sizes = np.frombuffer(raw, "<i4", 6).tolist()
+    ends = (24 + np.cumsum(sizes)).tolist()
+    raw = b"".join(zstandard.ZstdDecompressor().decompress(raw[y - x : y]) for x, y in zip(sizes, ends) if x)
+    places = np.cumsum(_from_planes(raw, 0, n, "<u4"), dtype=np.uint64)
+    index = _from_planes(raw, 4 * n, n, f"<u{width}")
+    ids = np.cumsum(_from_planes(raw, (4 + width) * n, k, "<u8"), dtype=np.uint64).view(np.int64)
+    return places, ids[index]
 
 
 def _summed(tables: list[np.ndarray]) -> np.ndarray:
@@ -107,7 +126,7 @@ def _sums_by_bucket(table: np.ndarray, buckets: int) -> pa.RecordBatch:
 
 def _length(raw: bytes) -> int:
     """How many places were packed."""
-    return int(np.frombuffer(zstandard.ZstdDecompressor().decompress(raw)[:8], "<i8")[0])
+    return int(np.frombuffer(raw, "<i4", 1)[0])
 
 
 def _runs(keys: np.ndarray) -> np.ndarray:

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from corpusmill.llm import jaccard
 
 from .common import docs, sample, shingles
@@ -130,3 +132,13 @@ def test_frequent_ngrams_in_many_batches(spark, monkeypatch):
     rows = near_copies(60, 6, [0, 1, 2, 4]) + [(50_000 + i, shared + " " + " ".join(f"o{i}x{j}" for j in range(r))) for i, r in enumerate([3, 4, 5, 6, 20, 40] * 5)]
     rows += [(60_000 + i, t) for i, (_, t) in enumerate(rows[:40])]
     assert run(spark, rows) == brute(rows)
+
+
+def test_postings_come_back_as_packed():
+    rng = np.random.default_rng(5)
+    for n, owners in ((0, 1), (1, 1), (300, 290), (5000, 200), (5000, 4000), (80000, 70000)):
+        places = np.sort(rng.integers(0, 1 << 32, n, dtype=np.uint64))
+        ids = rng.integers(-(1 << 63), (1 << 63) - 1, owners)[rng.integers(0, owners, n)]
+        raw = jaccard._pack(places, ids)
+        assert jaccard._length(raw) == n
+        assert all(np.array_equal(x, y) for x, y in zip(jaccard._unpack(raw), (places, ids)))
